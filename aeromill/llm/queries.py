@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromill.llm import mixing
+from aeromill.llm import media, mixing, secrets
 from aeromill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,3 +19,15 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op8_mix_sources"] = op8_mix_sources
 ORACLES["op8_mix_sources"] = mixing.OP8_SQL
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.op5(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op2_secret_scan"] = op2_secret_scan
+QUERIES["op5_media_columns"] = op5_media_columns
