@@ -187,7 +187,7 @@ def op8(docs: DataFrame) -> DataFrame:
     mixed = mix(docs)
     return (
         mixed.withColumn("first_position", F.element_at(F.concat("positions", F.array(F.lit(2.0))), 1))
-        .orderBy("first_position")
+        .orderBy("first_position", "doc_id")
         .select("doc_id", "size", "source_size", "target", "taken")
     )
 

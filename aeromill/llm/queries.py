@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromill.llm import media, mixing, secrets
+from aeromill.llm import media, mixing, packing, secrets
 from aeromill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op8(table(spark, sf_dir, "documents"))
 
@@ -31,3 +37,10 @@ def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op2_secret_scan"] = op2_secret_scan
 QUERIES["op5_media_columns"] = op5_media_columns
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op7(table(spark, sf_dir, "documents"), vocabulary())
+
+
+QUERIES["op7_best_fit_packing"] = op7_best_fit_packing
