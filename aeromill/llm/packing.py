@@ -13,7 +13,9 @@ result is one global packing that does not depend on how the rows are partitione
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -29,40 +31,64 @@ CAPACITY = 2048
 #: Pieces of one length are numbered in so many parts.
 PARTS = 64
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 
 _CACHES: dict[str, tuple] = {}
 
 
+#: Letters (lower case), numbers and white space of Latin-1 as the vocabulary's rules see them.
+_L, _N, _S = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+#: The vocabulary's pre-tokeniser, for lower-case Latin-1 text.
+_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """The printable character that byte-level vocabularies use for each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Tokeniser:
-    """Ids of whole texts, by a vocabulary whose pre-tokeniser never crosses white space.
+    """Ids of whole texts by the word-end vocabulary.
 
-    Such a vocabulary gives a text the ids of its space-separated words in order, so ids are
-    remembered by word (at most CACHE_WORDS a worker).
+    For Latin-1 text the normaliser is lower case alone, so the text is split here and each word's
+    ids are remembered (at most CACHE_WORDS a worker); any other text, or one that spells a
+    special token, goes through the library whole. Both ways give the library's ids.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         if path not in _CACHES:
-            _CACHES[path] = (Tokenizer.from_file(path), {"": b""})
+            _CACHES[path] = (Tokenizer.from_file(path), {})
         self.tokenizer, self.known = _CACHES[path]
+        self.model = self.tokenizer.model
+        self.alphabet = _byte_alphabet()
+
+    def _word(self, word: str) -> bytes:
+        mapped = word if word.isascii() and word.isalpha() else "".join(map(self.alphabet.__getitem__, word.encode()))
+        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        words = text.replace("\n", " ").split(" ")
-        known = self.known
+        try:
+            text.encode("latin-1")
+            plain = "<|" not in text
+        except UnicodeEncodeError:
+            plain = False
+        if not plain:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        words, known = _WORDS.findall(text.lower()), self.known
         try:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
             pass
-        new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > CACHE_WORDS:
+        if len(known) > CACHE_WORDS:
             known.clear()
-            known[""] = b""
-            new = list(set(words) - {""})
-        for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[word] = np.array(got.ids, dtype="<u4").tobytes()
+        for word in set(words):
+            if word not in known:
+                known[word] = self._word(word)
         return b"".join(map(known.__getitem__, words))
 
 
