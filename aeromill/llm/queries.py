@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromill.llm import media, mixing, packing, secrets
+from aeromill.llm import line_dedup, media, mixing, packing, secrets, simhash
 from aeromill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,15 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_best_fit_packing"] = op7_best_fit_packing
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.op4(table(spark, sf_dir, "documents"))
+
+
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.op6(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op4_line_dedup"] = op4_line_dedup
+QUERIES["op6_simhash_near_dedup"] = op6_simhash_near_dedup
