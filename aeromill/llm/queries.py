@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromill.llm import line_dedup, media, mixing, packing, secrets, simhash
+from aeromill.llm import line_dedup, media, mixing, packing, secrets, simhash, toxicity
 from aeromill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op4_line_dedup"] = op4_line_dedup
 QUERIES["op6_simhash_near_dedup"] = op6_simhash_near_dedup
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op9(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES["op9_toxicity"] = op9_toxicity
