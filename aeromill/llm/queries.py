@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromill.llm import line_dedup, media, mixing, packing, secrets, simhash, toxicity
+from aeromill.llm import html_extract, line_dedup, media, mixing, packing, secrets, simhash, toxicity
 from aeromill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_toxicity"] = op9_toxicity
+
+
+def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op10_html_main_text"] = op10_html_main_text

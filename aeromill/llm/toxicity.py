@@ -53,7 +53,7 @@ REPORT = frozenset(
     " sagte schrieb nannte wort wörter dijo escribió llamó palabra palabras término dit écrit appelé mot mots terme".split()
 )
 #: Rates per word in toxic and clean texts that a fixed term has before any is learned.
-PRIOR_RATES = (5e-3, 5e-6)
+PRIOR_RATES = (1e-4, 1e-7)
 
 TOKEN = re.compile(r"[^\W\d_]+")
 QUOTED = re.compile(r"“[^“”]{1,400}”|„[^„“”]{1,400}[“”]|«[^«»]{1,400}»|(?<!\w)\"[^\"\n]{1,400}\"(?!\w)|(?<!\w)‘[^‘’\n]{1,400}’(?!\w)")
@@ -176,7 +176,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     found = {w for w in set(tokens) if match(w) is not None}
     exact = [0, 0, 0]  # hits: direct, reported, addressed
     direct = reported = addressed = misspelled = 0.0
-    kinds: set[int] = set()
+    kinds: set[str] = set()
     heaviest = 0.0
     if found:
         quotes = [m.span() for m in QUOTED.finditer(lower)]
@@ -200,7 +200,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
                 continue
             direct += weight
             exact[0] += 1
-            kinds.add(term)
+            kinds.add(w)
             heaviest = max(heaviest, weight)
             if not ADDRESS.isdisjoint(near):
                 addressed += weight
@@ -284,7 +284,28 @@ def term_counts(sample: DataFrame) -> DataFrame:
     return sample.select("text", "toxic").mapInArrow(run, _COUNTS).groupBy("term").agg(*[F.sum(c).alias(c) for c in _COUNTS.names[1:]])
 
 
-def learn_terms(sample: DataFrame, z: float = 2.5, least: float = 0.7) -> list[Term]:
+def choose(rows: list) -> list:
+    """The most telling term of each family of stems and words; order is kept.
+
+    A stem goes if one longer term has most of its toxic texts and no lower odds ("los" for
+    "loser"); a longer term goes if a stem that stays has about its odds ("loweihr" for "lowei").
+    """
+    by = {r["term"]: r for r in rows}
+    family: dict[str, list] = {}
+    for r in rows:
+        text = r["term"].rstrip("$")
+        for k in range(1, len(text) + (r["term"][-1] == "$")):
+            if text[:k] in by:
+                family.setdefault(text[:k], []).append(r)
+    gone = {
+        stem for stem, longer in family.items()
+        if any(x["toxic_docs"] >= 0.8 * by[stem]["toxic_docs"] and x["odds"] >= by[stem]["odds"] - 0.2 for x in longer)
+    }
+    covered = {x["term"] for stem, longer in family.items() if stem not in gone for x in longer if x["odds"] <= by[stem]["odds"] + 0.7}
+    return [r for r in rows if r["term"] not in gone and r["term"] not in covered]
+
+
+def learn_terms(sample: DataFrame, z: float = 3.0, least: float = 0.3) -> list[Term]:
     """Terms whose log odds between classes are above ``least`` at ``z`` standard errors, and the fixed ones."""
     words = F.size(F.split("text", r"\s+"))
     row = sample.agg(
@@ -301,13 +322,7 @@ def learn_terms(sample: DataFrame, z: float = 2.5, least: float = 0.7) -> list[T
             term_counts(sample).where("toxic_docs >= 3").withColumn("odds", odds).withColumn("sure", sure)
             .where(F.col("sure") > least).orderBy(F.desc("sure"), F.desc(F.length("term")), "term").limit(16 * MAX_TERMS).collect()
         )
-        kept: dict[str, float] = {}
-        for r in sorted(rows, key=lambda r: (len(r["term"].rstrip("$")), r["term"])):
-            text = r["term"].rstrip("$")
-            above = max((kept.get(text[:k], -9.0) for k in range(1, len(text) + (r["term"][-1] == "$"))), default=-9.0)
-            if r["odds"] > above + 0.7 or r["term"] in terms:
-                kept[r["term"]] = r["odds"]
-        chosen = [r for r in rows if r["term"] in kept][:MAX_TERMS]
+        chosen = [r for r in choose(rows) if r["sure"] is not None][:MAX_TERMS]
         for r in chosen:
             text, whole = r["term"].rstrip("$"), r["term"][-1] == "$"
             terms[r["term"]] = Term(text, whole, (r["toxic_hits"] + 0.5) / (toxic_words + 1.0), (r["clean_hits"] + 1.0) / (clean_words + 1.0))
@@ -330,8 +345,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Mode
     picked = known.where(F.pmod(F.xxhash64("l_id", F.lit(9)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     # At most about sample_rows small rows: safe to broadcast.
     sample = materialise(
-        docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("l_id")).select("text", "toxic"), "labelled"
-    )
+        docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("l_id"))
+        .select("text", "toxic").dropDuplicates(["text"]), "labelled",
+    )
     terms = learn_terms(sample)
     schema = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("values", T.ArrayType(T.DoubleType()))])
 
