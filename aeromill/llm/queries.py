@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromill.llm import html_extract, line_dedup, media, mixing, packing, secrets, simhash, toxicity
+from aeromill.llm import html_extract, line_dedup, media, mixing, neighbours, packing, secrets, simhash, toxicity
 from aeromill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,10 @@ def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_html_main_text"] = op10_html_main_text
+
+
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op3_nearest_neighbours"] = op3_nearest_neighbours
