@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromill.llm import html_extract, line_dedup, media, mixing, neighbours, packing, secrets, simhash, toxicity
+from aeromill.llm import html_extract, line_dedup, media, mixing, neighbours, packing, repeats, secrets, simhash, toxicity
 from aeromill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,10 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_nearest_neighbours"] = op3_nearest_neighbours
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.op1(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op1_suffix_dedup"] = op1_suffix_dedup
