@@ -48,3 +48,20 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: T.StructType)
                 )
 
     return df.mapInArrow(run, schema)
+
+
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """Apply a function of an Arrow batch; columns that it does not touch are never converted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for whole in batches:
+            for batch in slices(whole):
+                yield fn(batch)
+
+    return df.mapInArrow(run, schema)
+
+
+def place_of(df: DataFrame, column: str) -> int:
+    """Position of the first column of that name; other columns may share the name in other case."""
+    return df.columns.index(column)

@@ -92,6 +92,13 @@ class Tokeniser:
         return b"".join(map(known.__getitem__, words))
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public vocabulary file; it lies in the same place on every executor."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 PIECES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from aeromill.llm import html_extract, line_dedup, media, mixing, neighbours, packing, repeats, secrets, simhash, toxicity
 from aeromill.llm.common import table
 
@@ -13,12 +14,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def vocabulary(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
-
-    return str(public_tokenizers.path(name))
-
-
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op8(table(spark, sf_dir, "documents"))
 
@@ -40,7 +35,7 @@ QUERIES["op5_media_columns"] = op5_media_columns
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.op7(table(spark, sf_dir, "documents"), vocabulary())
+    return packing.op7(table(spark, sf_dir, "documents"), packing.vocabulary())
 
 
 QUERIES["op7_best_fit_packing"] = op7_best_fit_packing
@@ -84,3 +79,8 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_suffix_dedup"] = op1_suffix_dedup
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeromill.llm.arrow import map_rows
+from aeromill.llm.arrow import map_batches, map_rows, place_of
 
 #: Span kinds in the order in which spans with the same start are listed.
 KINDS = ("assign", "access", "hex", "literal")
@@ -174,3 +174,29 @@ def redact(text: str | None, threshold: float = 0.6, mark: str = "[secret]") ->
             until = end
         until = max(until, end)
     return "".join(out) + text[max(until, 0) :] if out else text
+
+
+def redact_texts(docs: DataFrame, threshold: float = 0.6, mark: str = "[secret]") -> DataFrame:
+    """All rows and columns of ``docs``; spans in ``text`` are replaced by ``mark``.
+
+    Where a column ``n_chars`` exists and a text changes, it gets the new length. Null texts stay
+    null. No shuffle.
+    """
+    at, size = place_of(docs, "text"), place_of(docs, "n_chars") if "n_chars" in docs.columns else None
+
+    def make():
+        import pyarrow as pa
+
+        def hide(batch):
+            old = batch.column(at).to_pylist()
+            new = [redact(t, threshold, mark) for t in old]
+            columns = list(batch.columns)
+            columns[at] = pa.array(new, columns[at].type)
+            if size is not None:
+                sizes = [n if a == b else len(b) for a, b, n in zip(old, new, columns[size].to_pylist(), strict=True)]
+                columns[size] = pa.array(sizes, columns[size].type)
+            return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+        return hide
+
+    return map_batches(docs, make, docs.schema)

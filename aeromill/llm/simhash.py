@@ -19,19 +19,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aeromill.llm.arrow import map_rows
-from aeromill.llm.common import materialise
+from aeromill.llm.common import id_key, materialise
 from aeromill.llm.graph import components
 
 RADIUS = 3
 PIVOTS = 16
 BLOCK = 2048
 
-FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
+FINGERPRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "text_hash", "fp")])
 
 
 def fingerprint(text: str, words: int = 3) -> int:
@@ -61,12 +61,16 @@ def signed(x: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row of ``docs`` (doc_id, text); a null text is empty."""
+    """(doc_id, text_hash, fp) of every row of ``docs`` (doc_id, text); a null text is empty."""
 
     def make():
-        return lambda doc_id, text: [(doc_id, signed(fingerprint(text or "", words)))]
+        return lambda doc_id, text_hash, text: [(doc_id, text_hash, signed(fingerprint(text, words)))]
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, FINGERPRINTS)
+    return map_rows(docs.select(F.col("doc_id").cast("long"), text_hash(), F.coalesce(F.col("text"), F.lit(""))), make, FINGERPRINTS)
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash")
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -182,13 +186,31 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_piv
     other. A null doc_id never names a component unless the component has no other id. Repeated
     rows give repeated results; no rows give none; other columns are ignored.
     """
+    prints, named = _components(docs, words, radius, n_pivots, block)
+    return prints.join(named, F.col("fp") == F.col("c_fp")).select("doc_id", "fp", F.col("first.doc_id").alias("component_id"))
+
+
+def _components(docs: DataFrame, words: int, radius: int, n_pivots: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and for each fingerprint its component's first row."""
     prints = materialise(fingerprints(docs, words), "fingerprints")
-    classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
+    classes = materialise(prints.groupBy("fp").agg(first.alias("least")), "classes")
     joined = components(fingerprint_links(classes.select("fp"), radius, n_pivots, block))
     labelled = classes.join(joined, classes["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    names = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = materialise(labelled.join(names, "component").select(F.col("fp").alias("c_fp"), "component_id"), "components")
-    return prints.join(named, F.col("fp") == F.col("c_fp")).select("doc_id", "fp", "component_id")
+    names = labelled.groupBy("component").agg(F.min("least").alias("first"))
+    return prints, materialise(labelled.join(names, "component").select(F.col("fp").alias("c_fp"), "component", "first"), "components")
+
+
+def keep_first(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
+    """One row of each component of near-duplicates, all columns: the first by doc_id (null last).
+
+    Rows are found again by id and text hash, so copies of one text do not meet in one task; of
+    rows that repeat both, one stays.
+    """
+    _, named = _components(docs, words, radius, n_pivots, block)
+    kept = named.select("component", "first.doc_id", "first.text_hash").distinct().select(id_key("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_key("doc_id").alias("r_id"), text_hash().alias("r_hash"))
+    return rows.join(kept, F.expr("r_id = k_id AND r_hash = k_hash")).dropDuplicates(["r_id", "r_hash"]).select("row.*")
 
 
 def op6(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeromill.llm.arrow import map_rows
+from aeromill.llm.arrow import map_batches, map_rows, place_of
 from aeromill.llm.common import materialise
 
 #: About so many labelled rows at most are used for learning (a hash of the id picks them).
@@ -382,5 +382,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text")), make, SCORES)
 
 
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores under ``threshold``. No shuffle."""
+    at = place_of(docs, "text")
+
+    def make():
+        import pyarrow as pa
+
+        lexicon = Lexicon(model.terms)
+
+        def clean(batch):
+            return batch.filter(pa.array([model.score(features(t, lexicon)) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        return clean
+
+    return map_batches(docs, make, docs.schema)
+
+
 def op9(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     return score(docs, learn(docs, labels)).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
