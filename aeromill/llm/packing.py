@@ -239,6 +239,7 @@ def place(pieces: DataFrame, **options) -> DataFrame:
     parted = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(PARTS)))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     rows, _ = plan(histogram, **options)
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
     counts = parted.groupBy("length", "part").agg(F.count("*").alias("n"))
     running = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
