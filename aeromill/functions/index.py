@@ -6,6 +6,7 @@ twin in ``aeromill.plans.oracle`` that writes the same arithmetic as SQL text fo
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -92,7 +93,11 @@ def unit_key(units: Column) -> Column:
 
 def in_unit(value: Column, units: Column, parameter: str, target: str) -> Column:
     """``value`` in the ``target`` unit; null where the unit cannot be converted. No unit counts as the target."""
-    key, out = unit_key(units), None
+    return _in_key_unit(value, unit_key(units), parameter, target)
+
+
+def _in_key_unit(value: Column, key: Column, parameter: str, target: str) -> Column:
+    out = None
     for unit, steps in unit_steps(parameter, target).items():
         v = value
         for op, number in steps:
@@ -107,18 +112,35 @@ def truncated(value: Column, decimals: int) -> Column:
     return F.floor(value * factor + 1e-9) / F.lit(factor)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it.
+
+    Without it the tables below would repeat the whole unit conversion in every branch, and the
+    optimiser, which writes expressions out when it moves filters, would multiply it again.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def from_table(table: str, concentration: Column) -> Column:
     """Index by interpolation in one table, half rounded up; the last piece runs on above its end."""
-    decimals, rows = BREAKPOINTS[table][1], segments(table)
-    c, out = truncated(concentration, decimals), None
-    for k, s in enumerate(rows):
-        index = F.floor(F.lit(s.slope) * (c - F.lit(s.start)) + F.lit(float(s.base)) + 0.5).cast("int")
-        last = k == len(rows) - 1
-        if out is None:
-            out = F.when((concentration < 0) | (c < s.start), F.lit(None).cast("int")).when(c <= s.end, index)
-        else:
-            out = out.otherwise(index) if last else out.when(c <= s.end, index)
-    return F.when(concentration.isNotNull(), out)
+    rows = segments(table)
+
+    def index(c: Column) -> Column:
+        at = [F.floor(F.lit(s.slope) * (c - F.lit(s.start)) + F.lit(float(s.base)) + 0.5).cast("int") for s in rows]
+        out = F.when(c < rows[0].start, F.lit(None).cast("int"))
+        for s, value in zip(rows[:-1], at, strict=False):
+            out = out.when(c <= s.end, value)
+        return out.when(c.isNotNull(), at[-1])
+
+    return let(truncated(F.when(concentration >= 0, concentration), BREAKPOINTS[table][1]), index)
+
+
+def _ozone(c: Column, averaging: str) -> Column:
+    one = from_table("o3_1h", c)
+    if averaging == "1h":
+        return one
+    eight = F.when(truncated(c, 3) <= OZONE_8H_TOP, from_table("o3_8h", c))
+    return F.coalesce(eight, one) if averaging == "8h" else F.greatest(eight, one)
 
 
 def air_index(parameter: Column, value: Column, units: Column, averaging: str = "instant") -> Column:
@@ -130,15 +152,22 @@ def air_index(parameter: Column, value: Column, units: Column, averaging: str =
     """
     if averaging not in AVERAGINGS:
         raise ValueError(f"averaging is one of {AVERAGINGS}")
-    name, value = F.lower(parameter), value.cast("double")
-    ozone = in_unit(value, units, "o3", "ppm")
-    eight = F.when(truncated(ozone, 3) <= OZONE_8H_TOP, from_table("o3_8h", ozone))
-    one = from_table("o3_1h", ozone)
-    out = F.when(name == "o3", {"8h": F.coalesce(eight, one), "1h": one}.get(averaging, F.greatest(eight, one)))
-    for table, (unit, _, _) in BREAKPOINTS.items():
-        if not table.startswith("o3"):
-            out = out.when(name == table, from_table(table, in_unit(value, units, table, unit)))
-    return F.when((value >= 0) & ~F.isnan(value), out)
+    units_of = {t.split("_")[0]: unit for t, (unit, _, _) in BREAKPOINTS.items()}
+    value = value.cast("double")
+    reading = F.struct(F.lower(parameter).alias("name"), unit_key(units).alias("unit"), F.when((value >= 0) & ~F.isnan(value), value).alias("value"))
+
+    def index(r: Column) -> Column:
+        out = F.when(r["value"].isNull(), F.lit(None).cast("int"))
+        for name, unit in units_of.items():
+            own = let(_in_key_unit(r["value"], r["unit"], name, unit), _table_of(name, averaging))
+            out = out.when(r["name"] == name, own)
+        return out
+
+    return let(reading, index)
+
+
+def _table_of(name: str, averaging: str) -> Callable[[Column], Column]:
+    return (lambda c: _ozone(c, averaging)) if name == "o3" else (lambda c: from_table(name, c))
 
 
 def level_number(index: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Registered queries and their SQL oracles (filled by the plan modules)."""
+"""Registered queries and their SQL oracles (filled by ``aeromill.plans.queries``)."""
 
 from __future__ import annotations
 
