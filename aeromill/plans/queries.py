@@ -309,9 +309,9 @@ _PERIODS = f"""{_SUMMARY}, periods AS (
   SELECT s.*, p.period_type, CASE p.period_type WHEN 'year' THEN strftime(date_local, '%Y') WHEN 'month' THEN strftime(date_local, '%Y-%m')
     ELSE strftime(date_local, '%Y') || '-' || CASE WHEN month(date_local) IN (12, 1, 2) THEN 'winter' WHEN month(date_local) < 6 THEN 'spring' WHEN month(date_local) < 9 THEN 'summer' ELSE 'autumn' END END AS period
   FROM summary s CROSS JOIN (VALUES ('year'), ('season'), ('month')) p(period_type) WHERE borough IS NOT NULL
+), counted AS (SELECT borough, period_type, period, cluster_name, count(*) AS n FROM periods WHERE cluster_name IS NOT NULL GROUP BY borough, period_type, period, cluster_name
 ), shares AS (
-  SELECT borough, period_type, period, cluster_name, round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY borough, period_type, period), 4) AS share
-  FROM periods WHERE cluster_name IS NOT NULL GROUP BY ALL)"""
+  SELECT borough, period_type, period, cluster_name, round(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY borough, period_type, period), 4) AS share FROM counted)"""
 
 
 @query(f"{_SUMMARY} SELECT location_id, {o.day('date_local')} AS date_local, borough, aqi_daily, dominant_pollutant, level, CAST(cluster AS INTEGER) AS cluster, cluster_name FROM summary")
@@ -345,13 +345,15 @@ def hourly_by_region(spark, d):
 
 
 def _report(name: str, dates: str = "") -> None:
-    facts = f"WITH {o.WIDE_CTE}, {o.DIM}, {o.hourly('wide')}, {o.DAILY}, result AS ({reports.REPORTS[name]})"
-    sql = f"{facts} SELECT {dates or '*'} FROM result"
+    """Daily reports over the dense view (its days are complete), hourly ones over the wide view."""
+    daily = "fact_daily" in reports.REPORTS[name]
+    facts = f"{o.DENSE}, dim_station AS (SELECT DISTINCT location_id, borough FROM dense), {o.hourly('dense')}, {o.DAILY}" if daily else f"{o.WIDE_CTE}, {o.DIM}, {o.hourly('wide')}"
+    sql = f"WITH {facts}, result AS ({reports.REPORTS[name]}) SELECT {dates or '*'} FROM result"
 
     def run(spark: SparkSession, d: str) -> DataFrame:
-        facts = wide_hourly(spark, d)
-        views = {"fact_hourly": facts, "fact_daily": gold.fact_daily(facts), "dim_station": e.dim(spark, d)}
-        return reports.run(spark, name, **{v: df for v, df in views.items() if v in reports.REPORTS[name]})
+        if daily:
+            return reports.run(spark, name, fact_daily=gold.fact_daily(hourly(spark, d)), dim_station=dense_dim(spark, d))
+        return reports.run(spark, name, fact_hourly=wide_hourly(spark, d), dim_station=e.dim(spark, d))
 
     run.__name__ = name
     query(sql)(run)
