@@ -61,6 +61,7 @@ def replace_table(rows: DataFrame, path: str) -> None:
     fs.delete(target, True)
     if not fs.rename(jvm.org.apache.hadoop.fs.Path(fresh), target):
         raise OSError(f"cannot move {fresh} to {path}")
+    spark.catalog.refreshByPath(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
