@@ -6,8 +6,8 @@ twin in ``aeromill.plans.oracle`` that writes the same arithmetic as SQL text fo
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,6 +54,7 @@ MOLAR_VOLUME = 24.45
 #: The 8-hour ozone table ends here; above it only the 1-hour table is defined.
 OZONE_8H_TOP = 0.200
 
+POLLUTANTS = ("pm25", "pm10", "o3", "no2", "so2", "co")
 AVERAGINGS = ("instant", "1h", "8h", "24h")
 
 
@@ -93,11 +94,7 @@ def unit_key(units: Column) -> Column:
 
 def in_unit(value: Column, units: Column, parameter: str, target: str) -> Column:
     """``value`` in the ``target`` unit; null where the unit cannot be converted. No unit counts as the target."""
-    return _in_key_unit(value, unit_key(units), parameter, target)
-
-
-def _in_key_unit(value: Column, key: Column, parameter: str, target: str) -> Column:
-    out = None
+    key, out = unit_key(units), None
     for unit, steps in unit_steps(parameter, target).items():
         v = value
         for op, number in steps:
@@ -112,62 +109,69 @@ def truncated(value: Column, decimals: int) -> Column:
     return F.floor(value * factor + 1e-9) / F.lit(factor)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
+def _n(x: float) -> str:
+    return f"{float(x)!r}D"
+
+
+def _let(value: str, name: str, body: str) -> str:
     """``body`` of a value that is computed once, however often the body names it.
 
     Without it the tables below would repeat the whole unit conversion in every branch, and the
     optimiser, which writes expressions out when it moves filters, would multiply it again.
     """
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def from_table(table: str, concentration: Column) -> Column:
-    """Index by interpolation in one table, half rounded up; the last piece runs on above its end."""
-    rows = segments(table)
+def _applied(value: Column, body: str) -> Column:
+    """A SQL lambda over one column: a few calls, whatever the size of its body."""
+    return F.element_at(F.call_function("transform", F.array(value), F.expr(body)), 1)
 
-    def index(c: Column) -> Column:
-        at = [F.floor(F.lit(s.slope) * (c - F.lit(s.start)) + F.lit(float(s.base)) + 0.5).cast("int") for s in rows]
-        out = F.when(c < rows[0].start, F.lit(None).cast("int"))
-        for s, value in zip(rows[:-1], at, strict=False):
-            out = out.when(c <= s.end, value)
-        return out.when(c.isNotNull(), at[-1])
 
-    return let(truncated(F.when(concentration >= 0, concentration), BREAKPOINTS[table][1]), index)
+@cache
+def _table_sql(table: str, c: str) -> str:
+    rows = segments(table)
+    factor = _n(10 ** BREAKPOINTS[table][1])
+    at = [f"CAST(floor({_n(s.slope)} * (t - {_n(s.start)}) + {_n(s.base)} + 0.5D) AS INT)" for s in rows]
+    cases = [f"WHEN t < {_n(rows[0].start)} THEN NULL"] + [f"WHEN t <= {_n(s.end)} THEN {v}" for s, v in zip(rows[:-1], at, strict=False)]
+    return _let(f"floor({c} * {factor} + 1e-9D) / {factor}", "t", f"CASE {' '.join(cases)} ELSE {at[-1]} END")
+
+
+@cache
+def _index_sql(averaging: str, pollutants: tuple[str, ...]) -> str:
+    """A lambda from (name, unit, value) to the index."""
+    one = _table_sql("o3_1h", "c")
+    eight = f"CASE WHEN floor(c * 1000.0D + 1e-9D) / 1000.0D <= {_n(OZONE_8H_TOP)} THEN {_table_sql('o3_8h', 'c')} END"
+    ozone = {"1h": one, "8h": f"coalesce({eight}, {one})"}.get(averaging, f"greatest({eight}, {one})")
+    cases = []
+    for name, unit in {t.split("_")[0]: unit for t, (unit, _, _) in BREAKPOINTS.items()}.items():
+        if name not in pollutants:
+            continue
+        units = []
+        for source, steps in unit_steps(name, unit).items():
+            units.append(f"WHEN '{source}' THEN " + "".join(["r.value", *[f" {op} {_n(n)}" for op, n in steps]]))
+        body = ozone if name == "o3" else _table_sql(name, "c")
+        cases.append(f"WHEN '{name}' THEN " + _let(f"CASE r.unit {' '.join(units)} END", "c", body))
+    return f"r -> CASE r.name {' '.join(cases)} END"
 
 
-def _ozone(c: Column, averaging: str) -> Column:
-    one = from_table("o3_1h", c)
-    if averaging == "1h":
-        return one
-    eight = F.when(truncated(c, 3) <= OZONE_8H_TOP, from_table("o3_8h", c))
-    return F.coalesce(eight, one) if averaging == "8h" else F.greatest(eight, one)
+def from_table(table: str, concentration: Column) -> Column:
+    """Index by interpolation in one table, half rounded up; the last piece runs on above its end."""
+    return _applied(F.when(concentration >= 0, concentration.cast("double")), f"c -> {_table_sql(table, 'c')}")
 
 
-def air_index(parameter: Column, value: Column, units: Column, averaging: str = "instant") -> Column:
+def air_index(parameter: Column, value: Column, units: Column, averaging: str = "instant", pollutants: tuple[str, ...] = POLLUTANTS) -> Column:
     """Index of one pollutant's concentration as an integer column.
 
     ``averaging`` matters for ozone only: "8h" uses the 8-hour table and, above its end, the
     1-hour one; "1h" the 1-hour table; anything else the larger of both. Null where a part is
-    missing, the value is negative or NaN, or pollutant or unit is unknown.
+    missing, the value is negative or NaN, or pollutant or unit is unknown. ``pollutants``
+    narrows the expression where others cannot occur.
     """
     if averaging not in AVERAGINGS:
         raise ValueError(f"averaging is one of {AVERAGINGS}")
-    units_of = {t.split("_")[0]: unit for t, (unit, _, _) in BREAKPOINTS.items()}
     value = value.cast("double")
     reading = F.struct(F.lower(parameter).alias("name"), unit_key(units).alias("unit"), F.when((value >= 0) & ~F.isnan(value), value).alias("value"))
-
-    def index(r: Column) -> Column:
-        out = F.when(r["value"].isNull(), F.lit(None).cast("int"))
-        for name, unit in units_of.items():
-            own = let(_in_key_unit(r["value"], r["unit"], name, unit), _table_of(name, averaging))
-            out = out.when(r["name"] == name, own)
-        return out
-
-    return let(reading, index)
-
-
-def _table_of(name: str, averaging: str) -> Callable[[Column], Column]:
-    return (lambda c: _ozone(c, averaging)) if name == "o3" else (lambda c: from_table(name, c))
+    return _applied(reading, _index_sql(averaging, pollutants))
 
 
 def level_number(index: Column) -> Column:
