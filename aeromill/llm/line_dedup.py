@@ -1,13 +1,15 @@
 """Substring dedup by hashing lines and the sentences inside them.
 
-Every whole text is cut into units: its lines and, inside a line, its sentences (they end at
-``.``, ``!`` or ``?`` before white space). A unit is normalised (lower case, runs of white space
-as one space, trimmed) and digested to 128 bits; a line and a sentence never share a digest. The
+Every whole text is cut into units: its lines; inside a line, its sentences (they end at ``.``,
+``!`` or ``?`` before white space); and inside a sentence of more than LONG words, pieces that end
+after words chosen by their hash, so that equal passages have equal pieces wherever they begin. A
+unit is normalised (lower case, runs of white space
+as one space, trimmed) and digested to 128 bits; units of two kinds never share a digest. The
 digests are grouped over the whole corpus; of the occurrences of one digest the first by (doc_id,
 offset) is kept and the others are removed. Removed spans are offsets (code points, end exclusive)
 into the original text.
 
-Short units repeat by chance, so lines under ``min_line`` words and sentences under
+Short units repeat by chance, so lines under ``min_line`` words and sentences or pieces under
 ``min_sentence`` words are no units.
 
 A digest that a third of all documents hold is counted map-side first, and the occurrences meet
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +31,11 @@ from aeromill.llm.common import id_key, materialise
 
 MIN_LINE = 4
 MIN_SENTENCE = 8
+#: Sentences of more words are cut into pieces; one word in PIECE ends a piece.
+LONG = 24
+PIECE = 12
 
+_RUN = re.compile(r"\S+")
 _END = re.compile(r"(?<=[.!?])\s+")
 
 UNITS = T.StructType(
@@ -57,11 +64,28 @@ def units(text: str, min_line: int = MIN_LINE, min_sentence: int = MIN_SENTENCE)
                 words = line[start:stop].lower().split()
                 if len(words) >= min_sentence:
                     out.append(("s " + " ".join(words), at + start, at + stop))
+                if len(words) > LONG:
+                    out.extend(pieces(line[start:stop], at + start, min_sentence))
                 start = stop
         at = end + 1
     return out
 
 
+def pieces(sentence: str, at: int, least: int) -> list[tuple[str, int, int]]:
+    """Pieces of a long sentence: the words after one that ends a piece, up to and with the next."""
+    out, words, start = [], [], 0
+    for m in _RUN.finditer(sentence):
+        word = m[0].lower()
+        if not words:
+            start = m.start()
+        words.append(word)
+        if zlib.crc32(word.encode("utf-8", "surrogatepass")) % PIECE == 0:
+            if len(words) >= least:
+                out.append(("p " + " ".join(words), at + start, at + m.end()))
+            words = []
+    return out
+
+
 def unit_rows(docs: DataFrame, min_line: int, min_sentence: int) -> DataFrame:
     """UNITS of every row of ``docs`` (id, text_hash, text)."""
 

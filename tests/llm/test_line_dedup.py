@@ -43,3 +43,14 @@ def test_no_rows_and_repeated_ids(spark):
     rows = [(None, "a line of four words"), (None, "a line of four words"), (3, "a line of four words"), (3, "another line of more words")]
     out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id or 0, r.n_removed) for r in out) == [(0, 0), (0, 0), (3, 0), (3, 1)]
+
+
+def test_passage_without_sentences(spark):
+    r = random.Random(3)
+    words = ["w%d" % i for i in range(5000)]
+    passage = " ".join(r.choices(words, k=60))
+    rows = [(i, " ".join([*r.choices(words, k=r.randrange(40)), passage, *r.choices(words, k=r.randrange(40))])) for i in range(30)] + [(99, " ".join(r.choices(words, k=300)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {x.doc_id: x.n_removed for x in line_dedup.op4(docs).collect()}
+    assert out[0] == 0 and out[99] == 0 and all(out[i] > 0 for i in range(1, 30))
+    assert collected(line_dedup.op4(docs)) == line_dedup.brute_force(rows)
