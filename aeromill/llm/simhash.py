@@ -8,6 +8,10 @@ bits from every pivot.) Inside a group each fingerprint's Hamming distances to t
 fingerprints are looked up once; pairs whose coordinates differ by more than ``radius`` anywhere
 are discarded, by the triangle inequality, and only survivors are compared bit by bit.
 
+Wider radii have too many blocks. For those, ``keys`` deals the classes by the ``keys`` least
+hashes among their shingles instead: texts that share a share s of their shingles miss each other
+with a probability of about (1 - s) ** keys, 3 in a million for s = 0.8 and 8 keys.
+
 A group of more than BLOCK classes is cut into blocks, and every pair of blocks is a task of its
 own, so no task holds an unbounded group and no pair is skipped. A task returns a spanning forest of
 its links (at most one edge per class), never the pairs.
@@ -15,6 +19,7 @@ its links (at most one edge per class), never the pairs.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,24 +36,32 @@ RADIUS = 3
 PIVOTS = 16
 BLOCK = 2048
 
-FINGERPRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "text_hash", "fp")])
+FINGERPRINTS = T.StructType([*[T.StructField(c, T.LongType()) for c in ("doc_id", "text_hash", "fp")], T.StructField("keys", T.ArrayType(T.LongType()))])
 
 
-def fingerprint(text: str, words: int = 3) -> int:
-    """64-bit SimHash of the text's word shingles (repeats counted); 0 without words."""
+def shingle_hashes(text: str, words: int = 3) -> list[int]:
+    """XXH64 (seed 42) of the text's word shingles, repeats included; of all words if there are fewer."""
     import xxhash
 
     found = text.encode("utf-8", "surrogatepass").lower().split()  # ASCII case and white space only
     if not found:
-        return 0
+        return []
     flat = b" ".join(found)
     ends = np.cumsum([len(w) + 1 for w in found]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
     if len(found) <= words:
-        hashes = [digest(flat, 42)]
-    else:
-        hashes = [digest(flat[a:b], 42) for a, b in zip(starts[: len(found) - words + 1].tolist(), ends[words - 1 :].tolist(), strict=True)]
+        return [digest(flat, 42)]
+    return [digest(flat[a:b], 42) for a, b in zip(starts[: len(found) - words + 1].tolist(), ends[words - 1 :].tolist(), strict=True)]
+
+
+def fingerprint(text: str, words: int = 3) -> int:
+    """64-bit SimHash of the text's word shingles (repeats counted); 0 without words."""
+    return vote(shingle_hashes(text, words))
+
+
+def vote(hashes: list[int]) -> int:
+    """A bit is 1 if it is set in over half of the hashes."""
     n, votes = len(hashes), np.zeros(64, np.int64)
     for at in range(0, n, 4096):
         bits = np.unpackbits(np.array(hashes[at : at + 4096], "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -60,11 +73,19 @@ def signed(x: int) -> int:
     return x - (x >> 63 << 64)
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, text_hash, fp) of every row of ``docs`` (doc_id, text); a null text is empty."""
+def fingerprints(docs: DataFrame, words: int = 3, keys: int = 0) -> DataFrame:
+    """FINGERPRINTS of every row of ``docs`` (doc_id, text); a null text is empty.
+
+    ``keys`` least shingle hashes go along, or none.
+    """
 
     def make():
-        return lambda doc_id, text_hash, text: [(doc_id, text_hash, signed(fingerprint(text, words)))]
+        def one(doc_id, text_hash, text):
+            hashes = shingle_hashes(text, words)
+            least = [signed(h) for h in heapq.nsmallest(keys, set(hashes))] if keys else None
+            return [(doc_id, text_hash, signed(vote(hashes)), least)]
+
+        return one
 
     return map_rows(docs.select(F.col("doc_id").cast("long"), text_hash(), F.coalesce(F.col("text"), F.lit(""))), make, FINGERPRINTS)
 
@@ -122,13 +143,17 @@ EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.Lon
 _GROUP = ["block_no", "bits", "row_block", "col_block"]
 
 
-def fingerprint_links(classes: DataFrame, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) that connect all linked fingerprints of ``classes`` (fp, distinct, materialised)."""
-    width = -(-64 // (radius + 1))
-    keyed = classes.select(
-        "fp",
-        F.posexplode(F.array(*[F.shiftrightunsigned("fp", k * width).bitwiseAND(F.lit((1 << min(width, 64 - k * width)) - 1)) for k in range(radius + 1)])).alias("block_no", "bits"),
-    )
+def fingerprint_links(classes: DataFrame, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK, keys: int = 0) -> DataFrame:
+    """Edges (a, b) that connect all linked fingerprints of ``classes`` (fp, keys; distinct, materialised)."""
+    if keys:
+        keyed = classes.select("fp", F.explode("keys").alias("bits"), F.lit(0).alias("block_no"))
+    else:
+        width = -(-64 // (radius + 1))
+        starts = range(0, 64, width)
+        blocks = F.array(*[F.shiftrightunsigned("fp", k).bitwiseAND(F.lit((1 << min(width, 64 - k)) - 1)) for k in starts])
+        if len(starts) <= radius:
+            raise ValueError("so wide a radius needs keys")
+        keyed = classes.select("fp", F.posexplode(blocks).alias("block_no", "bits"))
     sizes = keyed.groupBy("block_no", "bits").agg(F.count("*").alias("n")).where("n > 1")
     sized = keyed.join(sizes, ["block_no", "bits"]).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     own = sized.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
@@ -178,7 +203,7 @@ def _groups(batches: Iterator[pa.RecordBatch], n_keys: int):
         yield whole[0, :n_keys], whole[:, n_keys], whole[:, n_keys + 1]
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK, keys: int = 0) -> DataFrame:
     """Components of near-duplicates: one row per row of ``docs`` (doc_id, text).
 
     Returns doc_id, fp (signed 64-bit) and component_id, the smallest doc_id that can be reached
@@ -186,28 +211,29 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_piv
     other. A null doc_id never names a component unless the component has no other id. Repeated
     rows give repeated results; no rows give none; other columns are ignored.
     """
-    prints, named = _components(docs, words, radius, n_pivots, block)
+    prints, named = _components(docs, words, radius, n_pivots, block, keys)
     return prints.join(named, F.col("fp") == F.col("c_fp")).select("doc_id", "fp", F.col("first.doc_id").alias("component_id"))
 
 
-def _components(docs: DataFrame, words: int, radius: int, n_pivots: int, block: int) -> tuple[DataFrame, DataFrame]:
+def _components(docs: DataFrame, words: int, radius: int, n_pivots: int, block: int, keys: int) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of all rows, and for each fingerprint its component's first row."""
-    prints = materialise(fingerprints(docs, words), "fingerprints")
+    prints = materialise(fingerprints(docs, words, keys), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
-    classes = materialise(prints.groupBy("fp").agg(first.alias("least")), "classes")
-    joined = components(fingerprint_links(classes.select("fp"), radius, n_pivots, block))
+    some = [F.min_by("keys", F.struct("doc_id", "text_hash")).alias("keys")] if keys else []
+    classes = materialise(prints.groupBy("fp").agg(first.alias("least"), *some), "classes")
+    joined = components(fingerprint_links(classes, radius, n_pivots, block, keys))
     labelled = classes.join(joined, classes["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     names = labelled.groupBy("component").agg(F.min("least").alias("first"))
     return prints, materialise(labelled.join(names, "component").select(F.col("fp").alias("c_fp"), "component", "first"), "components")
 
 
-def keep_first(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
+def keep_first(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK, keys: int = 0) -> DataFrame:
     """One row of each component of near-duplicates, all columns: the first by doc_id (null last).
 
     Rows are found again by id and text hash, so copies of one text do not meet in one task; of
     rows that repeat both, one stays.
     """
-    _, named = _components(docs, words, radius, n_pivots, block)
+    _, named = _components(docs, words, radius, n_pivots, block, keys)
     kept = named.select("component", "first.doc_id", "first.text_hash").distinct().select(id_key("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_key("doc_id").alias("r_id"), text_hash().alias("r_hash"))
     return rows.join(kept, F.expr("r_id = k_id AND r_hash = k_hash")).dropDuplicates(["r_id", "r_hash"]).select("row.*")

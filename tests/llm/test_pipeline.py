@@ -6,7 +6,6 @@ import numpy as np
 import corpus_pipeline
 from aeromill.llm import mixing, packing, secrets, simhash
 from aeromill.llm import toxicity as tox
-from aeromill.llm.simhash import fingerprint
 
 
 def documents(seed=1, n=240):
@@ -22,7 +21,10 @@ def documents(seed=1, n=240):
             words.append('token = "' + "".join(r.choices("0123456789abcdef", k=40)) + '"')
         rows.append((i, " ".join(words), "en", f"src{i % 3}"))
     for i in range(n, n + 40):
-        rows.append((i, rows[r.randrange(n)][1], "de", "src0"))
+        words = rows[r.randrange(n)][1].split()
+        if i % 2:
+            words[r.randrange(len(words))] = "other"
+        rows.append((i, " ".join(words), "de", "src0"))
     rows += [(n + 50, None, None, None), (n + 51, "", "en", None)]
     return [(*row, len(row[1] or "")) for row in rows]
 
@@ -51,17 +53,22 @@ def test_stages_against_plain_python(spark, tmp_path):
     assert {r.doc_id for r in out[0]} == set(clean)
     assert all(("idiot" in (t or "") or "moron" in (t or "") or "scum" in (t or "") or "worthless" in (t or "")) != (d in clean) for d, t, *_ in rows)
 
-    # Near-duplicates: the least id of each group linked at three bits stays.
-    prints, ids = {d: fingerprint(row[1] or "") for d, row in clean.items()}, sorted(clean)
+    # Near-duplicates: the least id of each group stays; links are texts that share one of their
+    # eight least shingle hashes and differ in at most twelve bits, or equal fingerprints.
+    hashes, ids = {d: simhash.shingle_hashes(row[1] or "", 5) for d, row in clean.items()}, sorted(clean)
+    prints = {d: simhash.vote(h) for d, h in hashes.items()}
+    least = {d: set(sorted(set(h))[:8]) for d, h in hashes.items()}
     group = {d: d for d in ids}
     changed = True
     while changed:
         changed = False
         for a in ids:
             for b in ids:
-                if (prints[a] ^ prints[b]).bit_count() <= 3 and group[b] < group[a]:
+                bits = (prints[a] ^ prints[b]).bit_count()
+                if (bits == 0 or (bits <= 12 and least[a] & least[b])) and group[b] < group[a]:
                     group[a], changed = group[b], True
     assert sorted(r.doc_id for r in out[1]) == sorted(set(group.values()))
+    assert len(out[1]) < len(out[0])
 
     # Secrets: the same documents, texts redacted.
     assert {r.doc_id: (r.text, r.n_chars) for r in out[2]} == {r.doc_id: (secrets.redact(r.text), len(secrets.redact(r.text) or "")) for r in out[1]}

@@ -58,6 +58,25 @@ def test_small_blocks_split_groups(spark):
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == sorted((d, c) for d, _, c in brute(rows))
 
 
+def test_wide_radius_by_shingle_keys(spark):
+    r = random.Random(8)
+    words = ["v%d" % i for i in range(3000)]
+    rows = []
+    for i in range(60):
+        text = r.choices(words, k=300)
+        rows.append((3 * i, " ".join(text)))
+        text[r.randrange(300)] = "x"
+        rows.append((3 * i + 1, " ".join(text)))
+        text[r.randrange(300)] = "y"
+        rows.append((3 * i + 2, " ".join(text)))
+    rows += [(900, ""), (901, None), (902, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in simhash.near_duplicates(docs, words=5, radius=12, keys=8, block=16).collect()}
+    assert got == {i: i - i % 3 for i in range(180)} | {900: 900, 901: 900, 902: 902}
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(docs, radius=40)
+
+
 def test_fingerprint_matches_engine_hash(spark):
     text = "Alpha beta GAMMA"
     (h,) = spark.range(1).select(F.xxhash64(F.lit("alpha beta gamma"))).first()
