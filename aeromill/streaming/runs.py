@@ -13,16 +13,21 @@ from aeromill.operators.silver import BRONZE
 from aeromill.sources import tables
 from aeromill.streaming import queries
 
+#: The temporary folder of local sessions without one, once it is made.
+_OWN: list[str] = []
+
 
 def workspace(spark: SparkSession) -> str:
     """A folder that driver and executors share; a temporary one only in unset local sessions."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not base and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="aeromill-")
-        atexit.register(shutil.rmtree, base, True)
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="aeromill-"))
+            atexit.register(shutil.rmtree, _OWN[0], True)
+        base = _OWN[0]
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
