@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 #: Stands for a null document id inside join keys; results carry the original null.
 NULL_ID = -(2**63)
 
+#: The temporary folder of local sessions without one, once it is made.
+_OWN: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,12 +26,13 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = tempfile.mkdtemp(prefix="aeromill-")
-    atexit.register(shutil.rmtree, base, True)
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="aeromill-"))
+        atexit.register(shutil.rmtree, _OWN[0], True)
+    return _OWN[0]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
