@@ -48,10 +48,10 @@ def with_region(points: DataFrame, lat: str = "lat", lon: str = "lon", column: s
     are literal arrays in the plan (their size is fixed by configuration), so this needs no join,
     shuffle or collected list of points.
     """
-    x, y, found = F.col(lon), F.col(lat), None
+    cases = []
     for name, ring in (OUTLINES if outlines is None else outlines).items():
-        edges = F.array(*[F.struct(*[F.lit(float(v)).alias(k) for k, v in zip(("x1", "y1", "x2", "y2"), (*a, *b), strict=True)]) for a, b in zip(ring, [*ring[1:], ring[0]], strict=True)])
-        crossings = F.filter(edges, lambda e: ((e["y1"] > y) != (e["y2"] > y)) & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]))
-        inside = F.size(crossings) % 2 == 1
-        found = F.when(inside, name) if found is None else found.when(inside, name)
-    return points.withColumn(column, F.when(x.isNotNull() & y.isNotNull(), found))
+        edges = ", ".join(f"named_struct('x1', {x1}D, 'y1', {y1}D, 'x2', {x2}D, 'y2', {y2}D)" for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True))
+        crossed = f"(e.y1 > `{lat}`) <> (e.y2 > `{lat}`) AND `{lon}` < (e.x2 - e.x1) * (`{lat}` - e.y1) / (e.y2 - e.y1) + e.x1"
+        label = name.replace("'", "\\'")
+        cases.append(f"WHEN size(filter(array({edges}), e -> {crossed})) % 2 = 1 THEN '{label}'")
+    return points.withColumn(column, F.expr(f"CASE WHEN `{lat}` IS NULL OR `{lon}` IS NULL THEN NULL {' '.join(cases)} END"))
