@@ -38,11 +38,11 @@ def deduped(messages: DataFrame, lateness: str = LATENESS, horizon: str | None =
     ``horizon`` drops readings dated so far after their message; one such reading would push the
     watermark on and silently lose what comes after it.
     """
-    columns = [F.from_json(F.col("value").cast("string"), silver.MEASUREMENT).alias("m"), *[F.col("timestamp").cast("timestamp").alias("seen") for _ in [0] if horizon]]
-    rows = messages.select(*columns).select("m.sensor_id", "m.location_id", "m.value", "m.datetime_utc", "m.ingested_at", *(["seen"] if horizon else []))
-    rows = rows.withColumn("event_time", F.try_to_timestamp("datetime_utc")).where("sensor_id IS NOT NULL AND event_time IS NOT NULL")
+    parsed = messages.select(F.from_json(F.col("value").cast("string"), silver.MEASUREMENT).alias("m"), F.col("timestamp").alias("seen"))
+    rows = parsed.withColumn("event_time", F.try_to_timestamp("m.datetime_utc")).where("m.sensor_id IS NOT NULL AND event_time IS NOT NULL")
     if horizon:
-        rows = rows.where(F.col("event_time") <= F.col("seen") + F.expr(f"INTERVAL {horizon}")).drop("seen")
+        rows = rows.where(F.col("event_time") <= F.col("seen").cast("timestamp") + F.expr(f"INTERVAL {horizon}"))
+    rows = rows.select("m.sensor_id", "m.location_id", "m.value", "m.datetime_utc", "m.ingested_at", "event_time")
     return rows.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["sensor_id", "event_time"])
 
 
