@@ -102,7 +102,7 @@ _UNITS = ["ppm", "PPB", "µg/m³", "μg/m3", " mg / m3 ", "", "furlong"]
 
 @query(
     "WITH u AS (SELECT event_id, value, [" + ", ".join(f"'{u}'" for u in _UNITS) + "][event_id % 7 + 1] AS units FROM events) "
-    f"SELECT event_id, {o.unit_key('units')} AS unit, round({o.in_unit('value', 'units', 'o3', 'ppm')}, 12) AS o3_ppm, round({o.in_unit('value', 'units', 'no2', 'ppb')}, 10) AS no2_ppb,"
+    f"SELECT event_id, {o.unit_key('units')} AS unit, round({o.in_unit('value', 'units', 'o3', 'ppm')}, 12) AS o3_ppm, round({o.in_unit('value', 'units', 'no2', 'ppb')}, 6) AS no2_ppb,"
     f" round({o.in_unit('value', 'units', 'pm25', 'ug/m3')}, 10) AS pm25_mass FROM u"
 )
 def unit_convert(spark, d):
@@ -110,7 +110,7 @@ def unit_convert(spark, d):
     rows = e.table(spark, d, "events").select("event_id", "value", units.alias("units"))
     v, u = F.col("value"), F.col("units")
     return rows.select(
-        "event_id", unit_key(u).alias("unit"), F.round(in_unit(v, u, "o3", "ppm"), 12).alias("o3_ppm"), F.round(in_unit(v, u, "no2", "ppb"), 10).alias("no2_ppb"),
+        "event_id", unit_key(u).alias("unit"), F.round(in_unit(v, u, "o3", "ppm"), 12).alias("o3_ppm"), F.round(in_unit(v, u, "no2", "ppb"), 6).alias("no2_ppb"),
         F.round(in_unit(v, u, "pm25", "ug/m3"), 10).alias("pm25_mass"),
     )
 
