@@ -14,7 +14,7 @@ with a probability of about (1 - s) ** keys, 3 in a million for s = 0.8 and 8 ke
 
 A group of more than BLOCK classes is cut into blocks, and every pair of blocks is a task of its
 own, so no task holds an unbounded group and no pair is skipped. A task returns a spanning forest of
-its links (at most one edge per class), never the pairs.
+its links (at most one edge per class), never the pairs, and compares ROWS of a block at a time.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ from aeromill.llm.graph import components
 RADIUS = 3
 PIVOTS = 16
 BLOCK = 2048
+#: Rows of a block that are compared with a whole block at a time.
+ROWS = 256
 
 FINGERPRINTS = T.StructType([*[T.StructField(c, T.LongType()) for c in ("doc_id", "text_hash", "fp")], T.StructField("keys", T.ArrayType(T.LongType()))])
 
@@ -124,19 +126,47 @@ def links(left: np.ndarray, right: np.ndarray, reference: np.ndarray, radius: in
     return i[near], j[near]
 
 
-def forest(fps: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (member, least member) of the components that the links (i, j) make of ``fps``."""
-    label = np.arange(len(fps))
+def spread(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Root labels (least member) after the links (i, j) have joined the components."""
     while True:
-        before = label.copy()
-        least = np.minimum(label[i], label[j])
-        np.minimum.at(label, i, least)
-        np.minimum.at(label, j, least)
-        label = label[label]
-        if (label == before).all():
-            break
-    member = np.flatnonzero(label != np.arange(len(fps)))
-    return fps[member], fps[label[member]]
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
+            return label
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            further = label[label]
+            if (further == label).all():
+                break
+            label = further
+
+
+def block_components(fps: np.ndarray, reference: np.ndarray, radius: int) -> np.ndarray:
+    """Root of each entry's component within one block; pairs are looked at some rows at a time."""
+    label = np.arange(len(fps))
+    for at in range(0, len(fps), ROWS):
+        i, j = links(fps[at : at + ROWS], fps[at:], reference, radius)
+        label = spread(label, i + at, j + at)
+    return label
+
+
+def forest(row: np.ndarray, col: np.ndarray | None, reference: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that a task gives: a star per component of one block, or, for two blocks, those that
+    join components of the one with components of the other. The inside of either block is left
+    to its own task, so a group of n entries gives about n edges however many blocks it has."""
+    if col is None:
+        fps, inside = row, np.arange(len(row))
+        label = block_components(row, reference, radius)
+    else:
+        fps = np.concatenate((row, col))
+        inside = np.concatenate((block_components(row, reference, radius), block_components(col, reference, radius) + len(row)))
+        label = inside.copy()
+        for at in range(0, len(row), ROWS):
+            i, j = links(row[at : at + ROWS], col, reference, radius)
+            label = spread(label, i + at, j + len(row))
+    moved = np.flatnonzero((label != inside) & (inside == np.arange(len(fps))))
+    return fps[moved], fps[label[moved]]
 
 
 EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
@@ -154,8 +184,11 @@ def fingerprint_links(classes: DataFrame, radius: int = RADIUS, n_pivots: int =
         if len(starts) <= radius:
             raise ValueError("so wide a radius needs keys")
         keyed = classes.select("fp", F.posexplode(blocks).alias("block_no", "bits"))
-    sizes = keyed.groupBy("block_no", "bits").agg(F.count("*").alias("n")).where("n > 1")
-    sized = keyed.join(sizes, ["block_no", "bits"]).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    # Written, so that both sides of the join are exchanges that Spark can split at a hot group.
+    sizes = materialise(keyed.groupBy("block_no", "bits").agg(F.count("*").alias("n")).where("n > 1"), "groups")
+    # Powers of two: groups with nearly the same members have the same blocks, and so the same edges.
+    power = F.greatest(F.ceil(F.log2(F.col("n") / block)), F.lit(0)).cast("int")
+    sized = keyed.join(sizes, ["block_no", "bits"]).withColumn("blocks", F.pow(F.lit(2), power).cast("int"))
     own = sized.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     # Each fingerprint goes to the tasks (row_block, col_block) with its block on either side.
     tasks = own.select(
@@ -170,16 +203,9 @@ def fingerprint_links(classes: DataFrame, radius: int = RADIUS, n_pivots: int =
             key, own_block = group[0], group[2]
             fps = group[1].astype(np.uint64)
             row, col = fps[own_block == key[2]], fps[own_block == key[3]]
-            if key[2] == key[3]:
-                i, j = links(row, row, reference, radius)
-                keep = i < j
-                both, i, j = row, i[keep], j[keep]
-            else:
-                i, j = links(row, col, reference, radius)
-                both, j = np.concatenate((row, col)), j + len(row)
-            a, b = forest(both.astype(np.int64), i, j)
+            a, b = forest(np.sort(row), None if key[2] == key[3] else np.sort(col), reference, radius)
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     return dealt.select(*_GROUP, "fp", "own").mapInArrow(run, EDGES)
 
