@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql.functions import lit
 
 import corpus_pipeline
 from aeromill.llm import mixing, packing, secrets, simhash
@@ -97,3 +98,23 @@ def test_keep_first_of_repeated_rows(spark):
     rows = [(3, "a b c d", 1), (3, "a b c d", 2), (1, "A B C D", 3), (None, "a b c d", 4), (9, "x y z w", 5), (None, "only null", 6)]
     out = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, Row int")).collect()
     assert sorted((r.doc_id or -1, r.text) for r in out) == [(-1, "only null"), (1, "A B C D"), (9, "x y z w")]
+
+
+CLASHING = ("row", "kept", "position", "fp", "size", "target", "component", "score", "toxic", "l_id", "part", "digest", "first", "keys", "length", "ids")
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    spark.createDataFrame([(1, 1, 1), (2, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(1, "you idiot", None, None, 9), (2, None, None, "a", None), (2, None, None, "a", None), (None, "", "en", "b", 0), (None, "word " * 30_000, None, "b", 150_000), (5, "same", "x", "a", 4), (6, "same", "x", None, 4)]
+    odd = spark.createDataFrame(rows, SCHEMA)
+    for name in CLASHING:
+        odd = odd.withColumn(name, lit("x"))
+    for start in (odd, odd.limit(0)):
+        docs, counts = start, []
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            path = f"{tmp_path}/{start is odd}-{k}"
+            stage(spark, docs, str(tmp_path)).write.parquet(path)
+            docs = spark.read.parquet(path)
+            counts.append(docs.count())
+            assert k == 4 or docs.columns == start.columns
+        assert all(counts) if start is odd else not any(counts)
