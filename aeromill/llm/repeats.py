@@ -230,16 +230,13 @@ def sort_collections(pieces: DataFrame, length: int, gram: int) -> DataFrame:
 
         for batch in batches:
             for anchor, digest, kinds, weight, windows, lead, piece in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if held is None or (keys[-1][0] != anchor and held.n + kinds > max(CHUNK, len(held.group))):
-                    if held is not None and keys:
+                if held is None or (keys[-1][0] != anchor and held.n + kinds > len(held.group)):
+                    if held is not None:
                         yield from finish()
                     held, keys = Collection(max(CHUNK, kinds), length, gram), []
-                elif keys[-1][0] != anchor and held.n + kinds > len(held.group):
-                    yield from finish()
-                    held, keys = Collection(max(CHUNK, kinds), length, gram), []
                 held.add(anchor, lead, windows, piece)
                 keys.append((anchor, digest, windows, weight > 1))
-        if held is not None and keys:
+        if held is not None:
             yield from finish()
 
     return pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _FOUND)
@@ -272,7 +269,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     keyed = docs.select(id_key("doc_id").alias("id"), F.xxhash64(raw).alias("text_hash"), raw.alias("raw"))
     found = materialise(segment_rows(keyed, length, gram), "segments")
 
-    repeated = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written, so that both sides of the join are exchanges that Spark can split at a hot anchor.
+    repeated = materialise(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     shared = materialise(found.join(repeated, "anchor", "left_semi"), "shared")
     kinds = shared.groupBy("anchor", "digest").agg(F.count("*").alias("weight"), F.min(F.struct("id", "text_hash", "place")).alias("first"))
     per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).select(F.col("anchor").alias("k_anchor"), "kinds")
