@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from aeromill.functions.index import air_index
+from aeromill.functions.index import air_index, level_label
 from aeromill.operators import gold, serving, silver
-from aeromill.operators.alerts import Rules, State, expire, step
+from aeromill.operators.alerts import TRAIL, Rules, State, Station, alert_id, expire, observe, step
 from aeromill.sources import tables
 
 #: Readings may come this much later than the newest one seen.
@@ -104,6 +104,90 @@ def station_alerts(index: DataFrame, rules: Rules = Rules(), timeouts: bool = Fa
     return rows.groupBy("location_id").applyInPandasWithState(update, ALERTS, _STATE, "append", timeout)
 
 
+def station_trail(index: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B008
+    """The state of each station after every reading, as ``alerts.station_trail`` gives it in batch."""
+
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now, out = _loaded(state), []
+        for r in pd.concat(list(frames)).sort_values("event_time", kind="stable").itertuples():
+            if now.last is not None and r.event_time.to_pydatetime() <= now.last:
+                continue  # a replayed reading
+            aqi = None if pd.isna(r.station_aqi) else int(r.station_aqi)
+            now, alert = step(now, r.event_time.to_pydatetime(), aqi, rules=rules)
+            told = (alert.kind, alert.level, alert.previous) if alert else (None, None, None)
+            out.append((key[0], r.event_time, aqi, r.dominant_pollutant, now.level, now.candidate, now.seen, *told))
+        state.update((now.level, now.candidate, now.seen, _micros(now.last), _micros(now.alerted_at), now.alerted_level))
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in TRAIL.split(", ")]).astype(
+            {c: "Int32" for c in ("station_aqi", "level", "candidate", "seen", "alert_level", "previous_level")} | {"event_time": "datetime64[ns]"}
+        )
+
+    rows = index.select(F.col("location_id").cast("long").alias("location_id"), "event_time", F.col("station_aqi").cast("int").alias("station_aqi"), "dominant_pollutant")
+    return rows.groupBy("location_id").applyInPandasWithState(update, TRAIL, _STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+_REGION = "borough string, trigger_location_id long, level int, candidate int, seen int, last timestamp, alerted_at timestamp, alerted_level int"
+_REGION_OUT = f"{_REGION}, alert_type string, alert_level int, previous_level int, aqi int, dominant_pollutant string"
+
+
+def region_alerts(root: str, stations: DataFrame, rules: Rules = Rules()) -> Callable[[DataFrame, int], None]:  # noqa: B008
+    """A ``foreachBatch`` sink of ``station_trail``: station status, region states, region alerts.
+
+    Regions with a changed station are evaluated once per batch, at the batch's newest event time
+    (not by the wall clock, so that a replay comes to the same). Alerts are kept once per id.
+    """
+    keep_status = keep_latest(f"{root}/station_status", "location_id", "event_time")
+    keep_regions = keep_latest(f"{root}/region_status", "borough", "last")
+    keep_alerts = keep_new(f"{root}/alerts", ["alert_id"])
+
+    def fold(rows: pd.DataFrame) -> pd.DataFrame:
+        first = rows.iloc[0]
+        whole = lambda x: None if pd.isna(x) else int(x)
+        time = lambda x: None if pd.isna(x) else x.to_pydatetime()
+        state = State(whole(first.r_level) or 0, whole(first.candidate), whole(first.seen) or 0, time(first["last"]), time(first.alerted_at), whole(first.alerted_level))
+        members = [Station(int(r.location_id), int(r.level), whole(r.station_aqi), r.dominant_pollutant, time(r.event_time)) for r in rows.itertuples()]
+        seen = observe(members, state.level, time(first.moment), rules)
+        columns = [c.split()[0] for c in _REGION_OUT.split(", ")]
+        out = []
+        if seen is not None and not seen.held_up:
+            after, alert = step(state, seen.at, seen.aqi, seen.level, rules)
+            if after is not state:
+                told = (alert.kind, alert.level, alert.previous, alert.aqi) if alert else (None,) * 4
+                out.append((first.borough, seen.location_id, after.level, after.candidate, after.seen, after.last, after.alerted_at, after.alerted_level, *told, seen.pollutant))
+        frame = pd.DataFrame(out, columns=columns)
+        kinds = {c: "Int32" for c in ("level", "candidate", "seen", "alerted_level", "alert_level", "previous_level", "aqi")}
+        return frame.astype(kinds | {"trigger_location_id": "Int64", "last": "datetime64[ns]", "alerted_at": "datetime64[ns]"})
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        spark: SparkSession = batch.sparkSession
+        state = F.struct("event_time", "station_aqi", "dominant_pollutant", "level")
+        newest = batch.groupBy("location_id").agg(F.max_by(state, "event_time").alias("s")).select("location_id", "s.*")
+        keep_status(newest, batch_id)
+        known = stations.where("borough IS NOT NULL").select(F.col("location_id").cast("long").alias("location_id"), "borough")
+        changed = batch.select("location_id", "event_time").join(known, "location_id").groupBy("borough").agg(F.max("event_time").alias("moment"))
+        path = f"{root}/region_status"
+        regions = spark.read.schema(_REGION).parquet(path) if tables.exists(spark, path) else spark.createDataFrame([], _REGION)
+        rows = (
+            spark.read.parquet(f"{root}/station_status").join(known, "location_id").join(changed, "borough")
+            .join(regions.withColumnRenamed("level", "r_level").drop("trigger_location_id"), "borough", "left")
+        )
+        step_path = f"{root}/steps/{batch_id}"
+        rows.groupBy("borough").applyInPandas(fold, _REGION_OUT).write.mode("overwrite").parquet(step_path)
+        out = spark.read.schema(_REGION_OUT).parquet(step_path)
+        keep_regions(out.select([c.split()[0] for c in _REGION.split(", ")]), batch_id)
+        told = out.where("alert_type IS NOT NULL")
+        name = level_label(F.col("alert_level"))
+        keep_alerts(
+            told.select(
+                alert_id("region", F.col("borough"), F.col("last"), name).alias("alert_id"), F.lit("region").alias("scope"), "borough", "trigger_location_id", "aqi", name.alias("level"),
+                level_label(F.col("previous_level")).alias("prev_level"), F.col("alert_type").alias("type"), "dominant_pollutant", F.col("last").alias("event_time"),
+            ), batch_id,
+        )
+
+    return write
+
+
 def keep_new(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink that appends rows whose key the table lacks; replays add nothing."""
 

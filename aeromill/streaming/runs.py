@@ -59,3 +59,17 @@ def run_alerts(spark: SparkSession, index: DataFrame) -> DataFrame:
     found = queries.station_alerts(stream).writeStream.format("parquet").option("path", f"{at}/alerts")
     queries.start(found, f"{at}/check", None).awaitTermination()
     return spark.read.schema(queries.ALERTS).parquet(f"{at}/alerts")
+
+
+def run_regions(spark: SparkSession, index: DataFrame, stations: DataFrame, per_time: bool = True) -> DataFrame:
+    """Region alerts of a stream of index rows; one batch per event time, or one for all."""
+    at = workspace(spark)
+    rows = index.select("location_id", "event_time", "station_aqi", "dominant_pollutant")
+    schema = "location_id long, event_time timestamp, station_aqi int, dominant_pollutant string"
+    times = [r[0] for r in rows.select("event_time").distinct().orderBy("event_time").collect()] if per_time else [None]
+    for moment in times:  # a bounded list: for tests and demonstrations
+        (rows if moment is None else rows.where(rows["event_time"] == moment)).coalesce(1).write.mode("append").json(f"{at}/in")
+        stream = tables.stream_files(spark, f"{at}/in", schema, per_trigger=1000)
+        sink = queries.region_alerts(f"{at}/tables", stations)
+        queries.start(queries.station_trail(stream).writeStream.foreachBatch(sink), f"{at}/check", None).awaitTermination()
+    return spark.read.parquet(f"{at}/tables/alerts")
