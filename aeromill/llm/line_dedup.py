@@ -154,11 +154,13 @@ def dedup_lines(docs: DataFrame, min_line: int = MIN_LINE, min_sentence: int = M
     )
     found = materialise(unit_rows(keyed.select("id", "text_hash", "text"), min_line, min_sentence), "units")
     place = F.struct("id", "text_hash", "start")
-    kept = (
+    # Written, so that both sides of the join are exchanges that Spark can split at a hot digest.
+    kept = materialise(
         found.groupBy("high", "low")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .where("first != last")
-        .select(F.col("high").alias("k_high"), F.col("low").alias("k_low"), "first")
+        .select(F.col("high").alias("k_high"), F.col("low").alias("k_low"), "first"),
+        "first-places",
     )
     removed = (
         found.join(kept, F.expr("high = k_high AND low = k_low"))
