@@ -53,6 +53,7 @@ def test_base_spans_stay(spark):
         ('password_label = "Enter it here"', []),
         ('db_pwd = "${DB_PASSWORD}"', []),
         ("This is: a sentence, with key: words in it.", []),
+        ("authorization: required", []),
         ("", []),
     ],
 )
