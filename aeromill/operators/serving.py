@@ -105,3 +105,8 @@ def first_of_each(alerts: DataFrame) -> DataFrame:
     """Each alert once, however often it was delivered."""
     rest = [c for c in alerts.columns if c != "alert_id"]
     return alerts.groupBy("alert_id").agg(F.min(F.struct(*rest)).alias("r")).select("alert_id", "r.*").select(alerts.columns)
+
+
+def region_levels(status: DataFrame) -> DataFrame:
+    """Each region's level and when it last changed."""
+    return status.select("borough", "level", F.col("last").alias("last_event_time")).orderBy("borough")

@@ -70,3 +70,26 @@ def run_days(spark: SparkSession, lake: str, sensors: DataFrame, first: date, la
     clean_days(spark, lake, sensors, first, last)
     derive_days(spark, lake, first, last)
     return analyse(spark, lake)
+
+
+def main(arguments: list[str] | None = None) -> None:
+    """``python -m aeromill.plans.batch --lake PATH --sensors PATH --from DAY --to DAY``"""
+    import argparse
+
+    parser = argparse.ArgumentParser(description="Run the daily batch over some local days.")
+    parser.add_argument("--lake", required=True)
+    parser.add_argument("--sensors", required=True, help="Parquet table of sensor metadata")
+    parser.add_argument("--from", dest="first", type=date.fromisoformat, required=True)
+    parser.add_argument("--to", dest="last", type=date.fromisoformat)
+    options = parser.parse_args(arguments)
+    spark = SparkSession.builder.appName("aeromill-batch").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    out = run_days(spark, options.lake, spark.read.parquet(options.sensors), options.first, options.last or options.first)
+    for name, df in out.items():
+        if name in reports.REPORTS:
+            reports.save(df, name, f"{options.lake}/reports")
+        else:
+            df.write.mode("overwrite").parquet(f"{options.lake}/analytics/{name}")
+
+
+if __name__ == "__main__":
+    main()

@@ -71,3 +71,10 @@ def explain(df: DataFrame, mode: str = "formatted") -> str:
     with redirect_stdout(out):
         df.explain(mode)
     return out.getvalue()
+
+
+def save(result: DataFrame, name: str, folder: str) -> None:
+    """A report's rows as one CSV file with a header and its plan as text, under ``folder``."""
+    spark = result.sparkSession
+    spark.createDataFrame([(explain(result),)], "plan string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{folder}/plans/{name}")
+    result.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/sql/{name}")

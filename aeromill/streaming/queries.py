@@ -234,3 +234,15 @@ def station_index_batches(path: str) -> Callable[[DataFrame, int], None]:
         keep(gold.station_index(batch).groupBy("location_id").agg(newest).select("location_id", "s.*"), batch_id)
 
     return write
+
+
+def with_sensors(path: str, write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink that reads the sensor table anew for each batch, then indexes the readings.
+
+    New sensors count from the next batch on, without a restart or a cache to expire.
+    """
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        write(indexed(batch, batch.sparkSession.read.parquet(path)), batch_id)
+
+    return enrich
