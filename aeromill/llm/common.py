@@ -16,6 +16,9 @@ NULL_ID = -(2**63)
 #: The temporary folder of local sessions without one, once it is made.
 _OWN: list[str] = []
 
+#: Tables that ``materialise`` has written, until ``release`` deletes them.
+_WRITTEN: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,10 +45,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables written so far; for when no result that reads them is needed any more."""
+    jvm, n = spark._jvm, len(_WRITTEN)
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def id_key(column: str) -> Column:
     """The id as a join key that also matches null with null."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
