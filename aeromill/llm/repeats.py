@@ -17,7 +17,10 @@ A byte goes if a string of LENGTH bytes that covers it starts anywhere else too.
    between them a round before (or 0 where symbols differ). The column of symbols in that order is
    the column's transform. A window repeats if its suffix shares LENGTH bytes with a neighbour.
    The columns are read one after the other from an array that lies in an unlinked file if a
-   collection is large; only one order and one common-prefix array are in memory.
+   collection is large; only one order and one common-prefix array are in memory. An anchor with
+   more than SPLIT different segments (the edge of a passage that very many documents share) would
+   still be one task; its windows are dealt out one by one instead, by 128-bit digests, and those
+   that occur more than once repeat.
 4. Ranges go back to all occurrences of a segment and are cut out of the texts.
 
 Anchors are found by hash, but windows are compared byte by byte; a whole segment is known by
@@ -45,7 +48,9 @@ GRAM = 40
 #: Segments that are sorted together at least, where there are so many.
 CHUNK = 8192
 #: Collections of more documents than this lie in a file.
-IN_MEMORY = 1 << 16
+IN_MEMORY = 1 << 14
+#: Anchors with more different segments than this are not one collection.
+SPLIT = 50_000
 _END = 256  # sorts after every byte; ends share no prefix
 
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
@@ -242,6 +247,42 @@ def sort_collections(pieces: DataFrame, length: int, gram: int) -> DataFrame:
     return pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _FOUND)
 
 
+_WINDOWS = T.StructType([T.StructField(c, T.LongType()) for c in ("w_anchor", "w_digest", "at", "high", "low")])
+
+
+def split_windows(pieces: DataFrame, length: int) -> DataFrame:
+    """As ``sort_collections``, for the segments of very busy anchors: each window by its digest.
+
+    Windows are counted map-side first; a window that very many segments share meets its count in
+    a join of two written tables, which Spark can split.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for whole in batches:
+            for batch in slices(whole, 1 << 18):  # windows take far more room than their segment
+                out = []
+                for anchor, digest, windows, piece in zip(*[batch.column(c).to_pylist() for c in ("anchor", "digest", "windows", "piece")], strict=True):
+                    data = np.frombuffer(piece, np.uint8)
+                    hashes.grow(len(data))
+                    both = []
+                    for which in (0, 1):
+                        sums = hashes.sums(data, which)
+                        both.append(_mixed((sums[length:] - sums[:-length]) * hashes.inverses[which][:windows]).view(np.int64))
+                    out.append((np.full(windows, anchor), np.full(windows, digest), np.arange(windows), *both))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)], names=_WINDOWS.names)
+
+    every = materialise(pieces.where("weight = 1").select("anchor", "digest", "windows", "piece").mapInArrow(run, _WINDOWS), "windows")
+    # Segments that occur several times repeat whole, and so do their windows in other segments.
+    copies = materialise(pieces.where("weight > 1").select("anchor", "digest", "windows", "piece").mapInArrow(run, _WINDOWS), "windows")
+    counted = every.select("high", "low", F.lit(1).alias("n")).unionByName(copies.select("high", "low", F.lit(2).alias("n")))
+    repeated = materialise(counted.groupBy("high", "low").agg(F.sum("n").alias("n")).where("n > 1").select("high", "low"), "repeated-windows")
+    starts = every.join(repeated, ["high", "low"], "left_semi").unionByName(copies)
+    window = F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end"))
+    return starts.groupBy(F.col("w_anchor").alias("f_anchor"), F.col("w_digest").alias("f_digest")).agg(F.collect_set(window).alias("ranges"))
+
+
 RESULT = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -257,7 +298,7 @@ def _unpacked(place: str):
     return F.shiftright(at, 24).alias("start"), F.shiftright(at, 12).bitwiseAND(F.lit(4095)).alias("windows"), at.bitwiseAND(F.lit(4095)).alias("lead")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, split: int = SPLIT) -> DataFrame:
     """Remove the bytes of all repeated ``length``-byte strings: one row per row of ``docs`` (doc_id, text).
 
     Returns doc_id, n_bytes, removed (maximal byte ranges) and kept (the other bytes). Matches
@@ -301,7 +342,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     # Rows that repeat id and text would each give the pieces of the one that is wanted.
     texts = keyed.join(wanted, F.expr("id = w_id AND text_hash = w_hash")).select("raw", "wanted")
     pieces = map_rows(texts, cutter, _PIECES).dropDuplicates(["anchor", "digest"])
-    ranges = alone.unionByName(sort_collections(pieces, length, gram))
+    if known.where(F.col("kinds") > split).limit(1).count():
+        pieces = materialise(pieces, "pieces")
+        ranges = alone.unionByName(sort_collections(pieces.where(F.col("kinds") <= split), length, gram)).unionByName(
+            split_windows(pieces.where(F.col("kinds") > split), length)
+        )
+    else:
+        ranges = alone.unionByName(sort_collections(pieces, length, gram))
 
     spans = (
         shared.join(ranges, F.expr("anchor = f_anchor AND digest = f_digest"))

@@ -47,6 +47,14 @@ def test_collections_in_a_file_and_many_chunks(spark, monkeypatch):
     assert got(repeats.op1(spark.createDataFrame(rows, "doc_id long, text string"))) == repeats.brute_force(rows)
 
 
+@pytest.mark.parametrize("split", [1, 3])
+def test_busy_anchors_are_split(spark, split):
+    rows = corpus(6, 40)
+    out = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), split=split).collect()
+    want = repeats.brute_force(rows)
+    assert {r.doc_id: (r.n_bytes, sum(x.end - x.start for x in r.removed), len(r.removed)) for r in out} == {d: w[:3] for d, w in want.items()}
+
+
 def test_range_min():
     r = np.random.default_rng(0)
     v = r.integers(0, 99, 50)
