@@ -217,7 +217,17 @@ def feature(track: Track) -> str:
     )
 
 
-TRACK_TYPE = "codec string, handler string, timescale long, duration long, n_samples long, key_ranges array<struct<start:long,end:long>>"
+_RANGE = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+TRACK = T.StructType(
+    [
+        T.StructField("codec", T.StringType()),
+        T.StructField("handler", T.StringType()),
+        T.StructField("timescale", T.LongType()),
+        T.StructField("duration", T.LongType()),
+        T.StructField("n_samples", T.LongType()),
+        T.StructField("key_ranges", T.ArrayType(_RANGE)),
+    ]
+)
 
 
 def media_columns(df: DataFrame, column: str, key: str) -> DataFrame:
@@ -226,9 +236,7 @@ def media_columns(df: DataFrame, column: str, key: str) -> DataFrame:
     Returns (key, error, tracks). A null container has null tracks; one that cannot be read has
     null tracks and an error; other columns are ignored.
     """
-    schema = T.StructType(
-        [T.StructField("key", df.schema[key].dataType), T.StructField("error", T.StringType()), T.StructField("tracks", T._parse_datatype_string(f"array<struct<{TRACK_TYPE.replace(' ', ':').replace(',:', ',')}>>"))]
-    )
+    schema = T.StructType([T.StructField("key", df.schema[key].dataType), T.StructField("error", T.StringType()), T.StructField("tracks", T.ArrayType(TRACK))])
 
     def make():
         def one(k, data):
