@@ -47,7 +47,7 @@ ELEMENT_WEIGHTS = {
 }
 #: Weights of words in class, id, role and aria-label.
 FURNITURE = re.compile(
-    r"^(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banners?|nav\w*|menus?|breadcrumbs?|foot(?:er)?|masthead|side(?:bar|nav)?|aside|complementary"
+    r"^(?:ads?|advert\w*|adsense|adslot|adbox|adunit|adsbygoogle|sponsor\w*|promo\w*|banners?|notifications?|announcements?|toast|nav\w*|menus?|breadcrumbs?|foot(?:er)?|masthead|side(?:bar|nav)?|aside|complementary"
     r"|contentinfo|navigation|cookies?|consent|gdpr|notices?|alerts?|disclaimer|popup|modal|overlay|comments?|commentlist|replies|reply|disqus|respond"
     r"|related|recommend\w*|share|sharing|social|newsletter|subscribe|signup|login|search|toolbar|widgets?|pagination|pager|tags?|toc|skip|hidden|copyright)$"
 )
