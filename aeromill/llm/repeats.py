@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeromill.llm.arrow import map_rows, slices
+from aeromill.llm.arrow import map_rows, slices, small_batches
 from aeromill.llm.common import NULL_ID, id_key, materialise
 from aeromill.llm.line_dedup import merged
 
@@ -137,7 +137,7 @@ def segment_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names=SEGMENTS.names)
 
-    return docs.mapInArrow(run, SEGMENTS)
+    return small_batches(docs).mapInArrow(run, SEGMENTS)
 
 
 class Collection:
