@@ -1,16 +1,21 @@
 """Substring dedup by hashing lines and the sentences inside them.
 
 Every whole text is cut into units: its lines; inside a line, its sentences (they end at ``.``,
-``!`` or ``?`` before white space); and inside a sentence of more than LONG words, pieces that end
-after words chosen by their hash, so that equal passages have equal pieces wherever they begin. A
-unit is normalised (lower case, runs of white space
+``!`` or ``?`` before white space); and runs over the words of the whole text, whatever lines and
+sentences they lie in. A run begins at a word chosen by its hash and ends with the next chosen word
+that makes it long enough, so that equal passages have equal runs wherever they stand; runs
+overlap, and the text's first and last words are chosen as well. What a run leaves of a repeated
+passage are the words before its first and after its last chosen word, one in PIECE being chosen.
+A unit is normalised (lower case, runs of white space
 as one space, trimmed) and digested to 128 bits; units of two kinds never share a digest. The
 digests are grouped over the whole corpus; of the occurrences of one digest the first by (doc_id,
 offset) is kept and the others are removed. Removed spans are offsets (code points, end exclusive)
 into the original text.
 
-Short units repeat by chance, so lines under ``min_line`` words and sentences or pieces under
-``min_sentence`` words are no units.
+Short units repeat by chance, so lines under ``min_line`` words and sentences or runs under
+``min_sentence`` words are no units. A word counts as WORD characters; where there are no spaces
+(scripts without them, tokens of more than TOKEN characters) characters are counted, and runs begin
+and end between characters chosen by the hash of GRAM of them.
 
 A digest that a third of all documents hold is counted map-side first, and the occurrences meet
 their one kept place in a join that Spark can split.
@@ -21,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +37,17 @@ from aeromill.llm.common import id_key, materialise
 
 MIN_LINE = 4
 MIN_SENTENCE = 8
-#: Sentences of more words are cut into pieces; one word in PIECE ends a piece.
-LONG = 24
-PIECE = 12
+#: One word in PIECE begins and ends runs.
+PIECE = 4
+#: What a word counts, in characters, and a character of a script without spaces.
+WORD, WIDE = 6, 3
+#: Tokens of more characters are not taken for words; GRAM characters choose where they are cut.
+TOKEN, GRAM = 32, 4
 
 _RUN = re.compile(r"\S+")
+#: Thai to Burmese, Khmer, kana, Han and their extensions; Korean has spaces.
+_WIDE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+_LONG = re.compile(r"\S{%d}" % (TOKEN + 1))
 _END = re.compile(r"(?<=[.!?])\s+")
 
 UNITS = T.StructType(
@@ -50,51 +62,115 @@ UNITS = T.StructType(
 )
 
 
+def unspaced(text: str) -> bool:
+    """Whether some stretch of the text is to be counted in characters."""
+    return not text.isascii() and _WIDE.search(text) is not None or _LONG.search(text) is not None
+
+
+def tokens(text: str) -> tuple[list[tuple[int, int]], list[str], list[int] | None, list[bool] | None]:
+    """Places, lower-case texts, sizes and "follows a space" of a text's words and parts of
+    unspaced stretches; the sizes of plain words, WORD each, and their spaces are left out."""
+    places = [m.span() for m in _RUN.finditer(text)]
+    if not unspaced(text):
+        return places, text.lower().split(), None, None
+    out, words, sizes, spaced = [], [], [], []
+    for start, end in places:
+        word = text[start:end]
+        wide = not word.isascii() and _WIDE.search(word) is not None
+        if not wide and end - start <= TOKEN:
+            cuts = [end - start]
+        else:
+            folded = [c.lower() for c in word]
+            grams = ("".join(folded[k - GRAM : k]) for k in range(GRAM, len(word)))
+            cuts = [k for k, g in enumerate(grams, GRAM) if zlib.crc32(g.encode("utf-8", "surrogatepass")) % GRAM == 0] + [len(word)]
+        at = 0
+        for cut in cuts:
+            part = word[at:cut]
+            out.append((start + at, start + cut))
+            words.append(part.lower())
+            n_wide = len(_WIDE.findall(part)) if wide else 0
+            # A short stretch of other letters beside wide ones is a word or a part of one.
+            sizes.append(WORD if len(cuts) == 1 and not n_wide and len(word) <= TOKEN else WIDE * n_wide + len(part) - n_wide)
+            spaced.append(at == 0)
+            at = cut
+    return out, words, sizes, spaced
+
+
+def n_words(words: list[str]) -> int:
+    """How many words these count as, by their characters where there are no spaces."""
+    n = 0
+    for word in words:
+        wide = 0 if word.isascii() else len(_WIDE.findall(word))
+        n += WIDE * wide + len(word) - wide if wide or len(word) > TOKEN else WORD
+    return n // WORD
+
+
 def units(text: str, min_line: int = MIN_LINE, min_sentence: int = MIN_SENTENCE) -> list[tuple[str, int, int]]:
     """(kind and normalised unit, start, end) of a text; a line's span takes in its line break."""
     out, at = [], 0
+    count = n_words if unspaced(text) else len
     for line in text.split("\n"):
         end = at + len(line)
         words = line.lower().split()
-        if len(words) >= min_line:
+        n = count(words)
+        if words and n >= min_line:
             out.append(("l " + " ".join(words), at, min(end + 1, len(text))))
-        if len(words) >= min_sentence:
+        if n >= min_sentence:
             start = 0
             for stop in [*[m.end() for m in _END.finditer(line)], len(line)]:
                 words = line[start:stop].lower().split()
-                if len(words) >= min_sentence:
+                if words and count(words) >= min_sentence:
                     out.append(("s " + " ".join(words), at + start, at + stop))
-                if len(words) > LONG:
-                    out.extend(pieces(line[start:stop], at + start, min_sentence))
                 start = stop
         at = end + 1
+    out.extend(runs(text, min_sentence))
     return out
 
 
-def pieces(sentence: str, at: int, least: int) -> list[tuple[str, int, int]]:
-    """Pieces of a long sentence: the words after one that ends a piece, up to and with the next."""
-    out, words, start = [], [], 0
-    for m in _RUN.finditer(sentence):
-        word = m[0].lower()
-        if not words:
-            start = m.start()
-        words.append(word)
-        if zlib.crc32(word.encode("utf-8", "surrogatepass")) % PIECE == 0:
-            if len(words) >= least:
-                out.append(("p " + " ".join(words), at + start, at + m.end()))
-            words = []
+def runs(text: str, least: int) -> list[tuple[str, int, int]]:
+    """From each chosen word to the first chosen one with which the run counts ``least`` words."""
+    places, words, sizes, spaced = tokens(text)
+    if not places:
+        return []
+    last = len(words) - 1
+    crc = zlib.crc32
+    chosen = [i for i, w in enumerate(words) if crc(w.encode("utf-8", "surrogatepass")) % PIECE == 0 or i == 0 or i == last]
+    if sizes is None:
+        before, need = range(len(words) + 1), least
+        flat = " ".join(words)
+        ends = [*accumulate(len(w) + 1 for w in words)]
+        starts = [0, *ends]
+    else:
+        before, need = [0, *accumulate(sizes)], least * WORD
+        flat = "".join(" " + w if s and i else w for i, (w, s) in enumerate(zip(words, spaced, strict=True)))
+        ends, at = [], 0
+        starts = []
+        for i, (w, s) in enumerate(zip(words, spaced, strict=True)):
+            at += 1 if s and i else 0
+            starts.append(at)
+            at += len(w)
+            ends.append(at + 1)
+    out, k = [], 0
+    for i in chosen:
+        while k < len(chosen) and before[chosen[k] + 1] - before[i] < need:
+            k += 1
+        if k == len(chosen):
+            break
+        j = chosen[k]
+        out.append(("r " + flat[starts[i] : ends[j] - 1], places[i][0], places[j][1]))
     return out
 
 
 def unit_rows(docs: DataFrame, min_line: int, min_sentence: int) -> DataFrame:
-    """UNITS of every row of ``docs`` (id, text_hash, text)."""
+    """UNITS of every row of ``docs`` (id, text_hash, text), and one at -1 whose end is their number."""
 
     def make():
         import xxhash
 
         def one(key, text_hash, text):
-            rows = []
-            for unit, start, end in units(text or "", min_line, min_sentence):
+            found = units(text or "", min_line, min_sentence)
+            rows = [(key, text_hash, 0, 0, -1, len(found))]
+            for unit, start, end in found:
                 digest = xxhash.xxh3_128_intdigest(unit.encode())
                 high, low = digest >> 64, digest & (2**64 - 1)
                 rows.append((key, text_hash, high - (high >> 63 << 64), low - (low >> 63 << 64), start, end))
@@ -152,30 +228,36 @@ def dedup_lines(docs: DataFrame, min_line: int = MIN_LINE, min_sentence: int = M
         F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    found = materialise(unit_rows(keyed.select("id", "text_hash", "text"), min_line, min_sentence), "units")
+    written = materialise(unit_rows(keyed.select("id", "text_hash", "text"), min_line, min_sentence), "units")
+    # Most digests occur once: half of each, counted alone, tells which rows go any further.
+    often = written.where("start >= 0").groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select(F.col("low").alias("o_low"))
+    often = materialise(often, "often")
+    found = materialise(written.where("start >= 0").join(often, F.expr("low = o_low")).drop("o_low"), "repeated")
     place = F.struct("id", "text_hash", "start")
     # Written, so that both sides of the join are exchanges that Spark can split at a hot digest.
     kept = materialise(
         found.groupBy("high", "low")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where("first != last")
+        .agg(F.min(place).alias("first"), F.count("*").alias("n"))
+        .where("n > 1")  # rows that repeat a document hold only its first places, and nothing goes
         .select(F.col("high").alias("k_high"), F.col("low").alias("k_low"), "first"),
         "first-places",
     )
     removed = (
         found.join(kept, F.expr("high = k_high AND low = k_low"))
         .where(place != F.col("first"))
+        .select("id", "text_hash", "start", "end")
+        .unionByName(written.where("start < 0").select("id", "text_hash", "start", "end"))
         .groupBy("id", "text_hash")
-        .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-        .select(F.col("id").alias("r_id"), F.col("text_hash").alias("r_hash"), "spans")
+        .agg(F.collect_set(F.when(F.col("start") >= 0, F.struct("start", "end"))).alias("spans"), F.max(F.when(F.col("start") < 0, F.col("end"))).alias("n_units"))
+        .select(F.col("id").alias("r_id"), F.col("text_hash").alias("r_hash"), "spans", "n_units")
     )
-    joined = keyed.join(removed, F.expr("id = r_id AND text_hash = r_hash"), "left").select("doc_id", "text", "spans")
+    joined = keyed.join(removed, F.expr("id = r_id AND text_hash = r_hash"), "left").select("doc_id", "text", "spans", "n_units")
 
     def make():
-        def one(doc_id, text, spans):
+        def one(doc_id, text, spans, n_units):
             spans = [(s["start"], s["end"]) for s in spans or []]
             cut = merged(spans)
-            return [(doc_id, len(units(text, min_line, min_sentence)), len(spans), [{"start": a, "end": b} for a, b in cut], without(text, cut))]
+            return [(doc_id, n_units, len(spans), [{"start": a, "end": b} for a, b in cut], without(text, cut))]
 
         return one
 

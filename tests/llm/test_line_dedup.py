@@ -54,3 +54,36 @@ def test_passage_without_sentences(spark):
     out = {x.doc_id: x.n_removed for x in line_dedup.op4(docs).collect()}
     assert out[0] == 0 and out[99] == 0 and all(out[i] > 0 for i in range(1, 30))
     assert collected(line_dedup.op4(docs)) == line_dedup.brute_force(rows)
+
+
+def test_nearly_all_of_a_passage_in_the_middle_of_lines():
+    r = random.Random(11)
+    words = ["w%d" % i for i in range(5000)]
+    shares = []
+    for _ in range(200):
+        passage = r.choices(words, k=50)
+        for k in range(5, 50, 6):  # short sentences
+            passage[k] += "."
+        passage = " ".join(passage)
+        texts = [f"{' '.join(r.choices(words, k=20))} {passage} {' '.join(r.choices(words, k=20))}" for _ in range(2)]
+        spans = line_dedup.brute_force(list(enumerate(texts)))[1][2]
+        left = [int(x) for s in spans.split(",") if s for x in s.split(":")]
+        at = texts[1].index(passage)
+        assert all(at <= x <= at + len(passage) for x in left)
+        shares.append(sum(len(texts[1][a:b].split()) for a, b in zip(left[::2], left[1::2], strict=True)) / 50)
+    assert sum(shares) / len(shares) > 0.8 and min(shares) > 0.3
+
+
+def test_runs_cross_lines_and_need_no_spaces():
+    r = random.Random(12)
+    hard = "\n".join(" ".join("v%d" % r.randrange(900) for _ in range(3)) for _ in range(20))
+    han = "".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(120))
+    token = "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=400))
+    for passage in (hard, han, token):
+        rows = [(i, f"{i} other {passage}{'.' * i} tail {i}") for i in range(2)]
+        spans = line_dedup.brute_force(rows)[1][2]
+        gone = sum(int(b) - int(a) for a, b in (s.split(":") for s in spans.split(",") if s))
+        assert 0.6 * len(passage) < gone <= len(passage) + 8
+    assert line_dedup.brute_force([(0, han), (1, f"x\n{han}\ny")])[1][2] == "2:123"
+    short = [(0, "天地玄黄"), (1, "天地玄黄")]
+    assert line_dedup.brute_force(short)[1][1] == 0
