@@ -6,7 +6,9 @@ Two scanners work on every whole text:
 * a lexer for name-literal pairs (``name = "x"``, ``name: 'x'``, ``"name": "x"``, ``NAME=x``,
   ``name := x``, ``name => x``, ``<name>x</name>``). Names bound to literals are constants; an
   assignment whose right side is made of such names and literals joined by ``+`` gets their
-  concatenation. A literal is scored by how sensitive the words of its target name are, and by
+  concatenation; with an unknown name among them each literal counts alone. A type may stand
+  between the name and ``=``, and a bare value is read again, as it may be a name itself
+  (``a = b = "x"``, ``env: NAME=x``). A literal is scored by how sensitive the words of its target name are, and by
   the literal's length and spread of characters; placeholders score low. Literals from
   ``literal_score`` up become ``literal`` spans, at the place where the text holds the literal.
 """
@@ -48,15 +50,18 @@ PLACEHOLDERS = re.compile(r"(?i)^(?:x{3,}|\*{3,}|\.{3,}|change_?me|todo|none|nul
 _NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*"
 _QUOTED = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'"
 _BARE = r"[A-Za-z0-9+/_.=\-]+"
+_TYPE = r"&?[A-Za-z_][A-Za-z0-9_.]*(?:\[[^\]\n=]{0,80}\]|<[^<>\n=]{0,80}>)?(?:\[\])?\??(?:[\x20\t]*\|[\x20\t]*[A-Za-z_][A-Za-z0-9_.]*){0,8}"
 #: ``name <op> literal-or-name (+ literal-or-name)*``; the name may be quoted.
 PAIR = re.compile(
-    rf"(?<![A-Za-z0-9_])[\"']?(?P<name>{_NAME})[\"']?[\x20\t]*(?::=|=>|==?|:)[\x20\t]*"
+    rf"(?<![A-Za-z0-9_])[\"']?(?P<name>{_NAME})[\"']?[\x20\t]*(?::[\x20\t]*(?P<type>{_TYPE})[\x20\t]*=[\x20\t]*(?=[\"'])|(?::=|=>|==?|:)[\x20\t]*)"
     rf"(?P<value>(?:{_QUOTED}|{_BARE})(?:[\x20\t]*\+[\x20\t]*(?:{_QUOTED}|{_BARE}))*)"
 )
 ELEMENT = re.compile(rf"<(?P<name>{_NAME})>(?P<value>[^<>\n]+)</(?P=name)>")
 _TERM = re.compile(rf"({_QUOTED}|{_BARE})(?:[\x20\t]*\+[\x20\t]*|\Z)")
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _IDENTIFIER = re.compile(rf"{_NAME}\Z")
+_ASSIGNED = re.compile(r"[\x20\t]*(?::=|=(?![=>]))")
+_MIXED = re.compile(r"(?=\S*[0-9])(?=\S*[A-Za-z])\S{6,}")
 
 
 def name_score(name: str) -> float:
@@ -70,8 +75,11 @@ def name_score(name: str) -> float:
 
 
 def literal_score(name: str, literal: str) -> float:
-    """0..1: sensitivity of the name times the weight of the literal's entropy; words weigh half."""
-    if len(literal) < 6 or any(c.isspace() for c in literal) or PLACEHOLDERS.match(literal):
+    """0..1: sensitivity of the name times the weight of the literal's entropy; words weigh half.
+
+    Literals with white space are prose unless one of their words has both letters and digits.
+    """
+    if len(literal) < 6 or PLACEHOLDERS.match(literal) or (any(c.isspace() for c in literal) and not _MIXED.search(literal)):
         return 0.0
     score = name_score(name)
     if score <= 0:
@@ -82,35 +90,59 @@ def literal_score(name: str, literal: str) -> float:
     return score * plain * min(1.0, 0.35 + 0.2 * bits)
 
 
+def matches(text: str) -> list[re.Match]:
+    """Matches of PAIR by start; types and bare values are read again, as names of their own.
+
+    Inside one bare value each telling name counts once, so that ``a=a=a=...`` stays linear.
+    """
+    out, m = [], PAIR.search(text)
+    until, seen = -1, set()
+    while m:
+        inside = m.end() <= until
+        if not inside or (m["name"] not in seen and name_score(m["name"]) > 0):
+            out.append(m)
+            seen.add(m["name"])
+        bare = not m["type"] and text[m.start("value")] not in "\"'"
+        if bare and not inside:
+            until, seen = m.end(), set()
+        m = PAIR.search(text, m.start("type") if m["type"] else m.start("value") if bare else m.end())
+    return out
+
+
 def pairs(text: str) -> list[tuple[str, str, int, int]]:
     """Name-literal pairs in order: (name, literal after propagation, start, end of the value's text)."""
     constants: dict[str, tuple[str, int, int]] = {}
     out = []
-    found = [*PAIR.finditer(text), *ELEMENT.finditer(text)] if "=" in text or ":" in text or "</" in text else []
+    waiting: list[str] = []  # names to the left of the one that comes next, in ``a = b = "x"``
+    found = [*matches(text), *ELEMENT.finditer(text)] if "=" in text or ":" in text or "</" in text else []
     for m in sorted(found, key=lambda m: m.start()):
         name, (start, end) = m["name"], m.span("value")
+        if m.re is PAIR and _IDENTIFIER.match(m["value"]) and _ASSIGNED.match(text, end):
+            waiting.append(name)
+            continue
+        names, waiting = [*waiting, name], []
         terms = [(m["value"], 0)] if m.re is ELEMENT else [(t[1], t.start(1)) for t in _TERM.finditer(m["value"])]
-        value, known = "", True
+        value, known, literals = "", True, []
         for term, at in terms:
             quoted = len(term) > 1 and term[0] in "\"'" and term[-1] == term[0]
             if quoted:
                 value += term[1:-1]
+                literals.append((term[1:-1], m.start("value") + at + 1, m.start("value") + at + len(term) - 1))
             elif term in constants:
                 value += constants[term][0]
+                literals.append(constants[term])
             else:
                 value += term
-                known = len(terms) == 1
-            if len(terms) == 1 and quoted:
-                start, end = m.start("value") + at + 1, m.start("value") + at + len(term) - 1
-            elif len(terms) == 1 and term in constants:  # the literal stands where the constant was bound
-                start, end = constants[term][1:]
-            if not known:
-                break
-        if not known or start >= end:
-            continue
-        out.append((name, value, start, end))
-        if _IDENTIFIER.match(name):
-            constants[name] = (value, start, end)
+                known = known and len(terms) == 1
+            if len(terms) == 1 and literals:  # a constant's literal stands where it was bound
+                start, end = literals[0][1:]
+        if not known:
+            out += [(n, *literal) for n in names for literal in literals if literal[1] < literal[2]]
+        elif start < end:
+            for n in names:
+                out.append((n, value, start, end))
+                if _IDENTIFIER.match(n):
+                    constants[n] = (value, start, end)
     return out
 
 

@@ -61,6 +61,27 @@ def test_assignments(text, found):
     assert [text[a:b] for a, b, kind in secrets.scan(text) if kind == "literal"] == found
 
 
+@pytest.mark.parametrize(
+    "text,found",
+    [
+        ('db_pwd: str = "x9Kq77ZpLm2"', ["x9Kq77ZpLm2"]),
+        ('let pwd: string = "x9Kq77ZpLm2"', ["x9Kq77ZpLm2"]),
+        ('password: Optional[str] = "x9Kq77ZpLm2"', ["x9Kq77ZpLm2"]),
+        ('config: db_pwd = "x9Kq77ZpLm2"', ["x9Kq77ZpLm2"]),
+        ('a = db_pwd = "x9Kq77ZpLm2"', ["x9Kq77ZpLm2"]),
+        ('db_pwd = a = "x9Kq77ZpLm2"', ["x9Kq77ZpLm2"]),
+        ("environment: DB_PWD=x9Kq77ZpLm2", ["x9Kq77ZpLm2"]),
+        ('pwd = base + "x9Kq77ZpLm2"', ["x9Kq77ZpLm2"]),
+        ('db_pwd = "x9Kq 77ZpLm2"', ["x9Kq 77ZpLm2"]),
+        ('db_pwd = "enter it here"', []),
+        ('title: str = "x9Kq77ZpLm2"', []),
+    ],
+)
+def test_common_syntax_of_assignments(text, found):
+    assert [text[a:b] for a, b, kind in secrets.scan(text) if kind == "literal"] == found
+    assert all(x not in secrets.redact(text) for x in found)
+
+
 def test_redaction(spark):
     text = 'x token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" y AKIA' + "A" * 20
     assert secrets.redact(text) == 'x [secret]" y [secret]'
