@@ -51,6 +51,8 @@ FURNITURE = re.compile(
     r"|contentinfo|navigation|cookies?|consent|gdpr|notices?|alerts?|disclaimer|popup|modal|overlay|comments?|commentlist|replies|reply|disqus|respond"
     r"|related|recommend\w*|share|sharing|social|newsletter|subscribe|signup|login|search|toolbar|widgets?|pagination|pager|tags?|toc|skip|hidden|copyright)$"
 )
+#: Words that say nothing in a compound such as site-footer; any other word makes it something else.
+NEUTRAL = re.compile(r"^(?:site|page|main|top|bottom|left|right|global|primary|secondary|mobile|desktop|box|block|bar|wrap|wrapper|container|area|section|inner|outer|list|items?|links?|unit|slot|group|row|col|column|header|by|the|us|post|form|js|[0-9]+)?$")
 BODY = re.compile(r"^(?:article|story|post|entry|content|main|maincontent|body|text|articlebody)$")
 HEADER = re.compile(r"^(?:header|head|top|topbar)$")
 
@@ -63,6 +65,9 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S
 )
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none")
+#: Elements that hold a whole page or text.
+WHOLE = frozenset("html body main article".split())
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
@@ -73,6 +78,8 @@ class Node:
     depth: int
     weight: float  # of this element and those around it
     in_article: bool
+    own: float = 0.0  # of this element alone
+    inline: bool = False
 
 
 @dataclass
@@ -84,18 +91,24 @@ class Block:
     heading: bool
 
 
+def _means(words: list[str], kind: re.Pattern) -> bool:
+    """Whether a whole class token is of a kind: has a word of it, and else only neutral ones."""
+    return any(kind.match(w) for w in words) and all(kind.match(w) or NEUTRAL.match(w) for w in words)
+
+
 def _attribute_weight(attrs: str, in_article: bool) -> float:
     weight = 0.0
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values).lower()
         if name in ("class", "id", "role", "aria-label", "itemprop"):
-            for word in _SPLIT.split(value):
-                if FURNITURE.match(word):
+            for token in value.split():
+                words = _SPLIT.split(token)
+                if _means(words, FURNITURE):
                     weight = min(weight, -9.0)
-                elif BODY.match(word):
-                    weight = max(weight, 2.0) if weight >= 0 else weight
-                elif HEADER.match(word) and not in_article:
+                elif not in_article and _means(words, HEADER):
                     weight = min(weight, -5.0)
+                elif any(BODY.match(w) for w in words):
+                    weight = max(weight, 2.0) if weight >= 0 else weight
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
             weight = -9.0
     return weight
@@ -108,6 +121,7 @@ class _Builder:
     link_chars: int = 0
     links: int = 0
     node: Node = field(default_factory=lambda: Node("#root", None, 0, 0.0, False))
+    nodes: list[Node] = field(default_factory=list)
 
     def text(self, raw: str, literal: bool = False) -> None:
         if raw:
@@ -142,11 +156,44 @@ class _Builder:
         own = ELEMENT_WEIGHTS.get(name, 0.0)
         if name == "header" and inside:
             own = 0.0
-        weight = own + (_attribute_weight(attrs, inside or name in ("article", "main")) if attrs.strip(" /") else 0.0)
-        above = self.node.weight
-        # Furniture around an article part, or inside it, decides; signs of content add up once.
-        total = min(weight, above) if min(weight, above) < 0 else max(weight, above)
-        self.node = Node(name, self.node, self.node.depth + 1, total, inside or name in ("article", "main"))
+        weight = own
+        if attrs.strip(" /"):
+            signs = _attribute_weight(attrs, inside or name in ("article", "main"))
+            # Classes of these tell of the page's layout or of the article's topic.
+            weight += max(signs, 0.0) if name in WHOLE and not _HIDDEN.search(attrs) else signs
+        self.node = Node(name, self.node, self.node.depth + 1, _total(weight, self.node.weight), inside or name in ("article", "main"), weight, inline=name not in BLOCK)
+        self.nodes.append(self.node)
+
+    def within(self, name: str) -> bool:
+        """Whether an inline element of that name is open that is judged by itself."""
+        at: Node | None = self.node
+        while at is not None and at.inline:
+            if at.name == name:
+                return True
+            at = at.parent
+        return False
+
+    def settle(self) -> None:
+        """A form around most of the page's text is no sign of furniture."""
+        if not any(n.name == "form" for n in self.nodes):
+            return
+        chars: dict[int, int] = {}
+        for b in self.blocks:
+            at: Node | None = b.node
+            while at is not None:
+                if at.name == "form":
+                    chars[id(at)] = chars.get(id(at), 0) + b.chars
+                at = at.parent
+        most = sum(b.chars for b in self.blocks) / 2
+        for n in self.nodes:
+            if n.name == "form" and chars.get(id(n), 0) > most:
+                n.own -= ELEMENT_WEIGHTS["form"]
+            n.weight = _total(n.own, n.parent.weight)
+
+
+def _total(own: float, above: float) -> float:
+    """Furniture around an article part, or inside it, decides; signs of content add up once."""
+    return min(own, above) if min(own, above) < 0 else max(own, above)
 
 
 def blocks(page: str) -> list[Block]:
@@ -189,7 +236,14 @@ def blocks(page: str) -> list[Block]:
                 build.start(name, m["attrs"])
         elif name == "a":
             build.links = 0 if m["end"] else 1
+        elif m["end"]:
+            if build.within(name):
+                build.flush()
+                build.close({name})
+        elif build.within(name) or (m["attrs"].strip(" /") and _attribute_weight(m["attrs"], True) <= -9.0):
+            build.start(name, m["attrs"])
     build.flush()
+    build.settle()
     return build.blocks
 
 

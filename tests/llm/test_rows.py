@@ -163,6 +163,28 @@ def test_main_text(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+TEXT = "A paragraph of the story that is long enough to be taken for its text. " * 3
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='has-sidebar content-sidebar no-comments'><p>%s</p></body>",
+        "<body class='sidebar'><div class='no-comments'><p>%s</p></div></body>",
+        "<body><form id=aspnet><div><p>%s</p></div><footer>Imprint</footer></form></body>",
+        "<article class='post tag-news tag'><p>%s</p></article>",
+        "<main><p>%s<ins class='adsbygoogle'>Buy <ins>two</ins> now!</ins></p><span class='hidden-ad ad'>Cheap.</span></main>",
+    ],
+)
+def test_layout_classes_forms_and_inline_adverts(page):
+    assert html_extract.main_text(page % TEXT) == TEXT.strip()
+
+
+def test_compound_furniture_stays_out():
+    page = "<main><p>%s</p></main>" + "".join(f"<div class='{c}'>{TEXT}</div>" for c in ("site-footer", "cookie-notice", "main-nav", "comment-list"))
+    assert html_extract.main_text((page % TEXT).replace("comment-list", "comments-list")) == TEXT.strip()
+
+
 def test_minimum_cut_against_all_labellings():
     r = random.Random(0)
     for _ in range(200):
