@@ -1,4 +1,8 @@
-"""Row-wise Python stages over Arrow batches."""
+"""Row-wise Python stages over Arrow batches.
+
+How many rows the JVM puts in a batch is the session's choice (``maxRecordsPerBatch`` and
+``maxBytesPerBatch`` of ``spark.sql.execution.arrow``); nothing here changes a session's settings.
+"""
 
 from __future__ import annotations
 
@@ -14,23 +18,6 @@ from pyspark.sql import types as T
 SLICE_BYTES = 8 << 20
 
 
-#: Rows that go to Python at a time, unless the session says otherwise than Spark's default.
-BATCH_ROWS = 1000
-_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, after lowering the rows of an Arrow batch from Spark's default of 10,000.
-
-    That many whole texts fill off-heap buffers of the JVM and both ends of the pipe at once. A
-    session with a setting of its own keeps it.
-    """
-    conf = df.sparkSession.conf
-    if conf.get(_ROWS_SETTING) == "10000":
-        conf.set(_ROWS_SETTING, str(BATCH_ROWS))
-    return df
-
-
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of at most ``limit`` bytes, or one row."""
     if batch.nbytes <= limit or batch.num_rows <= 1:
@@ -64,7 +51,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: T.StructType)
                     [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
                 )
 
-    return small_batches(df).mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: T.StructType) -> DataFrame:
@@ -76,7 +63,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
             for batch in slices(whole):
                 yield fn(batch)
 
-    return small_batches(df).mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def place_of(df: DataFrame, column: str) -> int:

@@ -1,21 +1,21 @@
-"""Substring dedup by hashing lines and the sentences inside them.
-
-Every whole text is cut into units: its lines; inside a line, its sentences (they end at ``.``,
-``!`` or ``?`` before white space); and runs over the words of the whole text, whatever lines and
-sentences they lie in. A run begins at a word chosen by its hash and ends with the next chosen word
-that makes it long enough, so that equal passages have equal runs wherever they stand; runs
-overlap, and the text's first and last words are chosen as well. What a run leaves of a repeated
-passage are the words before its first and after its last chosen word, one in PIECE being chosen.
-A unit is normalised (lower case, runs of white space
-as one space, trimmed) and digested to 128 bits; units of two kinds never share a digest. The
+"""Substring dedup by hashing lines and runs of sentences.
+
+A text is cut into pieces: its lines, and inside a line its sentences (they end at ``.``, ``!`` or
+``?`` before white space, or at a full-width stop). A piece of more than LONG words, which has no
+such end, is cut after the words that their hash chooses (one in PIECE), so that equal passages
+inside it are cut alike. A unit is the shortest run of whole pieces that counts ``min_words`` words,
+from each piece forwards and from each piece backwards, within a line or over several. So a line or
+sentence that is long enough is a unit by itself, a short one only together with its neighbours, and
+of a repeated passage of ``min_words`` words or more every whole piece is part of a unit.
+
+A unit is normalised (lower case, runs of white space as one space) and digested to 128 bits. The
 digests are grouped over the whole corpus; of the occurrences of one digest the first by (doc_id,
 offset) is kept and the others are removed. Removed spans are offsets (code points, end exclusive)
-into the original text.
+into the original text; a span that begins with a line takes the line break after it along.
 
-Short units repeat by chance, so lines under ``min_line`` words and sentences or runs under
-``min_sentence`` words are no units. A word counts as WORD characters; where there are no spaces
-(scripts without them, tokens of more than TOKEN characters) characters are counted, and runs begin
-and end between characters chosen by the hash of GRAM of them.
+A word counts as WORD characters; where there are no spaces (scripts without them, tokens of more
+than TOKEN characters) characters are counted, and long pieces are cut between characters chosen by
+the hash of GRAM of them.
 
 A digest that a third of all documents hold is counted map-side first, and the occurrences meet
 their one kept place in a join that Spark can split.
@@ -23,22 +23,23 @@ their one kept place in a join that Spark can split.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import zlib
-from itertools import accumulate
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeromill.llm.arrow import map_rows
-from aeromill.llm.common import id_key, materialise
+from aeromill.llm.arrow import map_rows, slices
+from aeromill.llm.common import NULL_ID, id_key, materialise
 
-MIN_LINE = 4
-MIN_SENTENCE = 8
-#: One word in PIECE begins and ends runs.
-PIECE = 4
+#: Words of a unit. Lines and sentences of fewer words repeat by chance, so alone they stay.
+MIN_WORDS = 16
+#: A piece of more words is cut; one word in PIECE ends a part.
+LONG, PIECE = 48, 8
 #: What a word counts, in characters, and a character of a script without spaces.
 WORD, WIDE = 6, 3
 #: Tokens of more characters are not taken for words; GRAM characters choose where they are cut.
@@ -46,20 +47,11 @@ TOKEN, GRAM = 32, 4
 
 _RUN = re.compile(r"\S+")
 #: Thai to Burmese, Khmer, kana, Han and their extensions; Korean has spaces.
-_WIDE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+_WIDE = re.compile("[฀-໿က-႟ក-៿々-〇぀-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff]")
 _LONG = re.compile(r"\S{%d}" % (TOKEN + 1))
-_END = re.compile(r"(?<=[.!?])\s+")
+_END = re.compile(r"(?<=[.!?])\s+|\n|(?<=[。！？])")
 
-UNITS = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("text_hash", T.LongType()),
-        T.StructField("high", T.LongType()),
-        T.StructField("low", T.LongType()),
-        T.StructField("start", T.LongType()),
-        T.StructField("end", T.LongType()),
-    ]
-)
+UNITS = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "text_hash", "high", "low", "span")])
 
 
 def unspaced(text: str) -> bool:
@@ -67,35 +59,6 @@ def unspaced(text: str) -> bool:
     return not text.isascii() and _WIDE.search(text) is not None or _LONG.search(text) is not None
 
 
-def tokens(text: str) -> tuple[list[tuple[int, int]], list[str], list[int] | None, list[bool] | None]:
-    """Places, lower-case texts, sizes and "follows a space" of a text's words and parts of
-    unspaced stretches; the sizes of plain words, WORD each, and their spaces are left out."""
-    places = [m.span() for m in _RUN.finditer(text)]
-    if not unspaced(text):
-        return places, text.lower().split(), None, None
-    out, words, sizes, spaced = [], [], [], []
-    for start, end in places:
-        word = text[start:end]
-        wide = not word.isascii() and _WIDE.search(word) is not None
-        if not wide and end - start <= TOKEN:
-            cuts = [end - start]
-        else:
-            folded = [c.lower() for c in word]
-            grams = ("".join(folded[k - GRAM : k]) for k in range(GRAM, len(word)))
-            cuts = [k for k, g in enumerate(grams, GRAM) if zlib.crc32(g.encode("utf-8", "surrogatepass")) % GRAM == 0] + [len(word)]
-        at = 0
-        for cut in cuts:
-            part = word[at:cut]
-            out.append((start + at, start + cut))
-            words.append(part.lower())
-            n_wide = len(_WIDE.findall(part)) if wide else 0
-            # A short stretch of other letters beside wide ones is a word or a part of one.
-            sizes.append(WORD if len(cuts) == 1 and not n_wide and len(word) <= TOKEN else WIDE * n_wide + len(part) - n_wide)
-            spaced.append(at == 0)
-            at = cut
-    return out, words, sizes, spaced
-
-
 def n_words(words: list[str]) -> int:
     """How many words these count as, by their characters where there are no spaces."""
     n = 0
@@ -105,80 +68,113 @@ def n_words(words: list[str]) -> int:
     return n // WORD
 
 
-def units(text: str, min_line: int = MIN_LINE, min_sentence: int = MIN_SENTENCE) -> list[tuple[str, int, int]]:
-    """(kind and normalised unit, start, end) of a text; a line's span takes in its line break."""
+def _chosen(key: str) -> bool:
+    return zlib.crc32(key.encode("utf-8", "surrogatepass")) % PIECE == 0
+
+
+def cuts(piece: str) -> list[int]:
+    """Ends of the parts of a long piece: after chosen words, and inside unspaced stretches."""
+    out = []
+    for m in _RUN.finditer(piece):
+        word = m[0]
+        if len(word) > TOKEN or (not word.isascii() and _WIDE.search(word)):
+            folded = [c.lower() for c in word]
+            out += [m.start() + k for k in range(GRAM, len(word)) if _chosen("".join(folded[k - GRAM : k]))]
+        elif _chosen(word.lower()):
+            out.append(m.end())
+    if not out or out[-1] < len(piece):
+        out.append(len(piece))
+    return out
+
+
+def pieces(text: str) -> list[tuple[int, int, int, str]]:
+    """(start, end, words, normalised text) of the lines' sentences and of the parts of long ones."""
     out, at = [], 0
     count = n_words if unspaced(text) else len
-    for line in text.split("\n"):
-        end = at + len(line)
-        words = line.lower().split()
+    for stop, after in [*[m.span() for m in _END.finditer(text)], (len(text), 0)]:
+        raw, begin, at = text[at:stop], at, after
+        words = raw.lower().split()
+        if not words:
+            continue
         n = count(words)
-        if words and n >= min_line:
-            out.append(("l " + " ".join(words), at, min(end + 1, len(text))))
-        if n >= min_sentence:
-            start = 0
-            for stop in [*[m.end() for m in _END.finditer(line)], len(line)]:
-                words = line[start:stop].lower().split()
-                if words and count(words) >= min_sentence:
-                    out.append(("s " + " ".join(words), at + start, at + stop))
-                start = stop
-        at = end + 1
-    out.extend(runs(text, min_sentence))
+        begin += len(raw) - len(raw.lstrip())
+        raw = raw.strip()
+        if n <= LONG:
+            out.append((begin, begin + len(raw), n, " ".join(words)))
+            continue
+        a = 0
+        for b in cuts(raw):
+            part = raw[a:b]
+            words = part.lower().split()
+            if words:
+                first = a + len(part) - len(part.lstrip())
+                out.append((begin + first, begin + b, max(1, count(words)), " ".join(words)))
+            a = b
     return out
 
 
-def runs(text: str, least: int) -> list[tuple[str, int, int]]:
-    """From each chosen word to the first chosen one with which the run counts ``least`` words."""
-    places, words, sizes, spaced = tokens(text)
-    if not places:
-        return []
-    last = len(words) - 1
-    crc = zlib.crc32
-    chosen = [i for i, w in enumerate(words) if crc(w.encode("utf-8", "surrogatepass")) % PIECE == 0 or i == 0 or i == last]
-    if sizes is None:
-        before, need = range(len(words) + 1), least
-        flat = " ".join(words)
-        ends = [*accumulate(len(w) + 1 for w in words)]
-        starts = [0, *ends]
-    else:
-        before, need = [0, *accumulate(sizes)], least * WORD
-        flat = "".join(" " + w if s and i else w for i, (w, s) in enumerate(zip(words, spaced, strict=True)))
-        ends, at = [], 0
-        starts = []
-        for i, (w, s) in enumerate(zip(words, spaced, strict=True)):
-            at += 1 if s and i else 0
-            starts.append(at)
-            at += len(w)
-            ends.append(at + 1)
-    out, k = [], 0
-    for i in chosen:
-        while k < len(chosen) and before[chosen[k] + 1] - before[i] < need:
-            k += 1
-        if k == len(chosen):
+def runs(sizes: list[int], least: int) -> list[tuple[int, int]]:
+    """Shortest runs [i, j) of consecutive pieces that count ``least`` words, from either side."""
+    out, n, j = set(), 0, 0
+    for i in range(len(sizes)):
+        while n < least and j < len(sizes):
+            n += sizes[j]
+            j += 1
+        if n < least:
             break
-        j = chosen[k]
-        out.append(("r " + flat[starts[i] : ends[j] - 1], places[i][0], places[j][1]))
-    return out
+        out.add((i, j))
+        n -= sizes[i]
+    n, i = 0, len(sizes)
+    for j in range(len(sizes), 0, -1):
+        while n < least and i > 0:
+            i -= 1
+            n += sizes[i]
+        if n < least:
+            break
+        out.add((i, j))
+        n -= sizes[j - 1]
+    return sorted(out)
 
 
-def unit_rows(docs: DataFrame, min_line: int, min_sentence: int) -> DataFrame:
-    """UNITS of every row of ``docs`` (id, text_hash, text), and one at -1 whose end is their number."""
+def units(text: str, min_words: int = MIN_WORDS) -> list[tuple[str, int, int]]:
+    """(normalised unit, start, end) of a text, in order."""
+    found = pieces(text)
+    flat = " ".join(p[3] for p in found)
+    starts, at = [], 0
+    for p in found:
+        starts.append(at)
+        at += len(p[3]) + 1
+    starts.append(at)
+    return [(flat[starts[i] : starts[j] - 1], found[i][0], found[j - 1][1]) for i, j in runs([p[2] for p in found], min_words)]
 
-    def make():
-        import xxhash
 
-        def one(key, text_hash, text):
-            found = units(text or "", min_line, min_sentence)
-            rows = [(key, text_hash, 0, 0, -1, len(found))]
-            for unit, start, end in found:
-                digest = xxhash.xxh3_128_intdigest(unit.encode())
-                high, low = digest >> 64, digest & (2**64 - 1)
-                rows.append((key, text_hash, high - (high >> 63 << 64), low - (low >> 63 << 64), start, end))
-            return rows
+def unit_rows(docs: DataFrame, min_words: int) -> DataFrame:
+    """UNITS of every row of ``docs`` (id, text_hash, text), and one of span -1 whose ``low`` is their number.
 
-        return one
+    A span is start and end in one long.
+    """
 
-    return map_rows(docs, make, UNITS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        digest = xxhash.xxh3_128_digest
+        for whole in batches:
+            for batch in slices(whole, 1 << 20):
+                ids, hashes, sizes, digests, spans = [], [], [], [], []
+                for key, text_hash, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    found = units(text, min_words)
+                    ids.append(key)
+                    hashes.append(text_hash)
+                    sizes.append(len(found) + 1)
+                    digests.append(bytes(8) + len(found).to_bytes(8, "big"))
+                    digests += [digest(u.encode("utf-8", "surrogatepass")) for u, _, _ in found]
+                    spans.append(-1)
+                    spans += [start << 32 | end for _, start, end in found]
+                both = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+                columns = [np.repeat(ids, sizes), np.repeat(hashes, sizes), both[:, 0], both[:, 1], spans]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=UNITS.names)
+
+    return docs.mapInArrow(run, UNITS)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -192,6 +188,24 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def closed(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Disjoint spans of the units: joined over white space, with the space or line break after them."""
+    out: list[tuple[int, int]] = []
+    for start, end in merged(spans):
+        if out and not text[out[-1][1] : start].strip():
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((start, end))
+    for k, (start, end) in enumerate(out):
+        after = end
+        while after < len(text) and text[after].isspace() and text[after] != "\n":
+            after += 1
+        if after < len(text) and text[after] == "\n":
+            after = after + 1 if start == 0 or text[start - 1] == "\n" else end
+        out[k] = (start, after)
+    return merged(out)
+
+
 def without(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the (sorted, disjoint) spans."""
     parts, at = [], 0
@@ -212,28 +226,26 @@ RESULT = T.StructType(
 )
 
 
-def dedup_lines(docs: DataFrame, min_line: int = MIN_LINE, min_sentence: int = MIN_SENTENCE) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Remove repeated units: one row per row of ``docs`` (doc_id, text).
 
-    Returns doc_id, n_units, n_removed (spans of removed units, nested ones counted too,
-    a line and a sentence over the same span once), removed_spans
+    Returns doc_id, n_units, n_removed (removed units, nested ones counted too), removed_spans
     (sorted, disjoint) and kept_text. A null or empty text has no unit and keeps "". Null ids rank
     first. Rows that repeat an id are told apart by a hash of the text; rows that repeat id and
     text are one document: its units are not repeats of themselves across those rows. No rows
     give none; other columns are ignored, whatever their names.
     """
     keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
         id_key("doc_id").alias("id"),
         F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    written = materialise(unit_rows(keyed.select("id", "text_hash", "text"), min_line, min_sentence), "units")
+    written = materialise(unit_rows(keyed, min_words), "units")
     # Most digests occur once: half of each, counted alone, tells which rows go any further.
-    often = written.where("start >= 0").groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select(F.col("low").alias("o_low"))
+    often = written.where("span >= 0").groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select(F.col("low").alias("o_low"))
     often = materialise(often, "often")
-    found = materialise(written.where("start >= 0").join(often, F.expr("low = o_low")).drop("o_low"), "repeated")
-    place = F.struct("id", "text_hash", "start")
+    found = materialise(written.where("span >= 0").join(often, F.expr("low = o_low")).drop("o_low"), "repeated")
+    place = F.struct("id", "text_hash", "span")
     # Written, so that both sides of the join are exchanges that Spark can split at a hot digest.
     kept = materialise(
         found.groupBy("high", "low")
@@ -245,19 +257,19 @@ def dedup_lines(docs: DataFrame, min_line: int = MIN_LINE, min_sentence: int = M
     removed = (
         found.join(kept, F.expr("high = k_high AND low = k_low"))
         .where(place != F.col("first"))
-        .select("id", "text_hash", "start", "end")
-        .unionByName(written.where("start < 0").select("id", "text_hash", "start", "end"))
+        .select("id", "text_hash", "span", F.lit(None).cast("long").alias("n_units"))
+        .unionByName(written.where("span < 0").select("id", "text_hash", F.lit(None).cast("long").alias("span"), F.col("low").alias("n_units")))
         .groupBy("id", "text_hash")
-        .agg(F.collect_set(F.when(F.col("start") >= 0, F.struct("start", "end"))).alias("spans"), F.max(F.when(F.col("start") < 0, F.col("end"))).alias("n_units"))
+        .agg(F.collect_set("span").alias("spans"), F.max("n_units").alias("n_units"))
         .select(F.col("id").alias("r_id"), F.col("text_hash").alias("r_hash"), "spans", "n_units")
     )
-    joined = keyed.join(removed, F.expr("id = r_id AND text_hash = r_hash"), "left").select("doc_id", "text", "spans", "n_units")
+    joined = keyed.join(removed, F.expr("id = r_id AND text_hash = r_hash"), "left").select("id", "text", "spans", "n_units")
 
     def make():
-        def one(doc_id, text, spans, n_units):
-            spans = [(s["start"], s["end"]) for s in spans or []]
-            cut = merged(spans)
-            return [(doc_id, n_units, len(spans), [{"start": a, "end": b} for a, b in cut], without(text, cut))]
+        def one(key, text, spans, n_units):
+            cut = closed(text, [(s >> 32, s & 0xFFFFFFFF) for s in spans or []])
+            doc_id = None if key == NULL_ID else key
+            return [(doc_id, n_units, len(spans or []), [{"start": a, "end": b} for a, b in cut], without(text, cut))]
 
         return one
 
@@ -265,23 +277,13 @@ def dedup_lines(docs: DataFrame, min_line: int = MIN_LINE, min_sentence: int = M
 
 
 def op4(docs: DataFrame) -> DataFrame:
-    """Digest columns of the line and sentence dedup."""
+    """Digest columns of the line and sentence dedup, for every row of ``docs``.
+
+    A null or empty text has no unit and keeps the empty string. Of equal units the first by
+    (doc_id, offset) stays, null ids first. Rows that repeat id and text are one document. No rows
+    give none; other columns are ignored, whatever their names.
+    """
     spans = F.transform("removed_spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
     return dedup_lines(docs).select(
         "doc_id", "n_units", "n_removed", F.array_join(spans, ",").alias("removed_spans"), F.sha2("kept_text", 256).alias("kept_sha256")
     )
-
-
-def brute_force(rows: list[tuple[int, str | None]], min_line: int = MIN_LINE, min_sentence: int = MIN_SENTENCE) -> dict[int, tuple]:
-    """The same by one ordered pass over unique ids, for small inputs."""
-    seen: set[str] = set()
-    out = {}
-    for doc_id, text in sorted(rows, key=lambda r: r[0]):
-        text, spans, found = text or "", [], units(text or "", min_line, min_sentence)
-        for unit, start, end in sorted(found, key=lambda u: u[1]):
-            if unit in seen:
-                spans.append((start, end))
-            seen.add(unit)
-        cut = merged(spans)
-        out[doc_id] = (len(found), len(set(spans)), ",".join(f"{a}:{b}" for a, b in cut), hashlib.sha256(without(text, cut).encode()).hexdigest())
-    return out
