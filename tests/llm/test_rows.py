@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import struct
+import time
 import zlib
 
 import pytest
@@ -197,3 +198,62 @@ def test_minimum_cut_against_all_labellings():
             return own + sum(c for a, b, c in joined if labels[a] != labels[b])
 
         assert cost(html_extract.min_cut(gains, joined)) == pytest.approx(min(cost(x) for x in itertools.product([False, True], repeat=n)))
+
+
+@pytest.mark.parametrize(
+    "text,found",
+    [
+        ('{"token": ["x9Kq77ZpLm2", "aa11bb22cc"]}', ["x9Kq77ZpLm2", "aa11bb22cc"]),
+        ('password = getenv("X9_SECRET_77")', []),
+        ("token = os.environ[KEY77abc]", []),
+        ("token = config.auth.token", []),
+        ("passwords:\n  - x9Kq77ZpLm2\n  - bb22cc33dd\nuser: me", ["x9Kq77ZpLm2", "bb22cc33dd"]),
+        ("private_key: |\n  -----BEGIN-----\n  MIIEowIBAAKCAQEA7\n  -----END-----\nother: 1", ["-----BEGIN-----\n  MIIEowIBAAKCAQEA7\n  -----END-----"]),
+        ('db_pwd = """x9Kq77\nZpLm2"""', ["x9Kq77\nZpLm2"]),
+        ('cfg["db_pwd"] = \'x9Kq77ZpLm2\'', ["x9Kq77ZpLm2"]),
+        ('client_secret = ("a")\nclient_secret = "Zx9+1" \\\n', []),
+        ('def f():\n    k = "x9Kq77ZpLm2"\n\nother = 1\nauth_token = k', []),
+        ('# k = "x9Kq77ZpLm2"\nauth_token = k', []),
+        ('# db_pwd = "x9Kq77ZpLm2"', ["x9Kq77ZpLm2"]),
+        ('cmd = "run --db_pwd=x9Kq77ZpLm2 now"', ["x9Kq77ZpLm2"]),
+        ('"{\\"db_pwd\\": \\"x9Kq77ZpLm2\\"}"', ["x9Kq77ZpLm2"]),
+        ("see http://host/path?auth_token=x9Kq77ZpLm2&user=me", ["x9Kq77ZpLm2"]),
+        ("db_pwd = $DB_PWD_FROM_ENV", []),
+    ],
+)
+def test_lexer(text, found):
+    assert [text[a:b] for a, b, kind in secrets.scan(text) if kind == "literal"] == found
+
+
+def test_whole_bare_values_go():
+    assert secrets.redact("password=s3cr3t$t!x9z end") == "[secret] end"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        'k0 = "x"\n' + "\n".join(f"k{i + 1} = k{i} + k{i}" for i in range(20_000)),
+        "a-" * 500_000,
+        "a." * 500_000 + "=x",
+        "token=" * 170_000,
+        "".join(f"token{i}=" for i in range(90_000)),
+        '="' * 500_000,
+        "='\\" * 330_000,
+        'token: [' * 120_000,
+        "token: |\n " * 100_000,
+        "x = [\"a\"" * 110_000,
+        "token=`" * 140_000,
+        'token="""' * 110_000,
+        "token:\n - a\n" * 80_000,
+        'token = "' + "a" * 500_000 + " " + "b" * 500_000 + '"',
+        " " * 1_000_000 + "=",
+        "=" * 1_000_000,
+        "<a" * 500_000 + "</",
+        "f" * 23 + ("g" + "f" * 23) * 40_000,
+    ],
+    ids=range(18),
+)
+def test_hostile_texts_take_little_time(text):
+    began = time.process_time()
+    assert secrets.redact(text) is not None
+    assert time.process_time() - began < 20
