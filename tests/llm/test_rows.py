@@ -186,18 +186,75 @@ def test_compound_furniture_stays_out():
     assert html_extract.main_text((page % TEXT).replace("comment-list", "comments-list")) == TEXT.strip()
 
 
+def cut_cost(labels, gains, joined):
+    own = sum(max(g, 0) if not k else max(-g, 0) for g, k in zip(gains, labels, strict=True))
+    return own + sum(c if labels[a] else d for a, b, c, d in joined if labels[a] != labels[b])
+
+
 def test_minimum_cut_against_all_labellings():
     r = random.Random(0)
-    for _ in range(200):
+    for _ in range(400):
         n = r.randrange(1, 9)
         gains = [r.uniform(-3, 3) for _ in range(n)]
-        joined = [(i, j, r.uniform(0, 2)) for i in range(n) for j in range(i) if r.random() < 0.5]
+        joined = [(i, j, r.uniform(0, 2), r.choice([0, r.uniform(0, 2)])) for i in range(n) for j in range(i) if r.random() < 0.5]
+        best = min(cut_cost(x, gains, joined) for x in itertools.product([False, True], repeat=n))
+        assert cut_cost(html_extract.min_cut(gains, joined), gains, joined) == pytest.approx(best, abs=1e-5)
+
+
+def test_whole_small_pages_against_all_labellings():
+    r = random.Random(3)
+    parts = ["<p>", "</p>", "<nav>", "</nav>", "<article>", "</article>", "<form>", "</form>", "<div class=content>", "<div>", "</div>", "<h2>Head</h2>", "Some words of text. ", "ok ", "<a href=x>link</a>"]
+    changed = 0
+    for _ in range(300):
+        page = "".join(r.choices(parts, k=r.randrange(3, 22)))
+        found = html_extract.blocks(page)
+        odds, joined = html_extract.graph(found)
+        if len(odds) > 11:
+            continue
+        got = html_extract.min_cut(odds, joined)
+        assert cut_cost(got, odds, joined) == pytest.approx(min(cut_cost(x, odds, joined) for x in itertools.product([False, True], repeat=len(odds))), abs=1e-4), page
+        assert html_extract.main_text(page) == "\n".join(b.text for b, k in zip(found, got) if k)
+        changed += any((odds[i] > 0) != got[i] for i in range(len(found)))
+    assert changed > 100  # the text alone does not decide
+
+
+LABELLED = [  # pages and their main text, labelled by hand
+    ("<body><div id=top><a href=/>Start</a> | <a href=/b>Blog</a></div><div><h2>A day at sea</h2><p>Early.</p><p>We left the harbour before the sun was up, and the wind was with us all day.</p><p>Calm.</p></div><div class=foot>Imprint</div></body>",
+     "A day at sea\nEarly.\nWe left the harbour before the sun was up, and the wind was with us all day.\nCalm."),
+    ("<article><h1>Soup</h1><ul><li>Salt<li>Water<li>Two large onions</ul><p>Boil it.</p><div class=share>Share this soup with your friends today.</div></article><aside><p>More of our recipes for the winter, all of them tested at home.</p></aside>",
+     "Soup\nSalt\nWater\nTwo large onions\nBoil it."),
+    ("<form action=/s><label>Search</label><input><button>Go</button></form><main><p>Yes</p><p>It was, as they say, a long and quite eventful night in the town.</p><p>No</p></main>",
+     "Yes\nIt was, as they say, a long and quite eventful night in the town.\nNo"),
+    ("<article><p>The text of the story, as it was told to me by an old man.</p></article><div id=comments><article><h3>Ann</h3><p>What a wonderful story, I have read it to all of my children.</p></article></div>",
+     "The text of the story, as it was told to me by an old man."),
+    ("<header>Daily News</header><header><nav>Home</nav></header><div class=post><header><h1>Rain</h1></header><p>It has been raining for three days now, and it will go on.</p></div>",
+     "Rain\nIt has been raining for three days now, and it will go on."),
+]
+
+
+@pytest.mark.parametrize("page,want", LABELLED)
+def test_pages_labelled_by_hand(page, want):
+    assert html_extract.main_text(page) == want
+
+
+def test_repeated_pages(spark):
+    rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (None, None, None)]
+    out = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id or 0, r.n_chars > 0) for r in out) == [(0, False), (0, False), (1, True), (1, True)]
 
-        def cost(labels):
-            own = sum(max(g, 0) if not k else max(-g, 0) for g, k in zip(gains, labels, strict=True))
-            return own + sum(c for a, b, c in joined if labels[a] != labels[b])
 
-        assert cost(html_extract.min_cut(gains, joined)) == pytest.approx(min(cost(x) for x in itertools.product([False, True], repeat=n)))
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 300_000, "<p>ab" * 150_000, ("<p>ab<p>" + "long text of words. " * 3) * 15_000, "<div>" * 100_000 + "</p>" * 100_000, "<span class=ad>" * 60_000 + "</b>" * 60_000,
+        "<div>x" * 100_000, '<a "' * 250_000, "<!" * 500_000, "<a<a" * 250_000, "&#" + "9" * 100_000 + ";", "<form>x" * 60_000, "<textarea>" * 100_000, "<script>" + "</script " * 100_000,
+    ],
+    ids=range(13),
+)
+def test_hostile_pages_take_little_time(page):
+    began = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - began < 20
 
 
 @pytest.mark.parametrize(
