@@ -1,9 +1,11 @@
 """ISO media containers: a writer for raw frames and a reader that never decodes payloads.
 
-The reader walks nested boxes, decodes the sample tables (``stsz``, ``stsc``, ``stco``/``co64``,
-``stts``, ``stss``) and gives, per track, the codec, duration and byte range of every sample and
-of the key frames. It reads only the boxes' headers and tables; payload bytes are addressed, not
-decoded.
+The reader walks nested boxes, decodes the sample tables (``stsz``/``stz2``, ``stsc``, ``stco``/``co64``,
+``stts``, ``stss``) and the track runs of fragments (``moof``), and gives, per track, the codec,
+duration and byte range of every sample and of the key frames. It reads only the boxes' headers and
+tables; payload bytes are addressed, not decoded. Counts are checked against the bytes that are there
+before anything of their size is made, and boxes are walked with a stack, so a malformed container
+gives a ValueError whatever it says.
 
 The writer stores bytes losslessly as the frames of one video track with codec ``raw `` (8-bit
 grey, 64 samples a frame), with a key frame every ``KEY_EVERY`` frames.
@@ -29,11 +31,12 @@ FRAMES_PER_CHUNK = 256
 TIMESCALE = 25
 
 #: Boxes that hold boxes (fixed values).
-CONTAINERS = frozenset({b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"dinf", b"udta", b"mvex"})
+CONTAINERS = frozenset({b"moov", b"mdia", b"minf", b"stbl", b"edts", b"dinf", b"udta", b"mvex"})
 
 
 @dataclass
 class Track:
+    number: int = 0
     codec: str = ""
     handler: str = ""
     timescale: int = 0
@@ -90,21 +93,32 @@ def boxes(data: bytes, start: int = 0, end: int | None = None):
 
 def read(data: bytes) -> list[Track]:
     """The tracks of a container. Payload bytes are not touched."""
-    tracks: list[Track] = []
-
-    def walk(start: int, end: int, tables: dict | None) -> None:
-        for kind, a, b in boxes(data, start, end):
-            if kind == b"trak":
-                own: dict = {}
-                walk(a, b, own)
-                tracks.append(_track(data, own))
-            elif kind in CONTAINERS:
-                walk(a, b, tables)
-            elif tables is not None:
-                tables[kind] = (a, b)
-
-    walk(0, len(data), None)
-    return tracks
+    tracks: list[dict] = []  # of each track, where its tables lie
+    defaults: dict[int, tuple[int, ...]] = {}
+    fragments: list[tuple[int, int, int]] = []
+    stack = [(boxes(data), None)]
+    while stack:
+        found = next(stack[-1][0], None)
+        if found is None:
+            stack.pop()
+            continue
+        (kind, a, b), tables = found, stack[-1][1]
+        if kind == b"trak":
+            tracks.append({})
+            stack.append((boxes(data, a, b), tracks[-1]))
+        elif kind in CONTAINERS:
+            stack.append((boxes(data, a, b), tables))
+        elif kind == b"trex":
+            number, _, *rest = struct.unpack_from(">5I", data, a + 4)
+            defaults[number] = tuple(rest)
+        elif kind == b"moof":
+            fragments.append((a - 8, a, b))
+        elif tables is not None:
+            tables[kind] = (a, b)
+    out = [_track(data, at) for at in tracks]
+    if fragments:
+        _add_fragments(data, out, defaults, fragments)
+    return out
 
 
 def _track(data: bytes, at: dict) -> Track:
@@ -117,7 +131,18 @@ def _track(data: bytes, at: dict) -> Track:
             raise ValueError(f"table {kind!r} is longer than its box")
         return np.frombuffer(data, width, n * columns, a + skip).astype(np.int64).reshape(n, columns)
 
+    def halves() -> np.ndarray:
+        a, b = at[b"stz2"]
+        width, n = data[a + 7], struct.unpack_from(">I", data, a + 8)[0]
+        if width not in (4, 8, 16) or a + 12 + (n * width + 7) // 8 > b:
+            raise ValueError("table b'stz2' is longer than its box")
+        raw = np.frombuffer(data, ">u2" if width == 16 else "u1", n if width > 4 else (n + 1) // 2, a + 12).astype(np.int64)
+        return raw if width > 4 else np.stack((raw >> 4, raw & 15), axis=1).ravel()[:n]
+
     track = Track()
+    if b"tkhd" in at:
+        a = at[b"tkhd"][0]
+        track.number = struct.unpack_from(">I", data, a + (20 if data[a] else 12))[0]
     if b"mdhd" in at:
         a = at[b"mdhd"][0]
         if data[a]:
@@ -130,25 +155,90 @@ def _track(data: bytes, at: dict) -> Track:
         track.codec = data[at[b"stsd"][0] + 12 : at[b"stsd"][0] + 16].decode("latin-1")
     if b"stsz" in at:
         constant, n = struct.unpack_from(">II", data, at[b"stsz"][0] + 4)
+        if constant * n > len(data):
+            raise ValueError("more samples than bytes")
         track.sizes = np.full(n, constant, np.int64) if constant else rows(b"stsz", 1, 12)[:, 0]
+    elif b"stz2" in at:
+        track.sizes = halves()
+    n = len(track.sizes)
     chunks = (rows(b"co64", 1, width=">u8") if b"co64" in at else rows(b"stco", 1))[:, 0]
     runs = rows(b"stsc", 3)
-    if len(runs) and len(chunks):
+    if n:
+        if not len(runs) or not len(chunks) or (chunks < 0).any():
+            raise ValueError("sample tables disagree")
+        # The chunk of each sample, from the samples up to the end of each chunk.
         lengths = np.diff(np.append(runs[:, 0], len(chunks) + 1))
-        per_chunk = np.repeat(runs[:, 1], lengths)
-        chunk = np.repeat(np.arange(len(chunks)), per_chunk)[: len(track.sizes)]
-        before = np.concatenate(([0], np.cumsum(track.sizes)[:-1])) if len(track.sizes) else track.sizes
-        first = np.concatenate(([True], chunk[1:] != chunk[:-1])) if len(chunk) else np.zeros(0, bool)
-        base = before[: len(chunk)][first][np.cumsum(first) - 1] if len(chunk) else before
-        track.offsets = chunks[chunk] + before[: len(chunk)] - base
-    if len(track.offsets) != len(track.sizes):
-        raise ValueError("sample tables disagree")
+        if runs[0, 0] != 1 or (lengths < 0).any():
+            raise ValueError("chunk runs are out of order")
+        upto = np.cumsum(np.repeat(np.minimum(runs[:, 1], n), lengths))
+        if upto[-1] < n:
+            raise ValueError("sample tables disagree")
+        chunk = np.searchsorted(upto, np.arange(n), "right")
+        before = np.cumsum(track.sizes) - track.sizes
+        first = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+        track.offsets = chunks[chunk] + before - np.repeat(before[first], np.diff(np.append(first, n)))
     if not track.duration:
-        track.duration = int((rows(b"stts", 2).prod(axis=1)).sum())
-    track.keys = rows(b"stss", 1)[:, 0] - 1 if b"stss" in at else np.arange(len(track.sizes))
+        track.duration = sum(int(k) * int(d) for k, d in rows(b"stts", 2))
+    track.keys = rows(b"stss", 1)[:, 0] - 1 if b"stss" in at else np.arange(n)
+    if len(track.keys) and not (0 <= track.keys.min() and track.keys.max() < n):
+        raise ValueError("a key frame is no sample")
     return track
 
 
+def _add_fragments(data: bytes, tracks: list[Track], defaults: dict[int, tuple[int, ...]], fragments: list[tuple[int, int, int]]) -> None:
+    """The samples of ``moof`` boxes, after those of the sample tables."""
+    by_number = {t.number: t for t in tracks}
+    found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+    for origin, a, b in fragments:
+        for kind, start, end in boxes(data, a, b):
+            if kind != b"traf":
+                continue
+            number = at = None
+            base = origin
+            duration = size = flags = 0
+            for inner, p, q in boxes(data, start, end):
+                if inner == b"tfhd":
+                    given, number = struct.unpack_from(">II", data, p)
+                    duration, size, flags = defaults.get(number, (0, 0, 0))
+                    p += 8
+                    if given & 1:
+                        base, p = struct.unpack_from(">Q", data, p)[0], p + 8
+                    p += 4 if given & 2 else 0
+                    for bit in (8, 16, 32):
+                        if given & bit:
+                            value, p = struct.unpack_from(">I", data, p)[0], p + 4
+                            duration, size, flags = (value if bit == 8 else duration), (value if bit == 16 else size), (value if bit == 32 else flags)
+                    at = base
+                elif inner == b"trun" and number in by_number:
+                    given, n = struct.unpack_from(">II", data, p)
+                    given &= 0xFFFFFF
+                    p += 8
+                    if given & 1:
+                        at, p = base + struct.unpack_from(">i", data, p)[0], p + 4
+                    first = None
+                    if given & 4:
+                        first, p = struct.unpack_from(">I", data, p)[0], p + 4
+                    fields = [bit for bit in (0x100, 0x200, 0x400, 0x800) if given & bit]
+                    if p + 4 * n * len(fields) > q or (not fields and n > len(data)):
+                        raise ValueError("a track run is longer than its box")
+                    table = np.frombuffer(data, ">u4", n * len(fields), p).astype(np.int64).reshape(n, len(fields))
+                    column = lambda bit, default: table[:, fields.index(bit)] if bit in fields else np.full(n, default, np.int64)  # noqa: B023, E731
+                    sizes, marks = column(0x200, size), column(0x400, flags).copy()
+                    if first is not None and n:
+                        marks[0] = first
+                    offsets = at + np.cumsum(sizes) - sizes
+                    if n and (offsets.min() < 0 or base > 1 << 62):
+                        raise ValueError("a track run begins before the file")
+                    at += int(sizes.sum())
+                    by_number[number].duration += int(column(0x100, duration).sum())
+                    found.setdefault(number, []).append((offsets, sizes, marks & 0x10000 == 0))
+    for number, parts in found.items():
+        track = by_number[number]
+        offsets, sizes, keys = (np.concatenate(x) for x in zip(*parts, strict=True))
+        track.keys = np.concatenate((track.keys, np.flatnonzero(keys) + len(track.sizes)))
+        track.offsets, track.sizes = np.concatenate((track.offsets, offsets)), np.concatenate((track.sizes, sizes))
+
+
 def _box(kind: bytes, *parts: bytes) -> bytes:
     body = b"".join(parts)
     return struct.pack(">I4s", 8 + len(body), kind) + body
@@ -243,14 +333,13 @@ def media_columns(df: DataFrame, column: str, key: str) -> DataFrame:
             if data is None:
                 return [(k, None, None)]
             try:
-                found = read(bytes(data))
-            except (ValueError, struct.error, IndexError) as e:
+                rows = [
+                    {"codec": t.codec, "handler": t.handler, "timescale": t.timescale, "duration": min(t.duration, 2**63 - 1), "n_samples": len(t.sizes),
+                     "key_ranges": [{"start": a, "end": b} for a, b in t.key_ranges()]}
+                    for t in read(bytes(data))
+                ]
+            except (ValueError, struct.error, IndexError, OverflowError) as e:
                 return [(k, str(e) or type(e).__name__, None)]
-            rows = [
-                {"codec": t.codec, "handler": t.handler, "timescale": t.timescale, "duration": t.duration, "n_samples": len(t.sizes),
-                 "key_ranges": [{"start": a, "end": b} for a, b in t.key_ranges()]}
-                for t in found
-            ]
             return [(k, None, rows)]
 
         return one
@@ -288,6 +377,9 @@ OP5_SCHEMA = T.StructType(
         T.StructField("media_bytes", T.LongType()),
         T.StructField("media_sha256", T.StringType()),
         T.StructField("feature", T.StringType()),
+        T.StructField("codec", T.StringType()),
+        T.StructField("seconds", T.DoubleType()),
+        T.StructField("key_ranges", T.StringType()),
     ]
 )
 
@@ -295,8 +387,9 @@ OP5_SCHEMA = T.StructType(
 def op5(docs: DataFrame) -> DataFrame:
     """Store every whole text as a container, read the stored bytes back and digest both.
 
-    One row per row of ``docs``; a null or empty text is one frame of zero bytes. Equal texts
-    give equal values, no rows give none; other columns are ignored. No shuffle.
+    Codec, duration and the byte range of every key frame come back as columns. One row per row of
+    ``docs``; a null or empty text is one frame of zero bytes. Equal texts give equal values, no
+    rows give none; other columns are ignored. No shuffle.
     """
 
     def make():
@@ -307,6 +400,7 @@ def op5(docs: DataFrame) -> DataFrame:
                 (
                     doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]),
                     len(media), hashlib.sha256(media).hexdigest(), feature(track),
+                    track.codec.strip(), track.seconds, ",".join(f"{a}-{b}" for a, b in track.key_ranges()),
                 )
             ]
 

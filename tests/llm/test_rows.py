@@ -132,6 +132,48 @@ def test_media_columns(spark):
     assert all(out[k].error and out[k].tracks is None for k in (3, 5, 6))
 
 
+def malformed():
+    good = media.write(media.padded(b"hello" * 100))
+    at = good.index(b"stsz")
+    yield good[: at + 12] + struct.pack(">I", 0xFFFFFFF0) + good[at + 16 :]
+    at = good.index(b"stsc")
+    yield good[: at + 16] + struct.pack(">I", 0xFFFFFFF0) + good[at + 20 :]
+    at = good.index(b"stss")
+    yield good[: at + 12] + struct.pack(">I", 77) + good[at + 16 :]
+    nested = b""
+    for _ in range(2000):
+        nested = media._box(b"moov", nested)
+    yield nested + b"\0\0"
+    r = random.Random(4)
+    for _ in range(400):
+        data = bytearray(good)
+        for _ in range(r.randrange(1, 6)):
+            data[r.randrange(len(data))] = r.choice([0, 1, 255, r.randrange(256)])
+        yield bytes(data)
+
+
+def test_malformed_containers_give_errors(spark):
+    rows = list(enumerate(malformed()))
+    out = {r.k: r for r in media.media_columns(spark.createDataFrame(rows, "k long, blob binary"), "blob", "k").collect()}
+    assert len(out) == len(rows) and out[0].error and out[2].error and out[3].tracks == []
+
+
+def test_fragments_and_small_sizes():
+    full, box = media._full, media._box
+    stbl = box(b"stbl", full(b"stsd", struct.pack(">I", 1), box(b"av01", bytes(8))))
+    trak = box(b"trak", full(b"tkhd", bytes(8), struct.pack(">I", 7)), box(b"mdia", full(b"mdhd", struct.pack(">IIII", 0, 0, 10, 0)), box(b"minf", stbl)))
+    head = box(b"moov", trak, box(b"mvex", full(b"trex", struct.pack(">5I", 7, 1, 5, 4, 0x10000))))
+    run = struct.pack(">IiI", 3, 100, 0) + struct.pack(">3I", 6, 8, 9)
+    traf = box(b"traf", full(b"tfhd", struct.pack(">I", 7)), full(b"trun", run, flags=0x205), full(b"trun", struct.pack(">I", 2)))
+    (track,) = media.read(head + box(b"moof", traf))
+    begin = len(head) + 100
+    assert track.offsets.tolist() == [begin, begin + 6, begin + 14, begin + 23, begin + 27] and track.sizes.tolist() == [6, 8, 9, 4, 4]
+    assert (track.codec, track.seconds, track.key_ranges()) == ("av01", 2.5, [(begin, begin + 6)])
+    tables = box(b"stbl", full(b"stz2", bytes(3), b"\x04", struct.pack(">I", 3), b"\x35\x70"), full(b"stsc", struct.pack(">IIII", 1, 1, 3, 1)), full(b"stco", struct.pack(">II", 1, 50)))
+    (track,) = media.read(box(b"moov", box(b"trak", tables)))
+    assert track.sizes.tolist() == [3, 5, 7] and track.offsets.tolist() == [50, 53, 58]
+
+
 def test_op5(spark):
     rows = [(1, "héllo"), (2, None), (3, ""), (4, "héllo"), (5, "x" * 64), (None, "y" * 100_000)]
     out = {r.doc_id: r for r in media.op5(spark.createDataFrame(rows, "doc_id long, text string").withColumn("media", F.lit(1))).collect()}
