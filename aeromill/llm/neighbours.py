@@ -2,11 +2,16 @@
 
 A bounded sample gives a neighbour graph; the graph is cut into balanced parts (projection
 bisection, then moves that raise the number of edges inside parts, under a size limit). A small
-network learns to tell a vector's part. It assigns every vector of the table to its most probable
-part, and each query to several most probable parts; how many is set on the sample, as the fewest
-that hold ``target`` of its true neighbours. Distances to every vector of those parts are exact.
+network learns to tell a vector's part. The cell of a vector is the list of its ``depth`` most
+probable parts, in that order; parts and depth follow from the number of vectors, so that a cell
+holds about PART_ROWS of them however many there are, and nothing of the index grows on the driver.
 
-Parts are cut into blocks of about BLOCK vectors by a hash of the id, so a part that many equal
+A query looks into its ``probes`` most probable cells and measures every vector there exactly. How
+many is set on held-out vectors: the fewest that hold ``target`` of their true neighbours in the
+whole table, found by brute force in one pass over it. A query whose cells hold fewer than k others
+looks into four times as many until it has k, or all.
+
+Cells are cut into blocks of about BLOCK vectors by a hash of the id, so a cell that many equal
 vectors make large is searched by many tasks; each block returns its k best for a query, and the
 best of those are merged.
 """
@@ -26,9 +31,11 @@ from aeromill.llm.common import materialise
 
 #: Vectors at most (about) that the graph and the classifier are made from.
 SAMPLE = 8192
-#: Vectors a part holds on average, as far as MAX_PARTS allows.
+#: Of the sample, one in HELD_OUT is kept from learning; at most CALIBRATION of those set the probes.
+HELD_OUT, CALIBRATION = 5, 512
+#: Vectors a cell holds on average, and bounds of the number of parts.
 PART_ROWS = 3000
-MAX_PARTS = 256
+MIN_PARTS, MAX_PARTS = 8, 256
 BLOCK = 4096
 GRAPH_K = 10
 
@@ -97,11 +104,46 @@ class Router:
     b1: np.ndarray
     w2: np.ndarray
     b2: np.ndarray
+    depth: int = 1
     probes: int = 1
 
+    @property
+    def parts(self) -> int:
+        return len(self.b2)
+
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.maximum((x - self.mean) * self.scale @ self.w1 + self.b1, 0) @ self.w2 + self.b2
 
+    def cells(self, x: np.ndarray) -> np.ndarray:
+        """The cell of each row: its most probable parts as digits, the first one highest."""
+        order = np.argsort(-self.logits(x), axis=1, kind="stable")[:, : self.depth]
+        return order @ self.parts ** np.arange(self.depth - 1, -1, -1)
+
+    def probable(self, x: np.ndarray, count: int) -> list[np.ndarray]:
+        """For each row its ``count`` most probable cells, most probable first.
+
+        Parts are drawn one after the other without putting back; of each further level the
+        ``count`` best beginnings are followed.
+        """
+        logits = self.logits(x)
+        logits -= logits.max(axis=1, keepdims=True)
+        share = np.exp(logits)
+        share /= share.sum(axis=1, keepdims=True)
+        out = []
+        for p in share:
+            cell, chance, rest = np.zeros(1, np.int64), np.ones(1), np.ones(1)
+            used = np.zeros((1, self.parts), bool)
+            for _ in range(self.depth):
+                following = np.where(used, -1.0, chance[:, None] * p / np.maximum(rest, 1e-12)[:, None])
+                best = np.argsort(-following.ravel(), kind="stable")[:count]
+                best = best[following.ravel()[best] >= 0]
+                row, part = np.divmod(best, self.parts)
+                cell, chance, rest = cell[row] * self.parts + part, following.ravel()[best], rest[row] - p[part]
+                used = used[row]
+                used[np.arange(len(row)), part] = True
+            out.append(cell)
+        return out
+
 
 def train_router(x: np.ndarray, label: np.ndarray, parts: int, hidden: int = 128, epochs: int = 40, rate: float = 3e-3, seed: int = 0) -> Router:
     """Adam on the cross-entropy, with a fixed seed: the same sample gives the same router."""
@@ -130,17 +172,27 @@ def train_router(x: np.ndarray, label: np.ndarray, parts: int, hidden: int = 128
     return Router(mean, scale, *p)
 
 
-def learn(x: np.ndarray, parts: int, target: float = 0.97) -> Router:
-    """Router of a sample, with the fewest probes that reach ``target`` of the sample's neighbours."""
+def shape(n: int, sample: int, part_rows: int) -> tuple[int, int]:
+    """(parts, depth) for so many vectors: the fewest levels on which cells hold about ``part_rows``.
+
+    On a second level and below, about a quarter of the parts follow on a given one.
+    """
+    most, depth = max(MIN_PARTS, min(MAX_PARTS, sample // 16)), 1
+    while n > 2 * part_rows * most * (most / 4) ** (depth - 1):
+        depth += 1
+    wanted = (max(1.0, n / part_rows) * 4 ** (depth - 1)) ** (1 / depth)
+    return max(MIN_PARTS, min(most, int(np.ceil(wanted)))), depth
+
+
+def learn(x: np.ndarray, parts: int, depth: int = 1) -> Router:
+    """Router of a sample of different vectors; fewer parts where there are not as many vectors."""
+    parts = max(1, min(parts, len(x) // 2))
+    if parts == 1:
+        zeros = np.zeros
+        return Router(zeros(x.shape[1]), 1.0, zeros((x.shape[1], 1)), zeros(1), zeros((1, 1)), zeros(1))
     near = knn(x, min(GRAPH_K, len(x) - 1))
     router = train_router(x, balanced_parts(x, near, parts), parts)
-    order = np.argsort(-router.logits(x), axis=1, kind="stable")
-    place = np.argsort(order, axis=1)  # rank of each part for each row
-    ranks = place[np.arange(len(x))[:, None], order[near, 0]]
-    for probes in range(1, parts + 1):
-        if (ranks < probes).mean() >= target:
-            break
-    router.probes = probes
+    router.depth = min(depth, parts)
     return router
 
 
@@ -157,7 +209,9 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("v") == (top[0]["d"] if top else 0))
 
 
-_ROUTED = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("parts", T.ArrayType(T.IntegerType()))])
+_INDEXED = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("cell", T.LongType())])
+_NEAR = T.StructType([T.StructField("asked", T.IntegerType()), T.StructField("cell", T.LongType()), T.StructField("score", T.DoubleType())])
+_PROBES = T.StructType([*_INDEXED.fields[:2], T.StructField("copies", T.LongType()), T.StructField("cells", T.ArrayType(T.LongType()))])
 _BEST = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("query_hash", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
 
 
@@ -165,81 +219,112 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def build_index(rows: DataFrame, sample: int = SAMPLE, part_rows: int = PART_ROWS) -> tuple[DataFrame, Router | None]:
-    """(vec_id, v, parts) of every valid vector, parts from most to least probable, and the router."""
+def build_index(rows: DataFrame, sample: int = SAMPLE, part_rows: int = PART_ROWS, target: float = 0.97) -> tuple[DataFrame, Router | None]:
+    """(vec_id, v, cell) of every valid vector, and the router, its probes set; None without vectors."""
     n = rows.count()
-    parts = max(1, min(MAX_PARTS, n // part_rows, sample // 16))
-    if parts == 1:
-        return rows.withColumn("parts", F.array(F.lit(0))), None
+    if not n:
+        return rows.withColumn("cell", F.lit(0).cast("long")), None
     share = min(1.0, sample / n)
-    picked = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy("vec_id").collect()
-    router = learn(np.unique(np.array([r["v"] for r in picked], float), axis=0), parts)
+    bucket = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 20))
+    held = F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(HELD_OUT)) == 0
+    picked = rows.where(bucket < int(share * (1 << 20)) + 1).select("vec_id", "v", held.alias("held")).orderBy("vec_id", "v").collect()
+    different = lambda found: np.unique(np.array([r["v"] for r in found], float).reshape(len(found), -1), axis=0)
+    learned = [r for r in picked if not r["held"]] or picked
+    x = different(learned) if learned else np.array([rows.orderBy("vec_id").first()["v"]], float)
+    router = learn(x, *shape(n, sample, part_rows))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                order = np.argsort(-router.logits(_matrix(batch.column(1))), axis=1, kind="stable").astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(order) + 1, dtype=np.int32) * order.shape[1]), pa.array(order.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=_ROUTED.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(router.cells(_matrix(batch.column(1))), pa.int64())], names=_INDEXED.names)
+
+    indexed = materialise(rows.select("vec_id", "v").mapInArrow(assign, _INDEXED), "indexed")
+    asked = [r for r in picked if r["held"]] or picked
+    router.probes = calibrated(indexed, router, different(asked[:: -(-len(asked) // CALIBRATION)]), target) if asked else 1
+    return indexed, router
+
+
+def calibrated(indexed: DataFrame, router: Router, asked: np.ndarray, target: float, k: int = GRAPH_K) -> int:
+    """The fewest probes that hold ``target`` of the true neighbours of ``asked`` in the whole table.
 
-    return materialise(rows.mapInArrow(assign, _ROUTED), "routed"), router
+    Each task keeps the k best of its rows for each of the (boundedly many) vectors.
+    """
+    if router.parts == 1 or target >= 1:  # everywhere
+        return router.parts**router.depth
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = np.zeros((len(asked), 0))
+        cell = np.zeros((len(asked), 0), np.int64)
+        norms = (asked**2).sum(axis=1)[:, None]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                x = _matrix(part.column(1))
+                near = np.maximum(norms + (x * x).sum(axis=1) - 2.0 * (asked @ x.T), 0.0)
+                near[near <= 1e-9 * norms] = np.inf  # the vector itself and its copies
+                score = np.concatenate((score, near), axis=1)
+                cell = np.concatenate((cell, np.broadcast_to(part.column(2).to_numpy(), near.shape)), axis=1)
+                if score.shape[1] > k:
+                    best = np.argpartition(score, k - 1, axis=1)[:, :k]
+                    score, cell = np.take_along_axis(score, best, axis=1), np.take_along_axis(cell, best, axis=1)
+        i, j = np.nonzero(np.isfinite(score))
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(cell[i, j], pa.int64()), pa.array(score[i, j], pa.float64())], names=_NEAR.names)
+
+    nearest_first = Window.partitionBy("asked").orderBy("score", "cell")
+    true = indexed.mapInArrow(run, _NEAR).withColumn("r", F.row_number().over(nearest_first)).where(F.col("r") <= k).select("asked", "cell").collect()
+    if not true:
+        return 1
+    most = min(router.parts**router.depth, 4096)
+    place = [{c: p for p, c in enumerate(cells.tolist(), 1)} for cells in router.probable(asked, most)]
+    ranks = np.sort([place[r["asked"]].get(r["cell"], most) for r in true])
+    return int(ranks[min(len(ranks) - 1, int(np.ceil(target * len(ranks))) - 1)])
 
 
 def nearest(ids: np.ndarray, x: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and exact distances of the k nearest rows but those with the id ``own``; ties to smaller ids.
+    """Ids and exact distances of the k nearest rows but the query's own; ties to smaller ids.
 
-    A product ranks all rows; those within rounding of the k-th are measured exactly, so equal
-    vectors tie exactly.
+    Of rows that repeat the query's id and vector one is its own. A product ranks all rows; those
+    within rounding of the k-th are measured exactly, so equal vectors tie exactly.
     """
     rough = ((x * x).sum(axis=1) + query @ query) - 2.0 * (x @ query)
-    rough[ids == own] = np.inf
-    rest = int((ids != own).sum())
-    if rest > k:
+    same = np.flatnonzero(ids == own)
+    mine = same[(x[same] == query).all(axis=1)][:1]
+    rough[mine] = np.inf
+    if len(ids) - len(mine) > k:
         cut = np.partition(rough, k - 1)[k - 1]
         near = np.flatnonzero(rough <= cut + 1e-9 * (abs(cut) + query @ query + 1e-30) + 1e-12)
     else:
-        near = np.flatnonzero(ids != own)
+        near = np.flatnonzero(np.isfinite(rough))
     exact = np.sqrt(((x[near] - query) ** 2).sum(axis=1))
     order = np.lexsort((ids[near], exact))[:k]
     return ids[near][order], exact[order]
 
 
-def search(vectors: DataFrame, every: int = 100, k: int = 10, sample: int = SAMPLE, part_rows: int = PART_ROWS, block: int = BLOCK) -> DataFrame:
-    """The k nearest found for each query: rows of ``vectors`` whose vec_id is divisible by ``every``.
+def probed(queries: DataFrame, router: Router, probes: int) -> DataFrame:
+    """``queries`` (vec_id, v, copies) with their ``probes`` most probable cells."""
 
-    Returns query_id, rank (from 1), vec_id, score (Euclidean distance of the original vectors in
-    double precision), ties to the smaller vec_id. A candidate never has the query's vec_id.
-    Vectors that are null, zero, of another than the most frequent dimension, or hold null or
-    non-finite components take no part, nor do null ids. A query whose parts hold fewer than k
-    others probes on until it has k or all. Rows that repeat id and vector of a query give one
-    result; queries that share an id but not a vector are ranked apart. No rows give none; other
-    columns are ignored.
-    """
-    indexed, router = build_index(valid_vectors(vectors), sample, part_rows)
-    probes = router.probes if router else 1
-    # One row per part: at most MAX_PARTS.
-    sizes = {r["part"]: r["count"] for r in indexed.groupBy(F.element_at("parts", 1).alias("part")).count().collect()}
-    n_parts = max(sizes, default=0) + 1
-    blocks = F.array(*[F.lit(-(-sizes.get(p, 0) // block)) for p in range(n_parts)]) if n_parts else F.array(F.lit(0))
-    counts = F.array(*[F.lit(sizes.get(p, 0)).cast("long") for p in range(n_parts)])
-    part = F.element_at("parts", 1)
-    candidates = indexed.select(
-        part.alias("part"), F.pmod(F.xxhash64("vec_id"), F.greatest(F.element_at(blocks, part + 1), F.lit(1))).cast("int").alias("block"),
-        F.lit(0).alias("is_query"), "vec_id", F.lit(0).cast("long").alias("query_hash"), "v",
-    )
-    # Most probable parts first; on beyond the probes while fewer than k + 1 rows are reached.
-    known = F.filter("parts", lambda p: F.element_at(counts, F.least(p, F.lit(n_parts - 1)) + 1) * (p < n_parts).cast("int") > 0)
-    reach = lambda i: F.aggregate(F.slice("known", 1, i), F.lit(0).cast("long"), lambda s, p: s + F.element_at(counts, p + 1))
-    taken = F.filter(F.col("known"), lambda p, i: (i < probes) | (reach(i) < k + 1))
-    queries = (
-        indexed.where(F.col("vec_id") % every == 0)
-        .dropDuplicates(["vec_id", "v"])
-        .withColumn("known", known)
-        .withColumn("part", F.explode(taken))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.element_at(blocks, F.col("part") + 1) - 1)))
-        .select("part", "block", F.lit(1).alias("is_query"), "vec_id", F.xxhash64("v").alias("query_hash"), "v")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                cells = router.probable(_matrix(part.column(1)), probes)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([c.tolist() for c in cells], pa.list_(pa.int64()))], names=_PROBES.names)
+
+    return queries.mapInArrow(run, _PROBES)
+
+
+def look(indexed: DataFrame, sizes: DataFrame, queries: DataFrame, k: int, block: int) -> DataFrame:
+    """_BEST: the k nearest of each query (vec_id, v, cells) in each block of its cells."""
+    own_block = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
+    candidates = indexed.join(sizes, "cell").select(
+        "cell", own_block.alias("block"), F.lit(0).alias("is_query"), "vec_id", F.lit(0).cast("long").alias("query_hash"), "v"
     )
-    dealt = candidates.unionByName(queries).repartition("part", "block").sortWithinPartitions("part", "block", "is_query", "vec_id")
+    asked = (
+        queries.select("vec_id", "v", F.explode("cells").alias("cell")).join(sizes, "cell")
+        .withColumn("block", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
+        .select("cell", "block", F.lit(1).alias("is_query"), "vec_id", F.xxhash64("v").alias("query_hash"), "v")
+    )
+    dealt = candidates.unionByName(asked).repartition("cell", "block").sortWithinPartitions("cell", "block", "is_query", "vec_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -268,6 +353,43 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, sample: int = SAMP
                     ], names=_BEST.names,
                 )
 
-    best = dealt.mapInArrow(run, _BEST)
     order = Window.partitionBy("query_id", "query_hash").orderBy("score", "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return dealt.mapInArrow(run, _BEST).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def search(
+    vectors: DataFrame, every: int = 100, k: int = 10, sample: int = SAMPLE, part_rows: int = PART_ROWS, block: int = BLOCK, target: float = 0.97
+) -> DataFrame:
+    """The k nearest found for each query: rows of ``vectors`` whose vec_id is divisible by ``every``.
+
+    Returns query_id, rank (from 1), vec_id, score (Euclidean distance of the original vectors in
+    double precision), ties to the smaller vec_id. Candidates are all rows but the query's own, so
+    a row that repeats the query's id, or id and vector, is one. Vectors that are null, zero, of
+    another than the most frequent dimension (there is no distance between dimensions), or hold
+    null or non-finite components take no part, nor do null ids. A query whose cells hold fewer
+    than k others probes on until it has k or all. Rows that repeat a query are queries of their
+    own with the same results; queries that share an id but not a vector are ranked apart. No rows
+    give none; other columns are ignored.
+    """
+    indexed, router = build_index(valid_vectors(vectors), sample, part_rows, target)
+    empty = indexed.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
+    if router is None:
+        return empty
+    sizes = materialise(indexed.groupBy("cell").agg(F.ceil(F.count("*") / block).alias("blocks")), "cells")
+    queries = materialise(indexed.where(F.col("vec_id") % every == 0).groupBy("vec_id", "v").agg(F.count("*").alias("copies")), "queries")
+    wanted = min(k, indexed.count() - 1)
+    probes, most, open_queries, out = router.probes, router.parts**router.depth, queries, empty
+    while True:
+        best = materialise(look(indexed, sizes, probed(open_queries, router, probes), k, block), "nearest")
+        counts = best.groupBy("query_id", "query_hash").agg(F.count("*").alias("n"))
+        got = counts.where(F.col("n") >= (wanted if probes < most else 0)).select("query_id", "query_hash")
+        done = open_queries.withColumns({"query_id": F.col("vec_id"), "query_hash": F.xxhash64("v")}).join(got, ["query_id", "query_hash"])
+        rows = best.join(done.select("query_id", "query_hash", "copies"), ["query_id", "query_hash"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        out = rows.select("query_id", "rank", "vec_id", "score") if out is empty else out.unionByName(rows.select("query_id", "rank", "vec_id", "score"))
+        if probes >= most:
+            return out
+        rest = open_queries.join(done.select("vec_id", "v"), ["vec_id", "v"], "left_anti")
+        rest = materialise(rest, "queries")
+        if not rest.limit(1).count():
+            return out
+        open_queries, probes = rest, min(4 * probes, most)

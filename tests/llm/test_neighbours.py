@@ -37,11 +37,11 @@ def found(df):
     return out
 
 
-def test_one_part_is_exact(spark):
+def test_exact_where_every_cell_is_probed(spark):
     rows, df = table(spark, 400, 1, hot=40)
     rows += [(1000, None, 0), (1100, [0.0] * 16, 0), (1200, [float("nan")] * 16, 0), (1300, [1.0, None] + [0.0] * 14, 0), (1400, [1.0], 0), (None, [1.0] * 16, 0)]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("part", F.lit("x")).withColumn("v", F.lit(1))
-    got = found(neighbours.search(df, block=64))
+    got = found(neighbours.search(df, block=64, target=1.0))
     assert got == exact([r for r in rows if r[0] not in (1400,)])
 
 
@@ -63,6 +63,33 @@ def test_few_rows(spark):
     assert neighbours.search(spark.createDataFrame([(0, [1.0], 0)], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("n,part_rows,shape", [(500, 3000, (8, 1)), (4000, 60, (67, 1)), (4000, 8, (63, 2))])
+def test_method_runs_on_every_size(spark, n, part_rows, shape):
+    rows, df = table(spark, n, 3)
+    index, router = neighbours.build_index(neighbours.valid_vectors(df), sample=1024, part_rows=part_rows)
+    assert (router.parts, router.depth) == neighbours.shape(n, 1024, part_rows) and router.depth == shape[1] and router.parts > 1
+    assert index.count() == n and index.select("cell").distinct().count() > router.parts / 2
+    got, want = found(neighbours.search(df, sample=1024, part_rows=part_rows)), exact(rows)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert all(len(v) == 10 for v in got.values()) and hits / sum(map(len, want.values())) >= 0.9
+
+
+def test_repeated_rows_are_candidates_and_queries(spark):
+    rows = [(0, [1.0, 0.0], 0)] * 3 + [(0, [5.0, 5.0], 0), (7, [2.0, 0.0], 0)]
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in neighbours.search(spark.createDataFrame(rows, SCHEMA)).collect())
+    three = [(0, 1, 0, 0.0), (0, 2, 0, 0.0), (0, 3, 7, 1.0), (0, 4, 0, 6.403124)]
+    other = [(0, 1, 7, 5.830952), *[(0, k, 0, 6.403124) for k in (2, 3, 4)]]
+    assert got == sorted(3 * three + other)
+
+
+def test_probable_cells_are_ordered_and_complete():
+    r = np.random.default_rng(2)
+    router = neighbours.learn(r.normal(size=(300, 4)), 5, 2)
+    x = r.normal(size=(6, 4))
+    for own, cells, few in zip(router.cells(x), router.probable(x, 25), router.probable(x, 3), strict=True):
+        assert cells[0] == own and sorted(cells) == sorted(5 * a + b for a in range(5) for b in range(5) if a != b) and few[0] == own
+
+
 @pytest.mark.parametrize("parts", [2, 7])
 def test_balance(parts):
     x = np.random.default_rng(1).normal(size=(900, 8))
