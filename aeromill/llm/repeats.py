@@ -16,21 +16,22 @@ A byte goes if a string of LENGTH bytes that covers it starts anywhere else too.
    stably by their new symbol, and the common prefix of neighbours is one more than the least one
    between them a round before (or 0 where symbols differ). The column of symbols in that order is
    the column's transform. A window repeats if its suffix shares LENGTH bytes with a neighbour.
-   The columns are read one after the other from an array that lies in an unlinked file if a
-   collection is large; only one order and one common-prefix array are in memory. An anchor with
-   more than SPLIT different segments (the edge of a passage that very many documents share) would
-   still be one task; its windows are dealt out one by one instead, by 128-bit digests, and those
-   that occur more than once repeat.
+   That sort is the transform's own rank: a document's next place is the number of smaller symbols
+   plus the rank of its symbol in the transform so far.
+   An anchor with more than SPLIT different segments (the edge of a passage that very many documents
+   share) is split by the bytes beside it: of the windows around it those with their anchor at
+   nearly the same place all hold the bytes from there to the anchor and as many after it, so these
+   make a longer anchor, and the segment of these windows alone goes to that one's collection. Where
+   that is still too busy, the anchor becomes the whole window. The construction stays the same.
 4. Ranges go back to all occurrences of a segment and are cut out of the texts.
 
 Anchors are found by hash, but windows are compared byte by byte; a whole segment is known by
-two 64-bit hashes.
+two 64-bit hashes. A collection is bounded, so its columns are held in memory; the sequential files
+between the steps are tables in the shared folder (segments, anchors, kinds of segments, pieces).
 """
 
 from __future__ import annotations
 
-import hashlib
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,10 +48,9 @@ LENGTH = 200
 GRAM = 40
 #: Segments that are sorted together at least, where there are so many.
 CHUNK = 8192
-#: Collections of more documents than this lie in a file.
-IN_MEMORY = 1 << 14
-#: Anchors with more different segments than this are not one collection.
-SPLIT = 50_000
+#: Anchors with more different segments than this are split; how many window starts each part has.
+SPLIT = 2048
+STEPS = (20, 1)
 _END = 256  # sorts after every byte; ends share no prefix
 
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
@@ -146,13 +146,8 @@ class Collection:
     def __init__(self, capacity: int, length: int = LENGTH, gram: int = GRAM):
         self.length, self.before = length, length - gram
         self.width = self.before + 2 * length - gram + 1
-        self.n, self.file = 0, None
-        if capacity > IN_MEMORY:
-            self.file = tempfile.TemporaryFile()  # unlinked: it is gone with the task
-            self.columns = np.memmap(self.file, np.int16, "w+", shape=(self.width, capacity))
-        else:
-            self.columns = np.empty((self.width, capacity), np.int16)
-        self.columns[:] = _END
+        self.n = 0
+        self.columns = np.full((self.width, capacity), _END, np.int16)
         self.group = np.zeros(capacity, np.int64)
         self.lead = np.zeros(capacity, np.int64)
         self.windows = np.zeros(capacity, np.int64)
@@ -247,40 +242,63 @@ def sort_collections(pieces: DataFrame, length: int, gram: int) -> DataFrame:
     return pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _FOUND)
 
 
-_WINDOWS = T.StructType([T.StructField(c, T.LongType()) for c in ("w_anchor", "w_digest", "at", "high", "low")])
+_PARTS = T.StructType([*[T.StructField(c, T.LongType()) for c in ("p_anchor", "p_digest", "at")], *[f for f in _PIECES.fields if f.name != "kinds"]])
 
 
-def split_windows(pieces: DataFrame, length: int) -> DataFrame:
-    """As ``sort_collections``, for the segments of very busy anchors: each window by its digest.
-
-    Windows are counted map-side first; a window that very many segments share meets its count in
-    a join of two written tables, which Spark can split.
-    """
+def parts_of(pieces: DataFrame, step: int, length: int, gram: int) -> DataFrame:
+    """_PARTS of every piece: the segment of each ``step`` window starts, under its longer anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        import xxhash
+
+        before = length - gram
         for whole in batches:
-            for batch in slices(whole, 1 << 18):  # windows take far more room than their segment
+            for batch in slices(whole, 1 << 18):  # parts take far more room than their piece
                 out = []
-                for anchor, digest, windows, piece in zip(*[batch.column(c).to_pylist() for c in ("anchor", "digest", "windows", "piece")], strict=True):
-                    data = np.frombuffer(piece, np.uint8)
-                    hashes.grow(len(data))
-                    both = []
-                    for which in (0, 1):
-                        sums = hashes.sums(data, which)
-                        both.append(_mixed((sums[length:] - sums[:-length]) * hashes.inverses[which][:windows]).view(np.int64))
-                    out.append((np.full(windows, anchor), np.full(windows, digest), np.arange(windows), *both))
+                columns = [batch.column(c).to_pylist() for c in ("anchor", "digest", "weight", "windows", "lead", "piece")]
+                for anchor, digest, weight, windows, lead, piece in zip(*columns, strict=True):
+                    for low in range(0, before + 1, step):
+                        high = min(low + step - 1, before)
+                        first, last = max(0, lead - high), min(windows - 1, lead - low)
+                        if first > last:
+                            continue
+                        context = piece[lead - low : lead + gram + before - high]
+                        part = piece[first : last + length]
+                        place = lead - low - first
+                        own = xxhash.xxh3_64_intdigest(context, (low << 1 | 1) ^ anchor & (2**64 - 1))
+                        shape = xxhash.xxh3_64_intdigest(part, place << 16 | (last - first))
+                        out.append((anchor, digest, first, own - (own >> 63 << 64), shape - (shape >> 63 << 64), weight, last - first + 1, place, part))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)], names=_WINDOWS.names)
-
-    every = materialise(pieces.where("weight = 1").select("anchor", "digest", "windows", "piece").mapInArrow(run, _WINDOWS), "windows")
-    # Segments that occur several times repeat whole, and so do their windows in other segments.
-    copies = materialise(pieces.where("weight > 1").select("anchor", "digest", "windows", "piece").mapInArrow(run, _WINDOWS), "windows")
-    counted = every.select("high", "low", F.lit(1).alias("n")).unionByName(copies.select("high", "low", F.lit(2).alias("n")))
-    repeated = materialise(counted.groupBy("high", "low").agg(F.sum("n").alias("n")).where("n > 1").select("high", "low"), "repeated-windows")
-    starts = every.join(repeated, ["high", "low"], "left_semi").unionByName(copies)
-    window = F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end"))
-    return starts.groupBy(F.col("w_anchor").alias("f_anchor"), F.col("w_digest").alias("f_digest")).agg(F.collect_set(window).alias("ranges"))
+                    columns = list(zip(*out, strict=True))
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:-1]], pa.array(columns[-1], pa.binary())], names=_PARTS.names)
+
+    return pieces.mapInArrow(run, _PARTS)
+
+
+def collection_ranges(pieces: DataFrame, steps: tuple[int, ...], split: int, length: int, gram: int) -> DataFrame:
+    """_FOUND of ``pieces`` (_PIECES, materialised): collections of up to ``split`` of them are sorted, others split."""
+    ranges = sort_collections(pieces.where(F.col("kinds") <= split) if steps else pieces, length, gram)
+    busy = pieces.where(F.col("kinds") > split)
+    if not steps or not busy.limit(1).count():
+        return ranges
+    step = steps[0]
+    parts = materialise(parts_of(busy, step, length, gram), "parts")
+    pick = [F.first(c).alias(c) for c in ("windows", "lead", "piece")]
+    different = materialise(parts.groupBy("anchor", "digest").agg(F.sum("weight").alias("weight"), *pick), "different-parts")
+    per_anchor = materialise(different.groupBy("anchor").agg(F.count("*").alias("kinds")), "kinds-of-parts")
+    finer = materialise(different.join(per_anchor, "anchor").select(*_PIECES.names), "finer-pieces")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), (F.col("windows") + length - 1).alias("end")))
+    alone = finer.where("kinds = 1 AND weight > 1").select(F.col("anchor").alias("f_anchor"), F.col("digest").alias("f_digest"), whole.alias("ranges"))
+    # Of ``step`` consecutive window starts all hold so many bytes together.
+    inside = collection_ranges(materialise(finer.where("kinds > 1"), "finer-collections"), steps[1:], split, length, length - step + 1)
+    moved = F.transform("ranges", lambda r: F.struct((r["start"] + F.col("at")).alias("start"), (r["end"] + F.col("at")).alias("end")))
+    found = alone.unionByName(inside)
+    back = (
+        parts.select("p_anchor", "p_digest", "at", "anchor", "digest").join(found, F.expr("anchor = f_anchor AND digest = f_digest"))
+        .groupBy("p_anchor", "p_digest").agg(F.flatten(F.collect_list(moved)).alias("ranges"))
+        .select(F.col("p_anchor").alias("f_anchor"), F.col("p_digest").alias("f_digest"), "ranges")
+    )
+    return ranges.unionByName(back)
 
 
 RESULT = T.StructType(
@@ -341,14 +359,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, spli
 
     # Rows that repeat id and text would each give the pieces of the one that is wanted.
     texts = keyed.join(wanted, F.expr("id = w_id AND text_hash = w_hash")).select("raw", "wanted")
-    pieces = map_rows(texts, cutter, _PIECES).dropDuplicates(["anchor", "digest"])
-    if known.where(F.col("kinds") > split).limit(1).count():
-        pieces = materialise(pieces, "pieces")
-        ranges = alone.unionByName(sort_collections(pieces.where(F.col("kinds") <= split), length, gram)).unionByName(
-            split_windows(pieces.where(F.col("kinds") > split), length)
-        )
-    else:
-        ranges = alone.unionByName(sort_collections(pieces, length, gram))
+    pieces = materialise(map_rows(texts, cutter, _PIECES).dropDuplicates(["anchor", "digest"]), "pieces")
+    ranges = alone.unionByName(collection_ranges(pieces, STEPS, split, length, gram))
 
     spans = (
         shared.join(ranges, F.expr("anchor = f_anchor AND digest = f_digest"))
@@ -375,7 +387,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, spli
 
 
 def op1(docs: DataFrame) -> DataFrame:
-    """Digest columns of the removal of repeated 200-byte strings."""
+    """Digest columns of the removal of repeated 200-byte strings, for every row of ``docs``.
+
+    A null or empty text has no bytes. Rows that repeat an id, or id and text, are documents of their
+    own. Ties do not arise: all of a repeated string goes, everywhere. No rows give none; other
+    columns are ignored, whatever their names.
+    """
     return remove_repeats(docs).select(
         "doc_id",
         "n_bytes",
@@ -383,19 +400,3 @@ def op1(docs: DataFrame) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
-
-
-def brute_force(rows: list[tuple[int, str | None]], length: int = LENGTH) -> dict[int, tuple[int, int, int, str]]:
-    """The same by counting every window of every text, for small inputs."""
-    seen: dict[bytes, int] = {}
-    texts = {d: (t or "").encode() for d, t in rows}
-    for t in texts.values():
-        for i in range(len(t) - length + 1):
-            seen[t[i : i + length]] = seen.get(t[i : i + length], 0) + 1
-    out = {}
-    for d, t in texts.items():
-        cut = merged([(i, i + length) for i in range(len(t) - length + 1) if seen[t[i : i + length]] > 1])
-        gone = set().union(*[range(a, b) for a, b in cut]) if cut else set()
-        kept = bytes(b for i, b in enumerate(t) if i not in gone)
-        out[d] = (len(t), len(gone), len(cut), hashlib.sha256(kept).hexdigest())
-    return out
