@@ -1,25 +1,32 @@
 """SimHash near-duplicates with pivot distance tables.
 
-Fingerprints link at ``radius`` or fewer differing bits. Equal fingerprints are one class, so
-copies never meet each other. Two fingerprints within ``radius`` agree on at least one of
-``radius + 1`` bit blocks; the blocks deal the classes out to groups so that every link's two ends
-meet somewhere. (The pivot tables alone give no key to deal rows by: every fingerprint is about 32
-bits from every pivot.) Inside a group each fingerprint's Hamming distances to the reference
-fingerprints are looked up once; pairs whose coordinates differ by more than ``radius`` anywhere
-are discarded, by the triangle inequality, and only survivors are compared bit by bit.
-
-Wider radii have too many blocks. For those, ``keys`` deals the classes by the ``keys`` least
-hashes among their shingles instead: texts that share a share s of their shingles miss each other
-with a probability of about (1 - s) ** keys, 3 in a million for s = 0.8 and 8 keys.
-
-A group of more than BLOCK classes is cut into blocks, and every pair of blocks is a task of its
-own, so no task holds an unbounded group and no pair is skipped. A task returns a spanning forest of
-its links (at most one edge per class), never the pairs, and compares ROWS of a block at a time.
+``near_duplicates`` links fingerprints at ``radius`` or fewer differing bits. Equal fingerprints are
+one class, so copies never meet each other. The Hamming distances of every class to the reference
+fingerprints are computed once and written with it (the pivot table). To bring the two ends of a
+link together, the 64 bits are cut into ``radius + c`` blocks: two fingerprints within ``radius``
+agree on at least ``c`` of them, so the classes are dealt by every choice of ``c`` blocks, ``c`` such
+that a group stays small however many classes there are. (The pivot tables alone give no key to deal
+rows by: every fingerprint is about 32 bits from every pivot; the README has figures.) Inside a
+group pairs whose pivot distances differ by more than ``radius`` anywhere are discarded, by the
+triangle inequality, and only survivors are compared bit by bit.
+
+``similar_groups`` links texts whose shingle sets have a Jaccard similarity of ``similarity`` or
+more, which is verified. Different sets are classes. Classes are dealt by their ``keys`` least
+shingle hashes: the least hash of both sets together is in both with a probability of their
+similarity, so a link of 0.8 has no such hash in common in about 0.2 ** keys of cases, 3 in a million
+for 8. There pairs within ``radius`` bits (a link of 0.8 is about 9.7 bits apart, with a deviation
+of 2.9) and of nearly the same size are loose links. The members of their components, few of all
+texts, are dealt again with their whole sets, and each pair not yet connected is verified.
+
+Groups are cut into blocks, and every pair of blocks is a task of its own, so no task holds an
+unbounded group and no pair is skipped. A task returns a spanning forest of its links (at most one
+edge per class), never the pairs, and compares ROWS of a block at a time.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aeromill.llm.arrow import map_rows
-from aeromill.llm.common import id_key, materialise
+from aeromill.llm.common import NULL_ID, id_key, materialise
 from aeromill.llm.graph import components
 
 RADIUS = 3
@@ -37,8 +44,12 @@ PIVOTS = 16
 BLOCK = 2048
 #: Rows of a block that are compared with a whole block at a time.
 ROWS = 256
+#: Classes that a group holds on average at most, where fingerprints are spread evenly.
+GROUP = 64
+#: Differing bits up to which pairs are looked at for a similarity of 0.8, and shingles that a block holds.
+LOOSE, SHINGLES = 20, 1 << 19
 
-FINGERPRINTS = T.StructType([*[T.StructField(c, T.LongType()) for c in ("doc_id", "text_hash", "fp")], T.StructField("keys", T.ArrayType(T.LongType()))])
+FINGERPRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "text_hash", "fp")])
 
 
 def shingle_hashes(text: str, words: int = 3) -> list[int]:
@@ -75,21 +86,17 @@ def signed(x: int) -> int:
     return x - (x >> 63 << 64)
 
 
-def fingerprints(docs: DataFrame, words: int = 3, keys: int = 0) -> DataFrame:
-    """FINGERPRINTS of every row of ``docs`` (doc_id, text); a null text is empty.
-
-    ``keys`` least shingle hashes go along, or none.
-    """
+def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
+    """FINGERPRINTS of every row of ``docs`` (doc_id, text); a null text is empty."""
 
     def make():
-        def one(doc_id, text_hash, text):
-            hashes = shingle_hashes(text, words)
-            least = [signed(h) for h in heapq.nsmallest(keys, set(hashes))] if keys else None
-            return [(doc_id, text_hash, signed(vote(hashes)), least)]
+        return lambda doc_id, text_hash, text: [(doc_id, text_hash, signed(fingerprint(text, words)))]
+
+    return map_rows(_texts(docs), make, FINGERPRINTS)
 
-        return one
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), text_hash(), F.coalesce(F.col("text"), F.lit(""))), make, FINGERPRINTS)
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), text_hash(), F.coalesce(F.col("text"), F.lit("")))
 
 
 def text_hash() -> Column:
@@ -106,18 +113,17 @@ def distance_table(fps: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fps[None, :] ^ reference[:, None]).astype(np.int8)
 
 
-def links(left: np.ndarray, right: np.ndarray, reference: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+def links(left: np.ndarray, right: np.ndarray, table_l: np.ndarray, table_r: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (i, j) with Hamming distance of left[i], right[j] at most ``radius``.
 
-    The first rows of the tables discard pairs over a whole block at once (one byte a pair), the
-    other rows only what is left; survivors are verified on the fingerprints.
+    The first rows of the pivot tables discard pairs over a whole block at once (one byte a pair),
+    the other rows only what is left; survivors are verified on the fingerprints.
     """
-    table_l, table_r = distance_table(left, reference), distance_table(right, reference)
     alive = np.ones((len(left), len(right)), bool)
-    for row in range(min(4, len(reference))):
+    for row in range(min(4, len(table_l))):
         alive &= np.abs(table_l[row][:, None] - table_r[row][None, :]) <= radius
     i, j = np.nonzero(alive)
-    for row in range(4, len(reference)):
+    for row in range(4, len(table_l)):
         if not len(i):
             break
         near = np.abs(table_l[row][i] - table_r[row][j]) <= radius
@@ -142,94 +148,147 @@ def spread(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = further
 
 
-def block_components(fps: np.ndarray, reference: np.ndarray, radius: int) -> np.ndarray:
-    """Root of each entry's component within one block; pairs are looked at some rows at a time."""
-    label = np.arange(len(fps))
-    for at in range(0, len(fps), ROWS):
-        i, j = links(fps[at : at + ROWS], fps[at:], reference, radius)
+def within(n: int, find) -> np.ndarray:
+    """Root of each of ``n`` entries of a block; ``find(rows, columns)`` gives the links of two slices."""
+    label = np.arange(n)
+    for at in range(0, n, ROWS):
+        i, j = find(slice(at, at + ROWS), slice(at, n))
         label = spread(label, i + at, j + at)
     return label
 
 
-def forest(row: np.ndarray, col: np.ndarray | None, reference: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that a task gives: a star per component of one block, or, for two blocks, those that
-    join components of the one with components of the other. The inside of either block is left
-    to its own task, so a group of n entries gives about n edges however many blocks it has."""
-    if col is None:
-        fps, inside = row, np.arange(len(row))
-        label = block_components(row, reference, radius)
+def forest(nodes: np.ndarray, n_row: int, find) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that a task gives for ``nodes``: a star per component if they are one block, or, if the
+    first ``n_row`` are one block and the others another, those that join components of the one with
+    components of the other. The inside of either is left to its own task, so a group of n entries
+    gives about n edges however many blocks it has."""
+    n = len(nodes)
+    if n_row == n:
+        inside = np.arange(n)
+        label = within(n, find)
     else:
-        fps = np.concatenate((row, col))
-        inside = np.concatenate((block_components(row, reference, radius), block_components(col, reference, radius) + len(row)))
+        shifted = lambda rows, columns: find(slice(rows.start + n_row, rows.stop + n_row), slice(columns.start + n_row, columns.stop + n_row))
+        row = within(n_row, lambda r, c: find(slice(r.start, min(r.stop, n_row)), c))
+        inside = np.concatenate((row, within(n - n_row, shifted) + n_row))
         label = inside.copy()
-        for at in range(0, len(row), ROWS):
-            i, j = links(row[at : at + ROWS], col, reference, radius)
-            label = spread(label, i + at, j + len(row))
-    moved = np.flatnonzero((label != inside) & (inside == np.arange(len(fps))))
-    return fps[moved], fps[label[moved]]
+        for at in range(0, n_row, ROWS):
+            i, j = find(slice(at, min(at + ROWS, n_row)), slice(n_row, n))
+            label = spread(label, i + at, j + n_row)
+    moved = np.flatnonzero((label != inside) & (inside == np.arange(n)))
+    return nodes[moved], nodes[label[moved]]
 
 
 EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-_GROUP = ["block_no", "bits", "row_block", "col_block"]
+_GROUP = ["key_no", "bits", "row_block", "col_block"]
 
 
-def fingerprint_links(classes: DataFrame, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK, keys: int = 0) -> DataFrame:
-    """Edges (a, b) that connect all linked fingerprints of ``classes`` (fp, keys; distinct, materialised)."""
-    if keys:
-        keyed = classes.select("fp", F.explode("keys").alias("bits"), F.lit(0).alias("block_no"))
-    else:
-        width = -(-64 // (radius + 1))
-        starts = range(0, 64, width)
-        blocks = F.array(*[F.shiftrightunsigned("fp", k).bitwiseAND(F.lit((1 << min(width, 64 - k)) - 1)) for k in starts])
-        if len(starts) <= radius:
-            raise ValueError("so wide a radius needs keys")
-        keyed = classes.select("fp", F.posexplode(blocks).alias("block_no", "bits"))
-    # Written, so that both sides of the join are exchanges that Spark can split at a hot group.
-    sizes = materialise(keyed.groupBy("block_no", "bits").agg(F.count("*").alias("n")).where("n > 1"), "groups")
-    # Powers of two: groups with nearly the same members have the same blocks, and so the same edges.
-    power = F.greatest(F.ceil(F.log2(F.col("n") / block)), F.lit(0)).cast("int")
-    sized = keyed.join(sizes, ["block_no", "bits"]).withColumn("blocks", F.pow(F.lit(2), power).cast("int"))
-    own = sized.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    # Each fingerprint goes to the tasks (row_block, col_block) with its block on either side.
-    tasks = own.select(
-        "fp", "block_no", "bits", "own",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
-    ).select("fp", "block_no", "bits", F.least("own", "other").alias("row_block"), F.greatest("own", "other").alias("col_block"), "own")
-    dealt = tasks.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+def grouped(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """(key, rows) of each run of equal keys in sorted batches."""
+    held: list[pa.RecordBatch] = []
+    key: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([c.to_numpy() for c in batch.columns[:n_keys]], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if held and key != tuple(keys[a]):
+                yield key, pa.Table.from_batches(held).combine_chunks()
+                held = []
+            key = tuple(keys[a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield key, pa.Table.from_batches(held).combine_chunks()
+
+
+def _column(rows: pa.Table, name: str) -> np.ndarray:
+    return rows.column(name).to_numpy()
+
+
+def in_blocks(keyed: DataFrame, blocks: DataFrame, columns: list[str], keys: list[str], node: str) -> DataFrame:
+    """``keyed`` rows for each pair of blocks of their group, dealt and sorted by it, with ``own`` block.
+
+    ``blocks`` (``keys``, blocks: a power of two, so that groups with nearly the same members have
+    the same blocks, and so the same edges) is written: a group that is hot is split by Spark.
+    """
+    own = keyed.join(blocks, keys).withColumn("own", F.pmod(F.xxhash64(node), F.col("blocks")).cast("int"))
+    tasks = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    by = [*keys, "row_block", "col_block"]
+    dealt = tasks.select(*keys, F.least("own", "other").alias("row_block"), F.greatest("own", "other").alias("col_block"), "own", *columns)
+    return dealt.repartition(*by).sortWithinPartitions(*by)
+
+
+def _power(n: Column, size: int) -> Column:
+    """Blocks for ``n``, as a power of two, of about ``size`` each."""
+    return F.pow(F.lit(2), F.greatest(F.ceil(F.log2(n / size)), F.lit(0))).cast("int").alias("blocks")
+
+
+def _task(rows: pa.Table, key: tuple) -> tuple[pa.Table, int]:
+    """The rows of a task, those of its row block first and in a fixed order, and how many those are."""
+    own = _column(rows, "own")
+    rows = rows.append_column("is_col", pa.array(own != key[-2])).sort_by([("is_col", "ascending"), ("node", "ascending")])
+    return rows, int((own == key[-2]).sum())
+
+
+def _edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], names=["a", "b"])
+
+
+def choices(n: int, radius: int) -> list[list[tuple[int, int]]]:
+    """Blocks (first bit, width) that a key takes together, for each key, for so many classes."""
+    for c in range(1, min(8, 64 - radius) + 1):
+        total = radius + c
+        edges = [64 * k // total for k in range(total + 1)]
+        blocks = list(zip(edges, np.diff(edges).tolist(), strict=False))
+        if c == min(8, 64 - radius) or n <= GROUP << sum(sorted(w for _, w in blocks)[:c]):
+            return [list(x) for x in itertools.combinations(blocks, c)]
+    raise ValueError("so wide a radius has no blocks")
+
+
+def fingerprint_links(classes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that connect all linked fingerprints of ``classes`` (fp, distances; distinct, materialised)."""
+    keys = choices(classes.count(), radius)
+
+    def bits(blocks: list[tuple[int, int]]) -> Column:
+        out = F.lit(0).cast("long")
+        for first, width in blocks:
+            out = F.shiftleft(out, width).bitwiseOR(F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1)))
+        return out
+
+    keyed = classes.select(F.col("fp").alias("node"), "distances", F.posexplode(F.array(*[bits(k) for k in keys])).alias("key_no", "bits"))
+    sizes = keyed.groupBy("key_no", "bits").agg(F.count("*").alias("n")).where("n > 1")
+    blocks = materialise(sizes.select("key_no", "bits", _power(F.col("n"), block)), "groups")
+    dealt = in_blocks(keyed, blocks, ["node", "distances"], _GROUP[:2], "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reference = pivots(n_pivots)
-        for group in _groups(batches, len(_GROUP)):
-            key, own_block = group[0], group[2]
-            fps = group[1].astype(np.uint64)
-            row, col = fps[own_block == key[2]], fps[own_block == key[3]]
-            a, b = forest(np.sort(row), None if key[2] == key[3] else np.sort(col), reference, radius)
+        for key, rows in grouped(batches, len(_GROUP)):
+            rows, n_row = _task(rows, key)
+            if len(rows) < 2 or not n_row:
+                continue
+            nodes = _column(rows, "node")
+            fps = nodes.view(np.uint64)
+            table = np.frombuffer(b"".join(rows.column("distances").to_pylist()), np.int8).reshape(len(fps), -1).T
+            a, b = forest(nodes, n_row, lambda r, c: links(fps[r], fps[c], table[:, r], table[:, c], radius))  # noqa: B023
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+                yield _edge_batch(a, b)
 
-    return dealt.select(*_GROUP, "fp", "own").mapInArrow(run, EDGES)
+    return dealt.mapInArrow(run, EDGES)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], n_keys: int):
-    """(key, values, own) of each run of equal keys in sorted batches."""
-    held: list[np.ndarray] = []
-    for batch in batches:
-        rows = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], axis=1)
-        if not len(rows):
-            continue
-        cuts = np.flatnonzero((rows[1:, :n_keys] != rows[:-1, :n_keys]).any(axis=1)) + 1
-        for part in np.split(rows, cuts):
-            if held and (held[0][0, :n_keys] != part[0, :n_keys]).any():
-                whole = np.concatenate(held)
-                yield whole[0, :n_keys], whole[:, n_keys], whole[:, n_keys + 1]
-                held = []
-            held.append(part)
-    if held:
-        whole = np.concatenate(held)
-        yield whole[0, :n_keys], whole[:, n_keys], whole[:, n_keys + 1]
+def pivot_table(classes: DataFrame, n_pivots: int = PIVOTS) -> DataFrame:
+    """``classes`` (fp first) with ``distances``: one byte for the distance to each reference."""
+    schema = T.StructType([*classes.schema.fields, T.StructField("distances", T.BinaryType())])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reference = pivots(n_pivots)
+        for batch in batches:
+            table = distance_table(batch.column(0).to_numpy().view(np.uint64), reference).T
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x.tobytes() for x in table], pa.binary())], names=schema.names)
+
+    return classes.mapInArrow(run, schema)
 
-def near_duplicates(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK, keys: int = 0) -> DataFrame:
+
+def near_duplicates(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
     """Components of near-duplicates: one row per row of ``docs`` (doc_id, text).
 
     Returns doc_id, fp (signed 64-bit) and component_id, the smallest doc_id that can be reached
@@ -237,33 +296,169 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_piv
     other. A null doc_id never names a component unless the component has no other id. Repeated
     rows give repeated results; no rows give none; other columns are ignored.
     """
-    prints, named = _components(docs, words, radius, n_pivots, block, keys)
-    return prints.join(named, F.col("fp") == F.col("c_fp")).select("doc_id", "fp", F.col("first.doc_id").alias("component_id"))
+    prints = materialise(fingerprints(docs, words), "fingerprints")
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))  # null if there is no other id
+    classes = materialise(pivot_table(classes, n_pivots), "classes")
+    joined = components(fingerprint_links(classes, radius, block))
+    labelled = classes.join(joined, classes["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    names = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = materialise(labelled.join(names, "component").select(F.col("fp").alias("c_fp"), "component_id"), "components")
+    return prints.join(named, F.col("fp") == F.col("c_fp")).select("doc_id", "fp", "component_id")
 
 
-def _components(docs: DataFrame, words: int, radius: int, n_pivots: int, block: int, keys: int) -> tuple[DataFrame, DataFrame]:
-    """Fingerprints of all rows, and for each fingerprint its component's first row."""
-    prints = materialise(fingerprints(docs, words, keys), "fingerprints")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
-    some = [F.min_by("keys", F.struct("doc_id", "text_hash")).alias("keys")] if keys else []
-    classes = materialise(prints.groupBy("fp").agg(first.alias("least"), *some), "classes")
-    joined = components(fingerprint_links(classes, radius, n_pivots, block, keys))
-    labelled = classes.join(joined, classes["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+def op6(docs: DataFrame) -> DataFrame:
+    """Fingerprint and component of every row of ``docs``.
+
+    A null or empty text, or one without words, has fingerprint zero and links like any other. The
+    smallest doc_id names a component, a null one only where there is no other. Repeated rows give
+    repeated results, no rows none; other columns are ignored, whatever their names.
+    """
+    return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# ---- groups by verified similarity
+
+_SETS = T.StructType(
+    [*[T.StructField(c, T.LongType()) for c in ("id", "text_hash", "node", "fp", "n")], T.StructField("keys", T.ArrayType(T.LongType()))]
+)
+_MEMBER = T.StructType([*[T.StructField(c, T.LongType()) for c in ("node", "fp", "n", "component")], T.StructField("hashes", T.BinaryType())])
+
+
+def shingle_set(text: str, words: int) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes(text, words), np.uint64))
+
+
+def shingle_sets(docs: DataFrame, words: int, keys: int) -> DataFrame:
+    """_SETS of ``docs`` (id, text_hash, text): ``node`` stands for the set, ``n`` is its size."""
+
+    def make():
+        import xxhash
+
+        def one(key, text_hash, text):
+            hashes = shingle_hashes(text, words)
+            different = np.unique(np.array(hashes, np.uint64))
+            node = xxhash.xxh3_64_intdigest(different.tobytes())
+            return [(key, text_hash, signed(node), signed(vote(hashes)), len(different), [signed(h) for h in heapq.nsmallest(keys, different.tolist())])]
+
+        return one
+
+    return map_rows(docs, make, _SETS)
+
+
+def near_in_size(left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of such sizes can be so similar, for all pairs."""
+    return np.minimum(left[:, None], right[None, :]) >= similarity * np.maximum(left[:, None], right[None, :])
+
+
+def loose_links(classes: DataFrame, similarity: float, radius: int, block: int) -> DataFrame:
+    """Edges between classes (node, fp, n, keys) with a key in common, within ``radius`` and of nearly one size."""
+    keyed = classes.select("node", "fp", "n", F.explode("keys").alias("bits")).withColumn("key_no", F.lit(0))
+    sizes = keyed.groupBy("key_no", "bits").agg(F.count("*").alias("size")).where("size > 1")
+    blocks = materialise(sizes.select("key_no", "bits", _power(F.col("size"), block)), "groups")
+    dealt = in_blocks(keyed, blocks, ["node", "fp", "n"], _GROUP[:2], "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows in grouped(batches, len(_GROUP)):
+            rows, n_row = _task(rows, key)
+            if len(rows) < 2 or not n_row:
+                continue
+            fps, n = _column(rows, "fp").view(np.uint64), _column(rows, "n")
+
+            def find(r, c):
+                i, j = np.nonzero(near_in_size(n[r], n[c], similarity))  # noqa: B023
+                near = np.bitwise_count(fps[r][i] ^ fps[c][j]) <= radius  # noqa: B023
+                return i[near], j[near]
+
+            a, b = forest(_column(rows, "node"), n_row, find)
+            if len(a):
+                yield _edge_batch(a, b)
+
+    return dealt.mapInArrow(run, EDGES)
+
+
+def verified_links(members: DataFrame, similarity: float, radius: int, shingles: int) -> DataFrame:
+    """Edges that connect the ``members`` (_MEMBER, materialised) whose sets are ``similarity`` alike.
+
+    Pairs of a loose component within ``radius`` are verified on the whole sets unless they are
+    connected already.
+    """
+    sizes = members.groupBy("component").agg(F.sum("n").alias("size"))
+    blocks = materialise(sizes.select("component", _power(F.col("size"), shingles)), "groups")
+    dealt = in_blocks(members, blocks, ["node", "fp", "n", "hashes"], ["component"], "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows in grouped(batches, 3):
+            rows, n_row = _task(rows, key)
+            if len(rows) < 2 or not n_row:
+                continue
+            nodes, fps, n = _column(rows, "node"), _column(rows, "fp").view(np.uint64), _column(rows, "n")
+            sets = [np.frombuffer(h, np.uint64) for h in rows.column("hashes").to_pylist()]
+            label = np.arange(len(nodes))
+
+            def root(i):
+                while label[i] != i:  # noqa: B023
+                    label[i] = label[label[i]]  # noqa: B023
+                    i = label[i]  # noqa: B023
+                return i
+
+            def find(r, c):
+                first, second = np.arange(len(fps))[r], np.arange(len(fps))[c]  # noqa: B023
+                i, j = np.nonzero(near_in_size(n[r], n[c], similarity) & (np.bitwise_count(fps[r][:, None] ^ fps[c][None, :]) <= radius))  # noqa: B023
+                keep = []
+                for k, (p, q) in enumerate(zip(first[i].tolist(), second[j].tolist(), strict=True)):
+                    a, b = root(p), root(q)
+                    if a == b:
+                        continue
+                    common = len(np.intersect1d(sets[p], sets[q], assume_unique=True))  # noqa: B023
+                    if common >= similarity * (len(sets[p]) + len(sets[q]) - common):  # noqa: B023
+                        label[max(a, b)] = min(a, b)  # noqa: B023
+                        keep.append(k)
+                return i[keep], j[keep]
+
+            a, b = forest(nodes, n_row, find)
+            if len(a):
+                yield _edge_batch(a, b)
+
+    return dealt.mapInArrow(run, EDGES)
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = LOOSE, keys: int = 8, block: int = BLOCK, shingles: int = SHINGLES) -> tuple[DataFrame, DataFrame]:
+    """Groups of rows of ``docs`` (doc_id, text) that chains of similar texts connect.
+
+    Returns (id, text_hash, node) of every row, and (c_node, component, first: id and text_hash of
+    the group's first row, null ids last) of every class of texts with one set of shingles.
+    """
+    texts = docs.select(id_key("doc_id").alias("id"), text_hash(), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = materialise(shingle_sets(texts, words, keys), "sets")
+    first = F.min(F.struct((F.col("id") == F.lit(NULL_ID)).alias("unnamed"), "id", "text_hash")).alias("least")
+    classes = materialise(rows.groupBy("node", "fp", "n", "keys").agg(first), "classes")
+    loose = components(loose_links(classes, similarity, radius, block))
+    # One text of each class that has a loose link.
+    some = classes.join(loose, "node").select("node", "component", F.col("least.id").alias("m_id"), F.col("least.text_hash").alias("m_hash"))
+
+    def make():
+        def one(node, component, text):
+            hashes = shingle_hashes(text, words)
+            different = np.unique(np.array(hashes, np.uint64))
+            return [(node, signed(vote(hashes)), len(different), component, different.tobytes())]
+
+        return one
+
+    held = texts.join(some, F.expr("id = m_id AND text_hash = m_hash")).select("node", "component", "text")
+    members = materialise(map_rows(held, make, _MEMBER).dropDuplicates(["node"]), "members")
+    joined = components(verified_links(members, similarity, radius, shingles))
+    labelled = classes.join(joined, "node", "left").select(F.col("node").alias("c_node"), "least", F.coalesce("component", "node").alias("component"))
     names = labelled.groupBy("component").agg(F.min("least").alias("first"))
-    return prints, materialise(labelled.join(names, "component").select(F.col("fp").alias("c_fp"), "component", "first"), "components")
+    return rows, materialise(labelled.join(names, "component").select("c_node", "component", "first"), "components")
 
 
-def keep_first(docs: DataFrame, words: int = 3, radius: int = RADIUS, n_pivots: int = PIVOTS, block: int = BLOCK, keys: int = 0) -> DataFrame:
-    """One row of each component of near-duplicates, all columns: the first by doc_id (null last).
+def keep_first(docs: DataFrame, **options) -> DataFrame:
+    """One row of each group of similar texts, all columns: the first by doc_id (null last).
 
-    Rows are found again by id and text hash, so copies of one text do not meet in one task; of
-    rows that repeat both, one stays.
+    Texts without words are alike. Rows are found again by id and text hash, so copies of one text
+    do not meet in one task; of rows that repeat both, one stays. No rows give none.
     """
-    _, named = _components(docs, words, radius, n_pivots, block, keys)
-    kept = named.select("component", "first.doc_id", "first.text_hash").distinct().select(id_key("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
+    _, named = similar_groups(docs, **options)
+    kept = named.select("component", "first.id", "first.text_hash").distinct().select(F.col("id").alias("k_id"), F.col("text_hash").alias("k_hash"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_key("doc_id").alias("r_id"), text_hash().alias("r_hash"))
     return rows.join(kept, F.expr("r_id = k_id AND r_hash = k_hash")).dropDuplicates(["r_id", "r_hash"]).select("row.*")
-
-
-def op6(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

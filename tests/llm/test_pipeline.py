@@ -54,19 +54,17 @@ def test_stages_against_plain_python(spark, tmp_path):
     assert {r.doc_id for r in out[0]} == set(clean)
     assert all(("idiot" in (t or "") or "moron" in (t or "") or "scum" in (t or "") or "worthless" in (t or "")) != (d in clean) for d, t, *_ in rows)
 
-    # Near-duplicates: the least id of each group stays; links are texts that share one of their
-    # eight least shingle hashes and differ in at most twelve bits, or equal fingerprints.
-    hashes, ids = {d: simhash.shingle_hashes(row[1] or "", 5) for d, row in clean.items()}, sorted(clean)
-    prints = {d: simhash.vote(h) for d, h in hashes.items()}
-    least = {d: set(sorted(set(h))[:8]) for d, h in hashes.items()}
+    # Near-duplicates: the least id of each group stays; links are texts whose sets of five-word
+    # shingles have a Jaccard similarity of 0.8 or more.
+    ids = sorted(clean)
+    shingles = {d: set(zip(*[(clean[d][1] or "").lower().split()[k:] for k in range(5)], strict=False)) or {tuple((clean[d][1] or "").split())} for d in ids}
     group = {d: d for d in ids}
     changed = True
     while changed:
         changed = False
         for a in ids:
             for b in ids:
-                bits = (prints[a] ^ prints[b]).bit_count()
-                if (bits == 0 or (bits <= 12 and least[a] & least[b])) and group[b] < group[a]:
+                if group[b] < group[a] and len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]):
                     group[a], changed = group[b], True
     assert sorted(r.doc_id for r in out[1]) == sorted(set(group.values()))
     assert len(out[1]) < len(out[0])

@@ -58,23 +58,77 @@ def test_small_blocks_split_groups(spark):
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == sorted((d, c) for d, _, c in brute(rows))
 
 
-def test_wide_radius_by_shingle_keys(spark):
+def jaccard(a, b, words=5):
+    a, b = (set(simhash.shingle_hashes(t or "", words)) for t in (a, b))
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def groups(rows, similarity=0.8):
+    """Least id of each row's group, by all pairs; nulls last."""
+    root = {d: d for d, _ in rows}
+    changed = True
+    while changed:
+        changed = False
+        for d, t in rows:
+            for e, u in rows:
+                if root[e] < root[d] and jaccard(t, u) >= similarity:
+                    root[d], changed = root[e], True
+    return root
+
+
+@pytest.mark.parametrize("block,shingles", [(2048, 1 << 19), (4, 300)])
+def test_verified_similarity_against_all_pairs(spark, block, shingles):
     r = random.Random(8)
     words = ["v%d" % i for i in range(3000)]
     rows = []
-    for i in range(60):
-        text = r.choices(words, k=300)
+    for i in range(40):
+        text = r.choices(words, k=r.choice([8, 30, 120, 300]))
         rows.append((3 * i, " ".join(text)))
-        text[r.randrange(300)] = "x"
-        rows.append((3 * i + 1, " ".join(text)))
-        text[r.randrange(300)] = "y"
-        rows.append((3 * i + 2, " ".join(text)))
-    rows += [(900, ""), (901, None), (902, "one two")]
+        for k in (1, 2):  # at and about the similarity that counts
+            for _ in range(r.randrange(1, 2 + len(text) // 40)):
+                text[r.randrange(len(text))] = "x%d" % r.randrange(99)
+            rows.append((3 * i + k, " ".join(text)))
+    rows += [(900, ""), (901, None), (902, "one two"), (903, "two one"), (904, rows[7][1]), (905, " ".join(words[:200])), (906, " ".join(words[12:212]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {x.doc_id: x.component_id for x in simhash.near_duplicates(docs, words=5, radius=12, keys=8, block=16).collect()}
-    assert got == {i: i - i % 3 for i in range(180)} | {900: 900, 901: 900, 902: 902}
+    sets, named = simhash.similar_groups(docs, block=block, shingles=shingles)
+    got = {x.id: x.first.id for x in sets.join(named, sets["node"] == named["c_node"]).collect()}
+    want = groups(rows)
+    assert got == want and len(set(want.values())) < len(rows) - 20
+    assert sorted(x.doc_id for x in simhash.keep_first(docs, block=block, shingles=shingles).collect()) == sorted(set(want.values()))
+
+
+def test_more_classes_get_longer_keys(spark):
+    for n, keys, bits in ((1000, 4, 16), (1 << 24, 10, 25), (1 << 40, 35, 35)):
+        found = simhash.choices(n, 3)
+        assert len(found) == keys and abs(sum(w for _, w in found[0]) - bits) < 3
     with pytest.raises(ValueError):
-        simhash.near_duplicates(docs, radius=40)
+        simhash.choices(10, 64)
+    r = random.Random(5)
+    base = [r.getrandbits(64) for _ in range(40)]
+    fps = {b ^ sum(1 << k for k in r.sample(range(64), n)) for b in base for n in (0, 1, 2, 3, 3)}
+    classes = simhash.pivot_table(spark.createDataFrame([(simhash.signed(x),) for x in fps], "fp long"))
+    wide = simhash.choices
+    try:
+        simhash.choices = lambda n, radius: wide(1 << 40, radius)
+        edges = simhash.fingerprint_links(classes).collect()
+    finally:
+        simhash.choices = wide
+    plain = simhash.fingerprint_links(classes).collect()
+    assert len(set(_roots(edges).values())) <= 40 < len(_roots(edges)) and _roots(edges) == _roots(plain)
+
+
+def _roots(edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for e in edges:
+        a, b = sorted((find(e.a), find(e.b)))
+        root[b] = a
+    return {x: find(x) for x in root}
 
 
 def test_fingerprint_matches_engine_hash(spark):
@@ -88,7 +142,8 @@ def test_links_find_every_close_pair():
     base = r.integers(0, 2**64, 60, dtype=np.uint64)
     flips = np.uint64(1) << r.integers(0, 64, (60, 3)).astype(np.uint64)
     fps = np.concatenate((base, base ^ flips[:, 0] ^ flips[:, 1], base ^ flips[:, 2]))
-    i, j = simhash.links(fps, fps, simhash.pivots())
+    table = simhash.distance_table(fps, simhash.pivots())
+    i, j = simhash.links(fps, fps, table, table)
     want = {(a, b) for a in range(len(fps)) for b in range(len(fps)) if (int(fps[a]) ^ int(fps[b])).bit_count() <= 3}
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
 
