@@ -9,7 +9,8 @@ a document gives the document's training position.
 Documents of a source are laid on a ring in the order of ``md5(doc_id)``. Cumulative words come
 from a two-level prefix sum: sums per (source, digest prefix), a running total of those few sums,
 then a running total inside each (source, prefix). No window spans a whole source, so a source
-that holds most rows is still dealt over ``16 ** prefix`` tasks.
+that holds most rows is still dealt over ``16 ** prefix`` tasks; the prefix grows with the rows.
+Rows are in one fixed order (digest of the id, id, digest of the text), whatever their ids, so reruns agree.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ SCHEDULES = (
 )
 
 
+#: Digits of the digest that deal a source out at least, and rows that a window holds on average at most.
+LEAST_PREFIX, WINDOW_ROWS = 3, 50_000
+
+
 def word_count(text: Column) -> Column:
     """Number of runs of non-space characters; 0 for null."""
     flat = F.translate(text, _SPACES, " " * len(_SPACES))
@@ -98,7 +103,7 @@ def mix(
     share: float = 1.5,
     cap: float = 2.0,
     schedules: Sequence[Sequence[tuple[float, float]]] = SCHEDULES,
-    prefix: int = 3,
+    prefix: int | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """What the mix takes of every document and when.
@@ -111,8 +116,14 @@ def mix(
 
     A null text has size 0 and is never taken. Null sources form one source, last. Rows that
     repeat are separate documents with equal digests. No rows: no rows. A corpus without any
-    word: every target is 0. Other columns of ``docs`` are ignored, whatever their names.
+    word: every target is 0. Other columns of ``docs`` are ignored, whatever their names. ``prefix``
+    only deals rows out; if it is left out, it follows from their number.
     """
+    if prefix is None:
+        prefix = LEAST_PREFIX
+        rows = docs.count()
+        while prefix < 12 and rows > WINDOW_ROWS * 16**prefix:
+            prefix += 1
     kept = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None).cast("string")
     sized = docs.select(
         F.col("doc_id"),
@@ -120,6 +131,7 @@ def mix(
         word_count(F.col("text")).alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("digest"),
         kept.alias("kept"),
+        F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_digest"),
     ).withColumn("part", F.substring("digest", 1, prefix))
 
     parts = sized.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
@@ -134,7 +146,7 @@ def mix(
             F.col("p.source").alias("s_source"), F.col("part").alias("s_part"), "part_start", "source_size", "w_class", "target"
         )
     )
-    inside = Window.partitionBy("source", "part").orderBy("digest", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "part").orderBy("digest", "doc_id", "text_digest").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(starts, F.expr("source <=> s_source AND part = s_part"))
@@ -183,25 +195,32 @@ def curriculum(docs: DataFrame, columns: Sequence[str], **options) -> DataFrame:
 
 
 def op8(docs: DataFrame) -> DataFrame:
-    """The digest columns of the mix, in the order of each document's first position."""
+    """What the mix takes of every row of ``docs`` and its training positions, in the order of the first.
+
+    ``first_position`` and ``second_position`` (0 to 1) are the inverse of the source's cumulative
+    demand where the first and the second use begin, null without such a use. A null text has size 0
+    and is never taken; null sources are one, last. Rows that repeat are documents of their own. No
+    rows give none; other columns are ignored, whatever their names.
+    """
     mixed = mix(docs)
+    at = lambda k: F.round(F.try_element_at("positions", F.lit(k)), 9)
     return (
-        mixed.withColumn("first_position", F.element_at(F.concat("positions", F.array(F.lit(2.0))), 1))
-        .orderBy("first_position", "doc_id")
-        .select("doc_id", "size", "source_size", "target", "taken")
+        mixed.withColumns({"first_position": at(1), "second_position": at(2)})
+        .orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
+        .select("doc_id", "size", "source_size", "target", "taken", "first_position", "second_position")
     )
 
 
 OP8_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS digest,
+  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS digest, md5(coalesce(text, '')) AS text_digest,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
 ), ranked AS (
-  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
-  FROM sources
+  SELECT *, CASE w_class WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
+  FROM (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w_class FROM sources)
 ), ratios AS (SELECT *, 2.0::DOUBLE * source_size / weight AS ratio FROM ranked
 ), levels AS (
   SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
@@ -211,15 +230,22 @@ WITH sized AS (
 ), final AS (
   SELECT level FROM levels WHERE level <= ratio ORDER BY ratio, source LIMIT 1
 ), targets AS (
-  SELECT source, source_size,
+  SELECT source, source_size, w_class,
     least(coalesce(weight * (SELECT level FROM final), 2.0::DOUBLE * source_size), 2.0::DOUBLE * source_size) AS target
   FROM levels
 ), placed AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS goal,
-    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.digest, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.w_class, CAST(floor(t.target + 0.5) AS BIGINT) AS goal,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.digest, d.doc_id, d.text_digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), uses AS (
+  SELECT *, greatest(0, least(size, goal - start)) AS first_words, greatest(0, least(size, goal - source_size - start)) AS second_words,
+    start / goal::DOUBLE AS first_done, (source_size + start) / goal::DOUBLE AS second_done
+  FROM placed
 )
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(0, least(size, goal - start)) + greatest(0, least(size, goal - source_size - start)) AS BIGINT) AS taken
-FROM placed
+SELECT doc_id, size, source_size, target, CAST(first_words + second_words AS BIGINT) AS taken,
+  CASE WHEN first_words > 0 THEN round(CASE w_class WHEN 0 THEN 2 * first_done / (1.5 + sqrt(greatest(0, 2.25 - 2 * first_done)))
+    WHEN 1 THEN first_done ELSE 2 * first_done / (0.5 + sqrt(0.25 + 2 * first_done)) END, 9) END AS first_position,
+  CASE WHEN second_words > 0 THEN round(CASE w_class WHEN 0 THEN 2 * second_done / (1.5 + sqrt(greatest(0, 2.25 - 2 * second_done)))
+    WHEN 1 THEN second_done ELSE 2 * second_done / (0.5 + sqrt(0.25 + 2 * second_done)) END, 9) END AS second_position
+FROM uses
 """

@@ -28,10 +28,10 @@ from aeromill.llm.arrow import map_rows
 from aeromill.llm.common import materialise
 
 CAPACITY = 2048
-#: Pieces of one length are numbered in so many parts.
-PARTS = 64
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+#: Pieces of one length are numbered in parts of about so many.
+PART_PIECES = 20_000
+#: Words whose ids a worker remembers, and characters that are split into words at a time.
+CACHE_WORDS, CHUNK = 200_000, 1 << 16
 
 _CACHES: dict[str, tuple] = {}
 
@@ -39,6 +39,7 @@ _CACHES: dict[str, tuple] = {}
 #: Letters (lower case), numbers and white space of Latin-1 as the vocabulary's rules see them.
 _L, _N, _S = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
 #: The vocabulary's pre-tokeniser, for lower-case Latin-1 text.
+_BLANK = re.compile("[ \n]")
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 
 
@@ -54,7 +55,8 @@ class Tokeniser:
 
     For Latin-1 text the normaliser is lower case alone, so the text is split here and each word's
     ids are remembered (at most CACHE_WORDS a worker); any other text, or one that spells a
-    special token, goes through the library whole. Both ways give the library's ids.
+    special token, goes through the library. Both ways give the library's ids. Long texts go chunk
+    by chunk, cut at white space, where the rules always split, so that no list of all words is made.
     """
 
     def __init__(self, path: str):
@@ -77,8 +79,13 @@ class Tokeniser:
             plain = "<|" not in text
         except UnicodeEncodeError:
             plain = False
-        if not plain:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        one = self._plain if plain else self._library
+        return one(text) if len(text) <= CHUNK else b"".join(map(one, chunks(text)))
+
+    def _library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _plain(self, text: str) -> bytes:
         words, known = _WORDS.findall(text.lower()), self.known
         try:
             return b"".join(map(known.__getitem__, words))
@@ -92,6 +99,16 @@ class Tokeniser:
         return b"".join(map(known.__getitem__, words))
 
 
+def chunks(text: str, size: int = CHUNK) -> Iterator[str]:
+    """Consecutive parts of the text that begin, all but the first, with a blank; of ``size`` characters, or one word more."""
+    at = 0
+    while at < len(text):
+        stop = _BLANK.search(text, at + size) if at + size < len(text) else None
+        end = stop.start() if stop else len(text)
+        yield text[at:end]
+        at = end
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """Path of a public vocabulary file; it lies in the same place on every executor."""
     import public_tokenizers
@@ -232,12 +249,16 @@ def place(pieces: DataFrame, **options) -> DataFrame:
     """Sequence and offset of every piece (PIECES plus sequence_id, offset).
 
     ``pieces`` must be materialised: its histogram and its rows are read in separate jobs.
-    Pieces of one length are numbered by (part, doc_id, piece): counts per (length, part), at
-    most ``capacity * PARTS`` rows, give each part's first number, and a window inside a part the
-    rest. The plan (a few rows per length, so a few thousand at most) goes with the tasks.
+    Pieces of one length are numbered by (part, doc_id, piece): counts per (length, part) give each
+    part's first number, and a window inside a part the rest. A length has as many parts as its
+    pieces fill, so a task numbers about PART_PIECES of them however many a length has. The plan (a
+    few rows per length, so a few thousand at most) goes with the tasks.
     """
-    parted = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(PARTS)))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    # One number per length, so at most ``capacity`` of them.
+    parts = F.lit([-(-histogram.get(k, 1) // PART_PIECES) for k in range(1, max(histogram, default=1) + 1)])
+    share = F.element_at(parts, F.col("length").cast("int")).cast("long")
+    parted = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), share))
     rows, _ = plan(histogram, **options)
     rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
     counts = parted.groupBy("length", "part").agg(F.count("*").alias("n"))
@@ -284,5 +305,10 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, with_ids: bool = Tru
 
 
 def op7(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Digest columns of the packing under token, document and cost capacities that the token capacity implies."""
+    """Digest columns of the packing under token, document and cost capacities that the token capacity implies.
+
+    A null or empty text is one piece, the end id alone. Repeated rows are packed once each; pieces
+    that are equal in every column are interchangeable, so ties do not show. No rows give none; other
+    columns are ignored, whatever their names.
+    """
     return pack(docs, vocabulary, with_ids=False).drop("ids")

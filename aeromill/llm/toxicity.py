@@ -9,14 +9,18 @@ empty state after a few characters.
 
 A text's hits give a Poisson log-likelihood ratio of the two classes (so that a long clean text
 may hold a few chance hits). Hits in a quotation, or near a word that reports speech, count
-apart from direct ones, and so do hits near a word of address and misspelled hits. A logistic
-model of these sums gives the score.
+apart from direct ones, and so do hits near a word of address. Misspelled hits go through the same
+windows; direct ones have sums of their own, whose weights are learned from copies of the toxic
+texts in which every hit is misspelled by one letter. Words that clean texts of the sample hold are
+spelled as meant: they never count as misspelled. A logistic model of these sums gives the score.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -37,6 +41,8 @@ MAX_TERMS = 256
 STEMS = range(3, 8)
 #: Tokens on either side of a hit that count as its context.
 WINDOW = 6
+#: How much a misspelled copy of a toxic text counts beside the text itself.
+SLIP_WEIGHT = 0.2
 #: Tokens that a worker remembers.
 MEMO = 400_000
 
@@ -55,7 +61,8 @@ REPORT = frozenset(
 #: Rates per word in toxic and clean texts that a fixed term has before any is learned.
 PRIOR_RATES = (1e-4, 1e-7)
 
-TOKEN = re.compile(r"[^\W\d_]+")
+#: Letters, and single digits or signs between them, as in "id1ot" and "st*pid".
+TOKEN = re.compile(r"[^\W\d_]+(?:[\d_@$*][^\W\d_]+)*")
 QUOTED = re.compile(r"“[^“”]{1,400}”|„[^„“”]{1,400}[“”]|«[^«»]{1,400}»|(?<!\w)\"[^\"\n]{1,400}\"(?!\w)|(?<!\w)‘[^‘’\n]{1,400}’(?!\w)")
 
 
@@ -78,8 +85,10 @@ class Term:
 class Lexicon:
     """The trie of the terms and its intersection with the Levenshtein automaton."""
 
-    def __init__(self, terms: Iterable[Term]):
+    def __init__(self, terms: Iterable[Term], spelled: Iterable[str] = (), slip_rate: float = 0.0):
+        """``spelled`` words never match with an edit; ``slip_rate``: weight of such matches per word of clean text."""
         self.terms = tuple(terms)
+        self.spelled, self.slip_rate = frozenset(spelled), slip_rate
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[list[int]] = [[]]
         self.fuzzy: list[bool] = [False]  # whether a term below allows an edit
@@ -154,6 +163,8 @@ class Lexicon:
                 break
             best = self._better(best, self.stem_hit[state])
         best = self._better(best, self.word_hit[state])
+        if best is not None and best[1] and token in self.spelled:
+            best = None
         if len(self.memo) >= MEMO:
             self.memo.clear()
         self.memo[token] = best
@@ -165,7 +176,7 @@ class Lexicon:
         return min(a, b, key=lambda x: (x[1], -self.terms[x[0]].weight))
 
 
-FEATURES = ("direct", "reported", "addressed", "misspelled", "hits", "rate", "kinds", "heaviest", "length")
+FEATURES = ("direct", "reported", "addressed", "misspelled", "hits", "rate", "kinds", "heaviest", "length", "slips", "slip_rate", "slip_kinds")
 
 
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
@@ -174,51 +185,71 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     tokens = TOKEN.findall(lower)
     n, match = len(tokens), lexicon.match
     found = {w for w in set(tokens) if match(w) is not None}
-    exact = [0, 0, 0]  # hits: direct, reported, addressed
-    direct = reported = addressed = misspelled = 0.0
-    kinds: set[str] = set()
+    hits = [0, 0]  # direct ones, as spelled and misspelled
+    sums = [0.0, 0.0]
+    reported = addressed = 0.0
+    kinds: tuple[set[int], set[int]] = (set(), set())
     heaviest = 0.0
     if found:
         quotes = [m.span() for m in QUOTED.finditer(lower)]
         places = [m.start() for m in TOKEN.finditer(lower)] if quotes else []
+        begins = [a for a, _ in quotes]
         for i, w in enumerate(tokens):
             if w not in found:
                 continue
             term, edits = match(w)
             weight = lexicon.terms[term].weight
-            if edits:
-                misspelled += weight
-                continue
             near = tokens[max(0, i - WINDOW) : i + WINDOW + 1]
-            if any(a <= places[i] < b for a, b in quotes) if quotes else False:
-                speech = True
-            else:
-                speech = not REPORT.isdisjoint(near)
-            if speech:
+            k = bisect_right(begins, places[i]) - 1 if quotes else -1
+            if (k >= 0 and places[i] < quotes[k][1]) or not REPORT.isdisjoint(near):
                 reported += weight
-                exact[1] += 1
                 continue
-            direct += weight
-            exact[0] += 1
-            kinds.add(w)
-            heaviest = max(heaviest, weight)
+            sums[edits] += weight
+            hits[edits] += 1
+            kinds[edits].add(term)
+            if not edits:
+                heaviest = max(heaviest, weight)
             if not ADDRESS.isdisjoint(near):
                 addressed += weight
-                exact[2] += 1
     expected = n * sum(t.toxic_rate - t.clean_rate for t in lexicon.terms)
     return [
-        math.asinh(direct - expected),
+        math.asinh(sums[0] - expected),
         math.asinh(reported),
         math.asinh(addressed),
-        math.asinh(misspelled),
-        math.log1p(exact[0]),
-        100.0 * exact[0] / max(n, 20),
-        float(min(len(kinds), 5)),
+        math.asinh(sums[1] - n * lexicon.slip_rate),
+        math.log1p(hits[0]),
+        100.0 * hits[0] / max(n, 20),
+        float(min(len(kinds[0]), 5)),
         heaviest,
         math.log1p(n),
+        math.log1p(hits[1]),
+        100.0 * hits[1] / max(n, 20),
+        float(min(len(kinds[1]), 5)),
     ]
 
 
+def misspelled(text: str, lexicon: Lexicon) -> str:
+    """The text with each word that matches a term as spelled changed by one letter, so that it still matches."""
+
+    def slip(m: re.Match) -> str:
+        word = m[0]
+        hit = lexicon.match(word.lower())
+        if hit is None or hit[1]:
+            return word
+        size = len(lexicon.terms[hit[0]].text)
+        seed = zlib.crc32(word.lower().encode())
+        for turn in range(3 * size):
+            at, kind = 1 + (seed + turn) % max(size - 1, 1), (seed + turn) % 3
+            other = "aeiouxz1"[(seed >> 8) % 8]
+            changed = word[:at] + (word[at - 1] if kind == 0 else "" if kind == 1 else other) + word[at + (kind != 0) :]
+            again = lexicon.match(changed.lower())
+            if again is not None and again[1]:
+                return changed
+        return word
+
+    return TOKEN.sub(slip, text)
+
+
 @dataclass(frozen=True)
 class Model:
     terms: tuple[Term, ...]
@@ -226,23 +257,32 @@ class Model:
     scale: tuple[float, ...]
     weights: tuple[float, ...]
     bias: float
+    spelled: tuple[str, ...] = ()
+    slip_rate: float = 0.0
+
+    def lexicon(self) -> Lexicon:
+        return Lexicon(self.terms, self.spelled, self.slip_rate)
 
     def score(self, values: list[float]) -> float:
         z = self.bias + sum(w * (v - m) / s for w, v, m, s in zip(self.weights, values, self.mean, self.scale, strict=True))
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Ridge logistic regression by Newton steps on standardised columns: mean, scale, weights, bias."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Ridge logistic regression by Newton steps on standardised columns: mean, scale, weights, bias.
+
+    ``counts`` says how much each row counts.
+    """
     mean, scale = x.mean(axis=0), x.std(axis=0)
     scale[scale < 1e-9] = 1.0
     z = np.hstack(((x - mean) / scale, np.ones((len(x), 1))))
     w = np.zeros(z.shape[1])
+    counts = np.ones(len(x)) if counts is None else counts
     penalty = np.append(np.full(x.shape[1], ridge), 1e-6)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        gradient = z.T @ (p - y) + penalty * w
-        hessian = (z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty)
+        gradient = z.T @ ((p - y) * counts) + penalty * w
+        hessian = (z * (p * (1 - p) * counts)[:, None]).T @ z + np.diag(penalty)
         step = np.linalg.solve(hessian, gradient)
         w -= step * min(1.0, 4.0 / (np.abs(step).max() + 1e-12))
         if np.abs(step).max() < 1e-6:
@@ -343,26 +383,62 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Mode
     total = known.count()
     share = min(1.0, sample_rows / max(total, 1))
     picked = known.where(F.pmod(F.xxhash64("l_id", F.lit(9)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    # At most about sample_rows small rows: safe to broadcast.
+    # At most about sample_rows small rows: safe to broadcast. Equal texts are toxic if one is.
     sample = materialise(
         docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("l_id"))
-        .select("text", "toxic").dropDuplicates(["text"]), "labelled",
+        .groupBy("text").agg(F.max("toxic").alias("toxic")), "labelled",
     )
     terms = learn_terms(sample)
-    schema = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("values", T.ArrayType(T.DoubleType()))])
+    spelled, slip_rate = learn_spelling(sample, terms)
+    schema = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("copy", T.IntegerType()), T.StructField("values", T.ArrayType(T.DoubleType()))])
 
     def make():
-        lexicon = Lexicon(terms)
-        return lambda text, toxic: [(toxic, features(text, lexicon))]
+        lexicon = Lexicon(terms, spelled, slip_rate)
+
+        def one(text, toxic):
+            out = [(toxic, 0, features(text, lexicon))]
+            if toxic and (other := misspelled(text, lexicon)) != text:
+                out.append((toxic, 1, features(other, lexicon)))
+            return out
+
+        return one
 
     rows = map_rows(sample.select("text", "toxic"), make, schema).collect()
+    # Sums do not hang on the order in which the rows come in.
+    rows.sort(key=lambda r: (r["toxic"], r["copy"], r["values"]))
     x = np.array([r["values"] for r in rows], float).reshape(-1, len(FEATURES))
     y = np.array([r["toxic"] for r in rows], float)
     if len(set(y.tolist())) < 2:
-        preset = dict.fromkeys(FEATURES, 0.0) | {"direct": 1.0, "hits": 2.0, "rate": 1.0, "addressed": 0.5}
+        preset = dict.fromkeys(FEATURES, 0.0) | {"direct": 1.0, "hits": 2.0, "rate": 1.0, "addressed": 0.5, "misspelled": 0.5, "slips": 1.0}
         return Model(tuple(terms), (0.0,) * len(FEATURES), (1.0,) * len(FEATURES), tuple(preset.values()), -4.0)
-    mean, scale, weights, bias = fit_logistic(x, y)
-    return Model(tuple(terms), tuple(mean.tolist()), tuple(scale.tolist()), tuple(weights.tolist()), bias)
+    mean, scale, weights, bias = fit_logistic(x, y, counts=np.array([SLIP_WEIGHT if r["copy"] else 1.0 for r in rows]))
+    return Model(tuple(terms), tuple(mean.tolist()), tuple(scale.tolist()), tuple(weights.tolist()), bias, tuple(spelled), slip_rate)
+
+
+def learn_spelling(sample: DataFrame, terms: list[Term]) -> tuple[list[str], float]:
+    """Words of clean texts that are an edit away from a term, in at least two texts of the sample, and
+    the weight of the other such matches per word of clean text. Both are bounded by the sample."""
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType()), T.StructField("weight", T.DoubleType())])
+
+    def make():
+        lexicon = Lexicon(terms)
+
+        def one(text):
+            tokens = Counter(TOKEN.findall(text.lower()))
+            out = [("", sum(tokens.values()), 0.0)]
+            for w, k in tokens.items():
+                hit = lexicon.match(w)
+                if hit is not None and hit[1]:
+                    out.append((w, k, k * lexicon.terms[hit[0]].weight))
+            return out
+
+        return one
+
+    counted = map_rows(sample.where("toxic = 0").select("text"), make, schema).groupBy("word").agg(F.count("*").alias("texts"), F.sum("n").alias("n"), F.sum("weight").alias("weight"))
+    rows = counted.orderBy("word").collect()
+    words = sum(r["n"] for r in rows if not r["word"])
+    spelled = [r["word"] for r in rows if r["word"] and r["texts"] > 1]
+    return spelled, sum(r["weight"] for r in rows if r["word"] and r["texts"] < 2) / max(words, 1)
 
 
 SCORES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
@@ -376,7 +452,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
 
     def make():
-        lexicon = Lexicon(model.terms)
+        lexicon = model.lexicon()
         return lambda doc_id, out, text: [(doc_id, out, model.score(features(text, lexicon)))]
 
     return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text")), make, SCORES)
@@ -389,7 +465,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFra
     def make():
         import pyarrow as pa
 
-        lexicon = Lexicon(model.terms)
+        lexicon = model.lexicon()
 
         def clean(batch):
             return batch.filter(pa.array([model.score(features(t, lexicon)) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
@@ -400,4 +476,10 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFra
 
 
 def op9(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """Toxicity of every row of ``docs``, by a model of those labelled rows that are not held out.
+
+    Null and empty texts have no hits and a low score. Null labels and ids are left out; of several
+    labels of an id or of one text, toxic wins. Repeated rows give repeated results, no rows none; no
+    labels give preset weights. Other columns are ignored, whatever their names.
+    """
     return score(docs, learn(docs, labels)).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

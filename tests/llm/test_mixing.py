@@ -48,10 +48,10 @@ def test_targets_and_taken(spark):
 
 def test_against_sql(spark):
     rows = [r for r in ROWS if r[0] is not None]
-    got = mixing.op8(spark.createDataFrame(rows, SCHEMA)).toPandas().sort_values(["doc_id", "taken"]).reset_index(drop=True)
+    got = mixing.op8(spark.createDataFrame(rows, SCHEMA)).toPandas().sort_values(["doc_id", "taken", "first_position"]).reset_index(drop=True)
     db = duckdb.connect()
     db.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "source"]))
-    want = db.execute(mixing.OP8_SQL).fetchdf().sort_values(["doc_id", "taken"]).reset_index(drop=True)
+    want = db.execute(mixing.OP8_SQL).fetchdf().sort_values(["doc_id", "taken", "first_position"]).reset_index(drop=True)
     pd.testing.assert_frame_equal(got[sorted(got)], want[sorted(want)], check_dtype=False)
 
 
@@ -81,3 +81,10 @@ def test_curriculum_and_empty(spark):
     assert mixing.op8(none).count() == 0
     wordless = spark.createDataFrame([(1, None, "a"), (2, " \n", None)], SCHEMA)
     assert [(r.size, r.taken, r.target) for r in mixing.op8(wordless).collect()] == [(0, 0, 0.0)] * 2
+
+
+def test_reruns_and_prefixes_agree(spark):
+    rows = [(i % 7, "w " * (i % 13) + str(i % 5), f"s{i % 2}") for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = [sorted(map(str, mixing.mix(docs.repartition(n), prefix=p).select("doc_id", "size", "taken", "positions").collect())) for n, p in ((1, None), (5, 1), (3, 6))]
+    assert out[0] == out[1] == out[2]

@@ -55,6 +55,63 @@ def test_ids_are_the_library_ids():
         assert np.frombuffer(mine.ids(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_long_texts_go_in_chunks(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = packing.vocabulary()
+    library, mine = Tokenizer.from_file(path), packing.Tokeniser(path)
+    monkeypatch.setattr(packing, "CHUNK", 20)
+    r = random.Random(9)
+    for extra in ("", "Σé́", "<|endoftext|>"):
+        for _ in range(60):
+            text = "".join(r.choices(["don't ", "x", "\n\n", " ", "12 ", "...", "naïve\xa0", "word " * 3, extra], k=60)) + extra
+            assert np.frombuffer(mine.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+            assert "".join(packing.chunks(text, 20)) == text
+
+
+def least_bins(lengths, capacity):
+    """The least number of bins, by trying all ways."""
+    best = len(lengths)
+
+    def put(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(lengths):
+            best = len(rooms)
+            return
+        for i in range(len(rooms)):
+            if rooms[i] >= lengths[k]:
+                put(k + 1, [*rooms[:i], rooms[i] - lengths[k], *rooms[i + 1 :]])
+        put(k + 1, [*rooms, capacity - lengths[k]])
+
+    put(0, [])
+    return best
+
+
+def test_plan_against_the_optimum():
+    r = random.Random(2)
+    more = 0
+    for _ in range(80):
+        lengths = sorted((r.randrange(1, 21) for _ in range(r.randrange(1, 9))), reverse=True)
+        histogram = {n: lengths.count(n) for n in lengths}
+        best, bins = least_bins(lengths, 20), packing.plan(histogram, capacity=20)[1]
+        assert best <= bins <= best + 1
+        more += bins - best
+    assert more <= 8
+
+
+def test_many_pieces_of_one_length(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART_PIECES", 7)
+    docs = spark.createDataFrame([(i, "same text") for i in range(200)] + [(500, "other, longer text")], "doc_id long, text string")
+    out = packing.op7(docs, packing.vocabulary()).collect()
+    fill = defaultdict(int)
+    for p in sorted(out, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == fill[p.sequence_id]
+        fill[p.sequence_id] += p.length
+    assert len(out) == 201 and len(fill) == 1
+
+
 def test_pack(spark):
     r = random.Random(5)
     words = ["alpha", "beta", "gamma,", "delta's", "x"]

@@ -49,7 +49,7 @@ def test_stages_against_plain_python(spark, tmp_path):
 
     # Toxicity: what the model scores high goes; here that is every planted text and no other.
     model = tox.learn(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-    lexicon = tox.Lexicon(model.terms)
+    lexicon = model.lexicon()
     clean = {row[0]: row for row in rows if model.score(tox.features(row[1], lexicon)) < corpus_pipeline.TOXIC}
     assert {r.doc_id for r in out[0]} == set(clean)
     assert all(("idiot" in (t or "") or "moron" in (t or "") or "scum" in (t or "") or "worthless" in (t or "")) != (d in clean) for d, t, *_ in rows)

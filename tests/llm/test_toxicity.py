@@ -38,7 +38,7 @@ def test_context_separates_quotation():
     assert f("you are an idiot")["addressed"] > 0 and f("an idiot")["addressed"] == 0
     assert f("He wrote that the word idiot is old")["hits"] == 0 and f("He wrote that the word idiot is old")["reported"] > 0
     assert f('the “idiot plays on” review')["hits"] == 0
-    assert f("you idoit")["misspelled"] == 0 and f("you idiiot")["misspelled"] > 0
+    assert f("you idoit")["slips"] == 0 and f("you idiiot")["misspelled"] > 0
     assert f(None)["length"] == f("")["length"] == 0
 
 
@@ -89,6 +89,40 @@ def test_edges(spark):
     assert kept.columns == ["doc_id", "text", "Score"] and kept.count() == 4
 
 
+def test_misspelled_hits_in_context():
+    lexicon = tox.Lexicon([tox.Term("idiot", True, 1e-2, 1e-5), tox.Term("worthless", True, 1e-2, 1e-5)], spelled=["idiom"])
+    f = lambda t: dict(zip(tox.FEATURES, tox.features(t, lexicon), strict=True))
+    assert f("you id1ot, you w*rthless idiiot")["slips"] > 1 and f("you id1ot")["addressed"] > 0 and f("you id1ot")["hits"] == 0
+    assert f("he wrote that id1ot is a word")["slips"] == 0 and f("he wrote that id1ot is a word")["reported"] > 0
+    assert f('“you id1ot” it says')["slips"] == 0 and f("an idiom of ours")["slips"] == 0
+    other = tox.misspelled("An idiot is worthless, and idle", lexicon)
+    assert f(other)["hits"] == 0 and f(other)["slips"] == f("id1ot w0rthless")["slips"] and other.endswith(", and idle")
+
+
+def test_misspelled_toxic_texts_are_found(spark):
+    docs, labels = planted(1500, 5)
+    truth = {i: t for i, _, t in labels}
+    model = tox.learn(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    lexicon = model.lexicon()
+    held = [(i, t) for i, t in docs if i in truth and zlib.crc32(str(i).encode()) % 3 == 1]
+    slipped = [tox.misspelled(t, lexicon) for i, t in held if truth[i]]
+    assert np.mean([model.score(tox.features(t, lexicon)) >= 0.7 for t in slipped]) > 0.9
+    assert np.mean([model.score(tox.features(t, lexicon)) < 0.7 for i, t in held if not truth[i]]) > 0.97
+    plain = tox.learn(spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int"))
+    assert plain.score(tox.features("you idiiot, you worthles m0ron", plain.lexicon())) > plain.score(tox.features("you, and the others too", plain.lexicon()))
+
+
+def test_equal_texts_with_other_labels(spark):
+    docs, labels = planted(300, 7)
+    docs += [(10_000 + i, t) for i, t in docs[:40]]
+    labels += [(10_000 + i, 1, 1 - t) for i, _, t in labels if i < 40]
+    runs = [
+        sorted((r.doc_id, r.score) for r in tox.op9(spark.createDataFrame(docs, "doc_id long, text string").repartition(n), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect())
+        for n in (1, 5)
+    ]
+    assert runs[0] == runs[1]
+
+
 @pytest.mark.parametrize("ridge", [0.1, 1.0])
 def test_logistic(ridge):
     r = np.random.default_rng(0)
