@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ NULL_ID = -(2**63)
 #: The temporary folder of local sessions without one, once it is made.
 _OWN: list[str] = []
 
-#: Tables that ``materialise`` has written, until ``release`` deletes them.
-_WRITTEN: list[str] = []
+#: Tables that ``materialise`` has written, by application, until ``release`` deletes them.
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,20 +46,36 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
+    written(spark).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables written so far; for when no result that reads them is needed any more."""
-    jvm, n = spark._jvm, len(_WRITTEN)
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+def written(spark: SparkSession) -> list[str]:
+    """Paths of the tables that the application has written and not released, oldest first."""
+    return _WRITTEN.setdefault(spark.sparkContext.applicationId, [])
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables written since there were ``since``; for when no result that reads them is needed any more."""
+    paths = written(spark)
+    jvm, n = spark._jvm, len(paths) - since
+    while len(paths) > since:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return n
 
 
+def stored(step: Callable[[], DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """``step()``, written; the tables that it wrote on the way are deleted."""
+    before = len(written(spark))
+    out = materialise(step(), name)
+    own = written(spark).pop()
+    release(spark, before)
+    written(spark).append(own)
+    return out
+
+
 def id_key(column: str) -> Column:
     """The id as a join key that also matches null with null."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
