@@ -471,7 +471,7 @@ def _alerts(spark: SparkSession, d: str) -> DataFrame:
     place = F.element_at(F.array(F.lit("Queens"), F.lit("Staten Island"), F.lit("Bronx")), (F.col("user_id") % 3 + 1).cast("int"))
     level = level_label((i % 6).cast("int"))
     at = F.col("ts").cast("timestamp")
-    return e.table(spark, d, "events").where(i % 4 == 0).select(
+    return e.table(spark, d, "events").select(
         F.when(scope == "region", alerts.alert_id("region", place, at, level)).otherwise(alerts.alert_id("station", F.col("user_id"), at, level)).alias("alert_id"),
         scope.alias("scope"), place.alias("borough"), F.floor("value").cast("int").alias("aqi"), level.alias("level"), F.when(i % 10 == 0, "RECOVERED").otherwise("ESCALATE").alias("type"),
         F.lit("MODERATE").alias("prev_level"), F.when(i % 8 == 0, "pm25").alias("dominant_pollutant"), at.alias("event_time"), (at + F.expr("INTERVAL 90 SECONDS")).alias("created_at"),
@@ -484,7 +484,7 @@ _ALERT_CTE = f"""raw_alerts AS (
     CASE WHEN event_id % 3 <> 0 THEN 'region' ELSE 'station' END AS scope, place AS borough, CAST(floor(value) AS INTEGER) AS aqi, lv AS level,
     CASE WHEN event_id % 10 = 0 THEN 'RECOVERED' ELSE 'ESCALATE' END AS type, CASE WHEN event_id % 8 = 0 THEN 'pm25' END AS dominant_pollutant, ts AS event_time, ts + INTERVAL 90 SECONDS AS created_at,
     CASE WHEN event_id % 16 = 0 THEN ts END AS published_at, event_id
-  FROM (SELECT *, ['Queens', 'Staten Island', 'Bronx'][user_id % 3 + 1] AS place, {o.level_label('event_id % 6')} AS lv FROM events WHERE event_id % 4 = 0))"""
+  FROM (SELECT *, ['Queens', 'Staten Island', 'Bronx'][user_id % 3 + 1] AS place, {o.level_label('event_id % 6')} AS lv FROM events))"""
 
 
 @query(f"WITH {_ALERT_CTE} SELECT event_id, alert_id FROM raw_alerts")
@@ -533,7 +533,7 @@ _STATUS = f"WITH {o.WIDE_CTE}, {o.DIM}, {o.STATUS}"
 @query(
     f"{_STATUS} SELECT (SELECT count(*) FROM status) AS stations, (SELECT CAST(round(avg(station_aqi)) AS INTEGER) FROM status) AS avg_aqi, (SELECT max(station_aqi) FROM status) AS max_aqi,"
     f" (SELECT count(*) FROM wide) AS readings, (SELECT {o.text('min(event_time)')} FROM wide) AS first_reading, (SELECT {o.text('max(event_time)')} FROM wide) AS last_reading,"
-    " (SELECT count(*) FROM events WHERE event_id % 4 = 0 AND event_id % 3 <> 0) AS alerts, (SELECT count(*) FROM nation) AS daily_records"
+    " (SELECT count(*) FROM events WHERE event_id % 3 <> 0) AS alerts, (SELECT count(*) FROM nation) AS daily_records"
 )
 def overview(spark, d):
     return serving.overview(e.station_status(spark, d), e.wide(spark, d), _alerts(spark, d), e.table(spark, d, "nation"))
