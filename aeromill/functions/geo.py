@@ -41,17 +41,25 @@ def edge_table(spark: SparkSession, outlines: dict[str, list[tuple[float, float]
     return spark.createDataFrame(rows, "region string, rank int, x1 double, y1 double, x2 double, y2 double")
 
 
-def with_region(points: DataFrame, lat: str = "lat", lon: str = "lon", column: str = "borough", outlines: dict | None = None) -> DataFrame:
-    """``points`` with the first region whose outline holds them, or null.
+def region_of(lat: Column, lon: Column, outlines: dict | None = None) -> Column:
+    """The first region whose outline holds the point, or null.
 
-    A point is inside if a ray from it crosses the outline an odd number of times. The outlines
-    are literal arrays in the plan (their size is fixed by configuration), so this needs no join,
-    shuffle or collected list of points.
+    A point is inside if a ray from it crosses the outline an odd number of times. The outlines are
+    literals in plain arithmetic (their size is fixed by configuration), so this is compiled and
+    needs no join.
     """
-    cases = []
+    found = F.when(lat.isNull() | lon.isNull(), F.lit(None).cast("string"))
     for name, ring in (OUTLINES if outlines is None else outlines).items():
-        edges = ", ".join(f"named_struct('x1', {x1}D, 'y1', {y1}D, 'x2', {x2}D, 'y2', {y2}D)" for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True))
-        crossed = f"(e.y1 > `{lat}`) <> (e.y2 > `{lat}`) AND `{lon}` < (e.x2 - e.x1) * (`{lat}` - e.y1) / (e.y2 - e.y1) + e.x1"
-        label = name.replace("'", "\\'")
-        cases.append(f"WHEN size(filter(array({edges}), e -> {crossed})) % 2 = 1 THEN '{label}'")
-    return points.withColumn(column, F.expr(f"CASE WHEN `{lat}` IS NULL OR `{lon}` IS NULL THEN NULL {' '.join(cases)} END"))
+        crossed = None
+        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True):
+            if y1 == y2:
+                continue  # no ray crosses a level edge
+            one = (((F.lit(y1) > lat) != (F.lit(y2) > lat)) & (lon < F.lit(x2 - x1) * (lat - F.lit(y1)) / F.lit(y2 - y1) + F.lit(x1))).cast("int")
+            crossed = one if crossed is None else crossed + one
+        found = found.when(crossed % 2 == 1, F.lit(name))
+    return found
+
+
+def with_region(points: DataFrame, lat: str = "lat", lon: str = "lon", column: str = "borough", outlines: dict | None = None) -> DataFrame:
+    """``points`` with their region."""
+    return points.withColumn(column, region_of(F.col(lat), F.col(lon), outlines))

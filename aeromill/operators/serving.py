@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aeromill.operators.silver import first_rows
+
 
 def upsert(old: DataFrame, new: DataFrame, key: str, newer: str) -> DataFrame:
     """Rows by key; the one with the larger ``newer`` wins (null loses), at a tie the old one."""
     both = old.withColumn("_age", F.lit(1)).unionByName(new.withColumn("_age", F.lit(0)))
-    rest = [c for c in old.columns if c != key]
-    best = F.max_by(F.struct(*rest), F.struct(F.col(newer).isNotNull().alias("known"), newer, "_age")).alias("r")
-    return both.groupBy(key).agg(best).select(key, "r.*").select(old.columns)
+    return first_rows(both, [key], F.col(newer).desc_nulls_last(), F.desc("_age")).select(old.columns)
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """``old`` and the rows of ``new`` whose key it lacks; of repeated new keys the least row."""
-    rest = [c for c in new.columns if c not in keys]
-    once = new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("r")).select(*keys, "r.*")
+    once = first_rows(new, keys, *[F.col(c).asc() for c in new.columns if c not in keys])
     return old.unionByName(once.join(old.select(*keys), keys, "left_anti").select(old.columns))
 
 
@@ -103,8 +102,7 @@ def alerts_by_prefix(alerts: DataFrame, prefix: str) -> DataFrame:
 
 def first_of_each(alerts: DataFrame) -> DataFrame:
     """Each alert once, however often it was delivered."""
-    rest = [c for c in alerts.columns if c != "alert_id"]
-    return alerts.groupBy("alert_id").agg(F.min(F.struct(*rest)).alias("r")).select("alert_id", "r.*").select(alerts.columns)
+    return first_rows(alerts, ["alert_id"], *[F.col(c).asc() for c in alerts.columns if c != "alert_id"])
 
 
 def region_levels(status: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeromill.functions import geo, quality, timeparts
@@ -43,21 +43,44 @@ def parse(bronze: DataFrame) -> DataFrame:
     )
 
 
+def first_rows(rows: DataFrame, keys: list[str] | tuple[str, ...], *order: Column) -> DataFrame:
+    """The first row of each key in that order.
+
+    Written as a ranked window, which Spark cuts to one row per key before the shuffle too, so a
+    busy key costs one row per map task; an aggregation of whole rows would have to sort them as well.
+    """
+    ranks = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("_rank", F.row_number().over(ranks)).where("_rank = 1").drop("_rank")
+
+
 def latest_per_key(changes: DataFrame, schema: str = SENSOR) -> DataFrame:
     """The last value of each key of a compacted log (key, value, partition, offset).
 
-    A key whose last value is null was deleted. ``max_by`` keeps one row per key map-side, so
-    neither a sort nor a window over a busy key is needed.
+    A key whose last value is null was deleted.
     """
-    last = changes.groupBy("key").agg(F.max_by(F.struct("value"), F.struct("partition", "offset")).alias("last"))
-    return last.where("last.value IS NOT NULL").select(F.from_json("last.value", schema).alias("m")).select("m.*").where("sensor_id IS NOT NULL")
+    last = first_rows(changes, ["key"], F.desc("partition"), F.desc("offset")).where("value IS NOT NULL")
+    return last.select(F.from_json("value", schema).alias("m")).select("m.*").where("sensor_id IS NOT NULL")
+
+
+def placed(sensors: DataFrame) -> DataFrame:
+    """Sensors with the region of their place, so that it is looked up once per sensor."""
+    return geo.with_region(sensors)
 
 
 def enrich(readings: DataFrame, sensors: DataFrame) -> DataFrame:
-    """Fill what a reading lacks from its sensor. Sensors are left to the planner to broadcast by size."""
-    meta = sensors.select(F.col("sensor_id").alias("m_sensor"), *[F.col(c).alias(f"m_{c}") for c in _ENRICHED])
+    """Fill what a reading lacks from its sensor. Sensors are left to the planner to broadcast by size.
+
+    Where ``sensors`` have regions (``placed``), so do readings; one that names another place than
+    its sensor's is looked up itself.
+    """
+    regional = "borough" in sensors.columns
+    meta = sensors.select(F.col("sensor_id").alias("m_sensor"), *[F.col(c).alias(f"m_{c}") for c in (*_ENRICHED, *["borough"] * regional)])
     joined = readings.join(meta, F.col("sensor_id") == F.col("m_sensor"), "left")
-    return joined.withColumns({c: F.coalesce(c, f"m_{c}") for c in _ENRICHED}).drop("m_sensor", *[f"m_{c}" for c in _ENRICHED])
+    joined = joined.withColumns({c: F.coalesce(c, f"m_{c}") for c in _ENRICHED})
+    if regional:
+        there = F.col("lat").eqNullSafe(F.col("m_lat")) & F.col("lon").eqNullSafe(F.col("m_lon")) & F.col("m_sensor").isNotNull()
+        joined = joined.withColumn("borough", F.when(there, F.col("m_borough")).otherwise(geo.region_of(F.col("lat"), F.col("lon")))).drop("m_borough")
+    return joined.drop("m_sensor", *[f"m_{c}" for c in _ENRICHED])
 
 
 def localise(readings: DataFrame, day_from: date | None = None, day_to: date | None = None) -> DataFrame:
@@ -77,21 +100,15 @@ def flagged(readings: DataFrame, now: Column | None = None, archive: str = ARCHI
 
 
 def dedupe_latest(readings: DataFrame, keys: tuple[str, ...] = ("sensor_id", "event_time")) -> DataFrame:
-    """The reading per key that came in last: by ingestion time (a string; null first), offset, value.
-
-    One aggregation instead of a sorted window: repeats fold together before the shuffle.
-    """
-    rank = F.struct("ingested_at", "kafka_offset", "value")
-    rest = [c for c in readings.columns if c not in keys]
-    return readings.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("last")).select(*keys, "last.*").select(readings.columns)
+    """The reading per key that came in last: by ingestion time (a string; null first), offset, value."""
+    return first_rows(readings, keys, *[F.desc(c) for c in ("ingested_at", "kafka_offset", "value")])
 
 
 def clean(parsed: DataFrame, sensors: DataFrame, box: str = geo.DEFAULT_BOX, day_from: date | None = None, day_to: date | None = None) -> DataFrame:
     """Parsed measurements to clean readings (columns SILVER)."""
-    located = localise(enrich(parsed, sensors), day_from, day_to).where(geo.in_box(F.col("lat"), F.col("lon"), box))
+    located = localise(enrich(parsed, placed(sensors)), day_from, day_to).where(geo.in_box(F.col("lat"), F.col("lon"), box))
     kept = flagged(located).where(~F.col("quality_flag").isin(*quality.DROPPED))
-    placed = geo.with_region(dedupe_latest(kept))
-    return placed.withColumns({"year": F.year("date_local"), "month": F.month("date_local")}).select(*SILVER)
+    return dedupe_latest(kept).withColumns({"year": F.year("date_local"), "month": F.month("date_local")}).select(*SILVER)
 
 
 def funnel(parsed: DataFrame, sensors: DataFrame, box: str = geo.DEFAULT_BOX) -> DataFrame:
@@ -119,5 +136,3 @@ def nearest_partition_days(day_from: date, day_to: date) -> Column:
 def within_days(first: date, last: date, warm_up: int = 1) -> Column:
     """Clean partitions of these days and ``warm_up`` days before (for windows that reach back)."""
     return F.col("date_local").between(F.date_sub(F.lit(first), warm_up), F.lit(last))
-
-
