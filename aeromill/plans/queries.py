@@ -344,25 +344,48 @@ def hourly_by_region(spark, d):
 # ---- SQL reports
 
 
-def _report(name: str, dates: str = "") -> None:
-    """Daily reports over the dense view (its days are complete), hourly ones over the wide view."""
-    daily = "fact_daily" in reports.REPORTS[name]
-    facts = f"{o.DENSE}, dim_station AS (SELECT DISTINCT location_id, borough FROM dense), {o.hourly('dense')}, {o.DAILY}" if daily else f"{o.WIDE_CTE}, {o.DIM}, {o.hourly('wide')}"
-    sql = f"WITH {facts}, result AS ({reports.REPORTS[name]}) SELECT {dates or '*'} FROM result"
+_REPORT_FACTS = f"{o.DENSE}, dim_station AS (SELECT DISTINCT location_id, borough FROM dense), {o.hourly('dense')}, {o.DAILY}, known AS (SELECT * FROM fact_daily JOIN dim_station USING (location_id) WHERE borough IS NOT NULL)"
 
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        if daily:
-            return reports.run(spark, name, fact_daily=gold.fact_daily(hourly(spark, d)), dim_station=dense_dim(spark, d))
-        return reports.run(spark, name, fact_hourly=wide_hourly(spark, d), dim_station=e.dim(spark, d))
 
-    run.__name__ = name
-    query(sql)(run)
+def _daily_views(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Daily reports read the dense view, as its days are complete."""
+    return {"fact_daily": gold.fact_daily(hourly(spark, d)), "dim_station": dense_dim(spark, d)}
 
 
-_report("q1_bad_days_rank")
-_report("q2_borough_hour")
-_report("q2_borough_month")
-_report("q3_widespread_days", f"* REPLACE ({o.day('date_local')} AS date_local)")
+@query(
+    f"WITH {_REPORT_FACTS}, days AS (SELECT borough, date_local, max(aqi_daily) AS worst FROM known GROUP BY ALL), counted AS (SELECT year(date_local) AS y, borough, count(*) AS bad_days FROM days WHERE worst > 100 GROUP BY ALL)"
+    " SELECT CAST(c.y AS INTEGER) AS year, c.borough, c.bad_days, CAST(1 + (SELECT count(*) FROM counted x WHERE x.y = c.y AND x.bad_days > c.bad_days) AS INTEGER) AS rank FROM counted c"
+)
+def q1_bad_days_rank(spark, d):
+    return reports.run("q1_bad_days_rank", **_daily_views(spark, d))
+
+
+@query(
+    f"WITH {o.WIDE_CTE}, {o.DIM}, {o.hourly('wide')}, {o.STATION_HOURLY} SELECT borough, hour_local, round(sum(aqi) / count(aqi), 1) AS aqi_avg, count(*) AS n_station_hours"
+    " FROM station_hourly JOIN dim_station USING (location_id) WHERE borough IS NOT NULL GROUP BY borough, hour_local"
+)
+def q2_borough_hour(spark, d):
+    return reports.run("q2_borough_hour", fact_hourly=wide_hourly(spark, d), dim_station=e.dim(spark, d))
+
+
+@query(
+    f"WITH {_REPORT_FACTS} SELECT borough, CAST(month(date_local) AS INTEGER) AS month, round(avg(aqi_daily), 1) AS aqi_avg, count(*) FILTER (WHERE aqi_daily > 100) AS station_days_over_100 FROM known GROUP BY ALL"
+)
+def q2_borough_month(spark, d):
+    return reports.run("q2_borough_month", **_daily_views(spark, d))
+
+
+@query(
+    f"WITH {_REPORT_FACTS} SELECT {o.day('date_local')} AS date_local, count(*) AS n_stations, count(*) FILTER (WHERE aqi_daily >= 101) AS n_usg, round(avg(CASE WHEN aqi_daily >= 101 THEN 1.0::DOUBLE ELSE 0 END), 3) AS share_usg"
+    " FROM known GROUP BY known.date_local HAVING avg(CASE WHEN aqi_daily >= 101 THEN 1.0::DOUBLE ELSE 0 END) >= 0.5"
+)
+def q3_widespread_days(spark, d):
+    return reports.run("q3_widespread_days", **_daily_views(spark, d))
+
+
+@query(f"WITH {_REPORT_FACTS} SELECT borough, level, count(*) AS n FROM known GROUP BY ALL")
+def sql_over_views(spark, d):
+    return reports.sql(spark, "SELECT borough, level, count(*) AS n FROM fact_daily JOIN dim_station USING (location_id) WHERE borough IS NOT NULL GROUP BY borough, level", **_daily_views(spark, d))
 
 
 # ---- statistics twice

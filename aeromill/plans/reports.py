@@ -1,65 +1,72 @@
-"""Named SQL reports over the views ``fact_daily``, ``fact_hourly`` and ``dim_station``."""
+"""Named reports over ``fact_daily``, ``fact_hourly`` and ``dim_station``, built from the marts."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-#: The same text runs on Spark and on the engine of the oracle.
-REPORTS = {
-    "q1_bad_days_rank": """
-SELECT yr AS year, borough, bad_days, CAST(rank() OVER (PARTITION BY yr ORDER BY bad_days DESC) AS INT) AS rank
-FROM (
-  SELECT year(f.date_local) AS yr, st.borough, count(DISTINCT f.date_local) AS bad_days
-  FROM fact_daily f INNER JOIN dim_station st USING (location_id)
-  WHERE st.borough IS NOT NULL AND f.aqi_daily > 100
-  GROUP BY year(f.date_local), st.borough
-) per_year
-ORDER BY year, rank, borough
-""",
-    "q2_borough_hour": """
-SELECT st.borough, hourly.hour_local, round(avg(hourly.top), 1) AS aqi_avg, count(*) AS n_station_hours
-FROM (
-  SELECT location_id, hour_utc, hour_local, max(aqi_hourly) AS top
-  FROM fact_hourly
-  GROUP BY location_id, hour_utc, hour_local
-  HAVING max(aqi_hourly) IS NOT NULL
-) hourly INNER JOIN dim_station st USING (location_id)
-WHERE st.borough IS NOT NULL
-GROUP BY st.borough, hourly.hour_local
-ORDER BY st.borough, hourly.hour_local
-""",
-    "q2_borough_month": """
-SELECT st.borough, month(f.date_local) AS month, round(avg(f.aqi_daily), 1) AS aqi_avg,
-       count(CASE WHEN f.aqi_daily > 100 THEN 1 END) AS station_days_over_100
-FROM fact_daily f INNER JOIN dim_station st USING (location_id)
-WHERE st.borough IS NOT NULL
-GROUP BY st.borough, month(f.date_local)
-ORDER BY st.borough, month
-""",
-    "q3_widespread_days": """
-SELECT date_local, n_stations, n_usg, round(CAST(n_usg AS DOUBLE) / n_stations, 3) AS share_usg
-FROM (
-  SELECT f.date_local, count(*) AS n_stations, count(CASE WHEN f.aqi_daily >= 101 THEN 1 END) AS n_usg
-  FROM fact_daily f INNER JOIN dim_station st USING (location_id)
-  WHERE st.borough IS NOT NULL
-  GROUP BY f.date_local
-) per_day
-WHERE n_usg > 0 AND 2 * n_usg >= n_stations
-ORDER BY date_local
-""",
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from aeromill.operators import gold
+
+#: Index from which a region's day is bad (above it), and a station's (from it on).
+BAD, USG = 100, 101
+
+
+def bad_days_rank(fact_daily: DataFrame, dim_station: DataFrame) -> DataFrame:
+    """Regions ranked within each year by their days with an index above BAD somewhere."""
+    days = gold.mart_region_daily(fact_daily, dim_station).where(F.col("aqi_max") > BAD)
+    counted = days.groupBy(F.year("date_local").alias("year"), "borough").agg(F.count("*").alias("bad_days"))
+    place = F.rank().over(Window.partitionBy("year").orderBy(F.desc("bad_days")))
+    return counted.withColumn("rank", place).orderBy("year", "rank", "borough")
+
+
+def borough_hour(fact_hourly: DataFrame, dim_station: DataFrame) -> DataFrame:
+    """Mean index of station hours by region and local hour: a slice of the temporal mart."""
+    hours = gold.mart_temporal(fact_hourly, dim_station).where("grain = 'hour_local'")
+    return hours.select("borough", F.col("bucket").alias("hour_local"), F.round("aqi_avg", 1).alias("aqi_avg"), "n_station_hours").orderBy("borough", "hour_local")
+
+
+def borough_month(fact_daily: DataFrame, dim_station: DataFrame) -> DataFrame:
+    """Mean daily index and bad station days by region and calendar month."""
+    by_index = gold.in_regions(fact_daily, dim_station).groupBy("borough", F.month("date_local").alias("month"), "aqi_daily").agg(F.count("*").alias("n"))
+    months = by_index.groupBy("borough", "month").agg(
+        F.round(F.sum(F.col("aqi_daily") * F.col("n")) / F.sum(F.when(F.col("aqi_daily").isNotNull(), F.col("n"))), 1).alias("aqi_avg"),
+        F.coalesce(F.sum(F.when(F.col("aqi_daily") > BAD, F.col("n"))), F.lit(0)).alias("station_days_over_100"),
+    )
+    return months.orderBy("borough", "month")
+
+
+def widespread_days(fact_daily: DataFrame, dim_station: DataFrame) -> DataFrame:
+    """Days on which half of the stations or more are at USG or above."""
+    days = gold.mart_region_daily(fact_daily, dim_station).groupBy("date_local").agg(F.sum("n_stations").alias("n_stations"), F.sum("n_stations_usg").alias("n_usg"))
+    share = F.col("n_usg") / F.col("n_stations")
+    return days.where((F.col("n_usg") > 0) & (share >= 0.5)).withColumn("share_usg", F.round(share, 3)).orderBy("date_local")
+
+
+REPORTS: dict[str, Callable[..., DataFrame]] = {
+    "q1_bad_days_rank": bad_days_rank,
+    "q2_borough_hour": borough_hour,
+    "q2_borough_month": borough_month,
+    "q3_widespread_days": widespread_days,
 }
 
 
-def run(spark: SparkSession, name: str, **views: DataFrame) -> DataFrame:
-    """A report over the given DataFrames; the views carry names of their own while it is planned."""
-    text = REPORTS[name]
-    return spark.sql(_bound(text, views), **views)
+def needs(name: str) -> tuple[str, ...]:
+    """The views that a report reads."""
+    fn = REPORTS[name]
+    return fn.__code__.co_varnames[: fn.__code__.co_argcount]
+
+
+def run(name: str, **views: DataFrame) -> DataFrame:
+    """A report over the given views; others than it reads may be given too."""
+    return REPORTS[name](**{v: views[v] for v in needs(name)})
 
 
-def _bound(text: str, views: dict[str, DataFrame]) -> str:
-    return re.sub(rf"\b({'|'.join(views)})\b", r"{\1}", text)
+def sql(spark: SparkSession, text: str, **views: DataFrame) -> DataFrame:
+    """SQL of one's own over the given DataFrames, named as in the text."""
+    return spark.sql(re.sub(rf"\b({'|'.join(views)})\b", r"{\1}", text), **views)
 
 
 def explain(df: DataFrame, mode: str = "formatted") -> str:

@@ -113,7 +113,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return defective(spark, sf_dir).select(
-        F.when(i % 61 == 0, "not json").otherwise(record).alias("value"), F.lit("aq.measurements.raw.v1").alias("topic"),
+        F.when(i % 61 == 0, "not json").otherwise(record).alias("value"), F.lit("measurements").alias("topic"),
         (i % 6).cast("int").alias("partition"), i.alias("offset"), F.col("event_time").alias("timestamp"),
     )
 
