@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,16 @@ def mark_published(alerts: DataFrame, delivered: DataFrame, at: Column) -> DataF
     return alerts.join(ids, "alert_id", "left").withColumn("published_at", F.coalesce("published_at", F.when(F.col("_sent"), at))).drop("_sent").select(alerts.columns)
 
 
+def publish_pending(alerts: DataFrame, send: Callable[[DataFrame], None], at: Column) -> DataFrame:
+    """Send the pending alerts, then give the table with those marked; a failed send marks none.
+
+    A crash after the send repeats it, so receivers drop repeats by alert_id (``first_of_each``).
+    """
+    due = pending(alerts)
+    send(due)
+    return mark_published(alerts, due, at)
+
+
 def overview(status: DataFrame, readings: DataFrame, alerts: DataFrame, summary: DataFrame) -> DataFrame:
     """One row of totals."""
     s = status.agg(

@@ -419,6 +419,32 @@ def cross_validate(spark, d):
     return report.select("total_keys", "matched_keys", "left_only", F.col("right_only").cast("int").alias("right_only"), "value_mismatches", "status")
 
 
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    """The messages as raw lines, as they lie in files."""
+    return e.messages(spark, d).select(F.to_json(F.struct("value", "topic", "partition", "offset")).alias("value"))
+
+
+_RAW_STATS = f"""WITH {_SILVER}, stats AS (
+  SELECT location_id, parameter, date_local, count(*) AS count, sum(value) AS sum, max(value) AS max, avg(value) AS avg, count(*) FILTER (WHERE value > {o.limit('parameter', 'units', 2)}) AS hours_over_threshold
+  FROM kept WHERE rn = 1 GROUP BY ALL)"""
+_FIRST, _LAST = date(2024, 1, 3), date(2024, 1, 20)
+
+
+@query(f"{_RAW_STATS} SELECT location_id, parameter, {o.day('date_local')} AS date_local, count, round(sum, 8) AS sum, round(max, 10) AS max, round(avg, 10) AS avg, hours_over_threshold FROM stats")
+def daily_stats_raw(spark, d):
+    found = stats.daily_stats_raw(_lines(spark, d), e.sensors(spark, d), _FIRST, _LAST)
+    return rounded(rounded(found, "max", "avg"), "sum", places=8)
+
+
+@query(f"{_RAW_STATS} SELECT count(*) AS total_keys, count(*) AS matched_keys, 0 AS left_only, 0 AS right_only, 0 AS value_mismatches, 'PASS' AS status FROM stats")
+def cross_validate_raw(spark, d):
+    """Statistics of clean readings against those from raw lines, through their text form."""
+    clean = silver.clean(silver.parse(e.messages(spark, d)), e.sensors(spark, d), day_from=_FIRST, day_to=_LAST)
+    other = stats.parse_stats_lines(stats.stats_lines(stats.daily_stats_raw(_lines(spark, d), e.sensors(spark, d), _FIRST, _LAST)))
+    report = stats.comparison_report(as_text(stats.daily_stats(clean)), other)
+    return report.select("total_keys", "matched_keys", *[F.col(c).cast("int").alias(c) for c in ("left_only", "right_only", "value_mismatches")], "status")
+
+
 @query(f"{_STATS} SELECT location_id, parameter, {o.day('date_local')} AS date_local FROM stats WHERE location_id = 3 ORDER BY 1, 2, 3 LIMIT 20")
 def mismatch_sample(spark, d):
     ours = as_text(stats.daily_stats(_days(spark, d)))
@@ -428,19 +454,20 @@ def mismatch_sample(spark, d):
 # ---- ingestion
 
 
-_BAD = "CASE event_id % 9 WHEN 1 THEN 'missing_sensor_id' WHEN 2 THEN 'invalid_sensor_id' WHEN 3 THEN 'missing_value' WHEN 4 THEN 'value_not_numeric' WHEN 5 THEN 'missing_datetime_utc' WHEN 6 THEN 'invalid_datetime_utc' WHEN 7 THEN 'not_an_object' END"
+_BAD = "CASE event_id % 11 WHEN 1 THEN 'missing_sensor_id' WHEN 2 THEN 'invalid_sensor_id' WHEN 3 THEN 'missing_value' WHEN 4 THEN 'value_not_numeric' WHEN 5 THEN 'missing_datetime_utc' WHEN 6 THEN 'invalid_datetime_utc' WHEN 7 THEN 'not_an_object' WHEN 9 THEN 'invalid_lat' WHEN 10 THEN 'invalid_lon' END"
 
 
 def _items(spark: SparkSession, d: str) -> DataFrame:
-    """Result items with one defect in seven of nine."""
+    """Result items with one defect in nine of eleven."""
     i = F.col("event_id")
-    k = i % 9
+    k = i % 11
     at = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     payload = F.to_json(
         F.struct(
             F.struct(F.when(k != 5, F.when(k == 6, F.regexp_replace(at, "Z", "")).otherwise(at)).alias("utc")).alias("datetime"),
             F.when(k != 3, F.when(k == 4, "n/a").otherwise(F.col("value").cast("string"))).alias("value"),
             F.when(k != 1, F.when(k == 2, "x7").otherwise(F.col("user_id").cast("string"))).alias("sensorsId"),
+            F.struct(F.when(k == 9, "north").alias("latitude"), F.when(k == 10, "west").otherwise("-73.9").alias("longitude")).alias("coordinates"),
         )
     )
     return e.table(spark, d, "events").select(F.when(k == 7, "[1]").otherwise(payload).alias("payload"), F.lit(77).alias("location_id"), F.lit(40.7).alias("lat"), F.lit(-73.9).alias("lon"))
@@ -451,7 +478,7 @@ def dlq_split(spark, d):
     return ingest.rejected(_items(spark, d), "/latest", "2024-02-01T00:00:00Z").groupBy("error").agg(F.count("*").alias("n"))
 
 
-@query("SELECT CAST(user_id AS INTEGER) AS sensor_id, 77 AS location_id, round(value, 10) AS value, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS datetime_utc, 40.7::DOUBLE AS lat, 'openaq-api' AS source FROM events WHERE event_id % 9 IN (0, 8)")
+@query("SELECT CAST(user_id AS INTEGER) AS sensor_id, 77 AS location_id, round(value, 10) AS value, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS datetime_utc, 40.7::DOUBLE AS lat, 'openaq-api' AS source FROM events WHERE event_id % 11 IN (0, 8)")
 def measurements(spark, d):
     return rounded(ingest.measurements(_items(spark, d), "2024-02-01T00:00:00Z"), "value").select("sensor_id", "location_id", "value", "datetime_utc", "lat", "source")
 

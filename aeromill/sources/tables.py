@@ -24,6 +24,12 @@ def read_raw(spark: SparkSession, path: str, day_from: date | None = None, day_t
     return rows if day_from is None else rows.where(nearest_partition_days(day_from, day_to or day_from))
 
 
+def read_lines(spark: SparkSession, path: str, day_from: date, day_to: date) -> DataFrame:
+    """The raw lines (value) of the partitions that ``read_raw`` would read, as they were written."""
+    rows = spark.read.option("basePath", path).text(f"{path}/ingest_date=*")
+    return rows.where(nearest_partition_days(day_from, day_to)).select("value")
+
+
 def _streamed(spark: SparkSession, path: str) -> bool:
     log = spark._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
     return log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log)
@@ -42,31 +48,80 @@ def overwrite_partitions(rows: DataFrame, path: str, *keys: str) -> None:
     rows.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def clear_days(spark: SparkSession, path: str, days: list[str], key: str = "date_local") -> None:
-    """Delete partitions that a rerun left without rows, so that none keeps old data."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for day in days:
-        for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, f"{{{key}={day},*/{key}={day},*/*/{key}={day}}}")) or []:
-            fs.delete(status.getPath(), True)
+def _files(spark: SparkSession, path: str):
+    """(file system, path, maker of paths)"""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    root = make(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root, make
+
+
+def days_in(spark: SparkSession, path: str, key: str = "date_local") -> dict[str, list[str]]:
+    """Folders of each day's partitions, up to two levels of keys above them."""
+    fs, _, make = _files(spark, path)
+    out: dict[str, list[str]] = {}
+    for status in fs.globStatus(make(path, f"{{{key}=*,*/{key}=*,*/*/{key}=*}}")) or []:
+        out.setdefault(status.getPath().getName().partition("=")[2], []).append(status.getPath().toString())
+    return out
+
+
+def overwrite_days(rows: DataFrame, path: str, first: date, last: date, *keys: str) -> None:
+    """Replace the days from ``first`` to ``last``: those that ``rows`` lacks are left empty.
+
+    The new rows are written beside the table first, so nothing old goes before all of them are there;
+    then their partitions replace the old ones, and days without rows are cleared.
+    """
+    spark, fresh = rows.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    rows.repartition(*keys).write.partitionBy(*keys).parquet(fresh)
+    fs, _, make = _files(spark, path)
+    found = days_in(spark, fresh)
+    if found:
+        written = spark.read.schema(rows.schema).option("basePath", fresh).parquet(fresh)
+        overwrite_partitions(written, path, *keys)
+    for day, folders in days_in(spark, path).items():
+        if first.isoformat() <= day <= last.isoformat() and day not in found:
+            for folder in folders:
+                fs.delete(make(folder), True)
+    fs.delete(make(fresh), True)
+    spark.catalog.refreshByPath(path)
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
-    """Overwrite a table that ``rows`` may be read from: write beside it, then swap."""
-    spark = rows.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    fresh, target = f"{path}.{uuid.uuid4().hex}", jvm.org.apache.hadoop.fs.Path(path)
+    """Overwrite a table that ``rows`` may be read from: write beside it, then swap.
+
+    The old table is moved aside and goes only after the new one is in its place; ``exists`` and the
+    next call put it back if the swap broke off between.
+    """
+    spark, fresh = rows.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    recover(spark, path)
     rows.write.parquet(fresh)
-    fs = target.getFileSystem(conf)
-    fs.delete(target, True)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(fresh), target):
+    fs, target, make = _files(spark, path)
+    aside = make(f"{path}.old")
+    if fs.exists(target) and not fs.rename(target, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(make(fresh), target):
+        recover(spark, path)
         raise OSError(f"cannot move {fresh} to {path}")
+    fs.delete(aside, True)
     spark.catalog.refreshByPath(path)
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Settle a swap that broke off: the old table comes back if the new one is not in its place."""
+    fs, target, make = _files(spark, path)
+    aside = make(f"{path}.old")
+    if not fs.exists(aside):
+        return
+    if fs.exists(target):
+        fs.delete(aside, True)
+    else:
+        fs.rename(aside, target)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p))
+    if "*" not in path:
+        recover(spark, path)
+    fs, target, _ = _files(spark, path)
+    return bool(fs.globStatus(target))
 
 
 def total_bytes(spark: SparkSession, path: str) -> int:
@@ -96,6 +151,17 @@ def anonymous_bucket(bucket: str, endpoint: str = "s3.us-east-1.amazonaws.com",
     }
 
 
+def publish(rows: DataFrame, servers: str, topic: str, key: str | None = None) -> None:
+    """Append rows as JSON messages to a log (needs the Kafka connector on the class path)."""
+    as_messages(rows, key).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
+def as_messages(rows: DataFrame, key: str | None = None) -> DataFrame:
+    """(key, value) of each row, as they go to a log: times as UTC text."""
+    fields = [F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(c) if t == "timestamp" else F.col(c) for c, t in rows.dtypes]
+    return rows.select((F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+
+
 def read_log(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """A whole log (needs the Kafka connector on the class path): key and value as text."""
     rows = spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)

@@ -188,17 +188,24 @@ def region_alerts(root: str, stations: DataFrame, rules: Rules = Rules()) -> Cal
     return write
 
 
-def keep_new(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` sink that appends rows whose key the table lacks; replays add nothing."""
+def keep_new(path: str, keys: list[str], at: str = "event_time") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink that appends rows whose key the table lacks; replays add nothing.
+
+    The table is partitioned by the day of ``at``, which belongs to the key or follows from it, so a
+    batch is held against its own days only. Of rows with one key in a batch the least stays.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         spark: SparkSession = batch.sparkSession
-        once = batch.dropDuplicates(keys)
+        rest = [F.col(c).asc() for c in batch.columns if c not in keys]
+        once = silver.first_rows(batch, keys, *rest).withColumn("event_day", F.to_date(at))
         if tables.exists(spark, path):
-            once = once.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
-        once.write.mode("append").parquet(path)
+            span = batch.agg(F.min(at).cast("date").alias("first"), F.max(at).cast("date").alias("last")).first()
+            known = spark.read.parquet(path).where(F.col("event_day").isNull() | F.col("event_day").between(F.lit(span["first"]), F.lit(span["last"])))
+            once = once.join(known.select(*keys), keys, "left_anti")
+        once.write.mode("append").partitionBy("event_day").parquet(path)
 
     return write
 

@@ -48,7 +48,7 @@ def run_dedupe(spark: SparkSession, messages: DataFrame) -> DataFrame:
     stream = _landed(spark, messages, BRONZE, at)
     sink = queries.keep_new(f"{at}/readings", ["sensor_id", "event_time"])
     queries.start(queries.deduped(stream).writeStream.foreachBatch(sink), f"{at}/check", None).awaitTermination()
-    return spark.read.parquet(f"{at}/readings")
+    return spark.read.parquet(f"{at}/readings").drop("event_day")
 
 
 def run_alerts(spark: SparkSession, index: DataFrame) -> DataFrame:
@@ -72,4 +72,4 @@ def run_regions(spark: SparkSession, index: DataFrame, stations: DataFrame, per_
         stream = tables.stream_files(spark, f"{at}/in", schema, per_trigger=1000)
         sink = queries.region_alerts(f"{at}/tables", stations)
         queries.start(queries.station_trail(stream).writeStream.foreachBatch(sink), f"{at}/check", None).awaitTermination()
-    return spark.read.parquet(f"{at}/tables/alerts")
+    return spark.read.parquet(f"{at}/tables/alerts").drop("event_day")
