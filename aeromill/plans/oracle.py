@@ -159,3 +159,29 @@ STATUS = f"""indexed AS (SELECT *, {air_index('parameter', 'value', 'units')} AS
 ), status AS (
   SELECT location_id, s.station_aqi, s.dominant_pollutant, {level_number('s.station_aqi')} AS alerted_level, s.event_time AS last_event_time
   FROM (SELECT location_id, max_by({{'station_aqi': station_aqi, 'dominant_pollutant': dominant_pollutant, 'event_time': event_time}}, event_time) AS s FROM station_index GROUP BY ALL))"""
+
+
+def fold(obs: str, settled: bool, name: str = "fold") -> str:
+    """The alert machine as a recursion over ``obs`` (k, rn from 1, event_time, aqi, s: level), one row per key and step."""
+    near = "FALSE" if settled else f"aqi > [{', '.join(map(str, LEVEL_FROM))}][lv + 1] - 10"
+    return f"""{name} AS (
+  SELECT DISTINCT k, CAST(0 AS BIGINT) AS rn, CAST(0 AS INTEGER) AS lv, CAST(NULL AS INTEGER) AS cand, CAST(0 AS INTEGER) AS seen, CAST(NULL AS TIMESTAMP) AS told_at,
+    CAST(NULL AS INTEGER) AS told_level, CAST(NULL AS VARCHAR) AS kind, CAST(NULL AS INTEGER) AS alert_level, CAST(NULL AS INTEGER) AS previous FROM {obs}
+  UNION ALL
+  SELECT k, rn, CAST(next AS INTEGER), CAST(next_cand AS INTEGER), CAST(CASE WHEN next_cand IS NULL THEN 0 ELSE n END AS INTEGER), CASE WHEN said THEN event_time ELSE told_at END,
+    CAST(CASE WHEN said THEN next ELSE told_level END AS INTEGER), CASE WHEN said THEN want END, CAST(CASE WHEN said THEN next END AS INTEGER), CAST(CASE WHEN said THEN lv END AS INTEGER)
+  FROM (SELECT *, want IS NOT NULL AND NOT (told_at IS NOT NULL AND epoch(event_time) - epoch(told_at) < 3600 AND told_level = next) AS said FROM (
+    SELECT *, CASE WHEN s > lv THEN CASE WHEN s = 2 AND n < 2 THEN lv ELSE s END WHEN s < lv AND lv < 2 THEN s WHEN s < lv AND NOT near AND n >= 2 THEN target ELSE lv END AS next,
+      CASE WHEN s > lv AND s = 2 AND n < 2 THEN s WHEN s < lv AND lv >= 2 AND NOT near AND n < 2 THEN target END AS next_cand,
+      CASE WHEN s > lv AND (s > 2 OR (s = 2 AND n >= 2)) THEN 'ESCALATE' WHEN s < lv AND lv >= 2 AND NOT near AND n >= 2 AND target < 2 THEN 'RECOVERED' END AS want
+    FROM (SELECT *, CASE WHEN s > lv THEN CASE WHEN cand = s THEN seen + 1 ELSE 1 END WHEN cand < lv THEN seen + 1 ELSE 1 END AS n, CASE WHEN cand < lv THEN greatest(cand, s) ELSE s END AS target
+      FROM (SELECT f.k, o.rn, o.event_time, o.aqi, o.s, f.lv, f.cand, f.seen, f.told_at, f.told_level, coalesce({near.replace('aqi', 'o.aqi').replace('lv', 'f.lv')}, FALSE) AS near
+        FROM {name} f JOIN {obs} o ON o.k = f.k AND o.rn = f.rn + 1)))))"""
+
+
+#: The dense view's index rows, the machine's steps over them, and the trail.
+TRAIL = f"""indexed AS (SELECT *, {air_index('parameter', 'value', 'units')} AS aqi_instant FROM dense), obs AS (
+  SELECT location_id AS k, event_time, top.v AS aqi, top.p AS dominant_pollutant, {level_number('top.v')} AS s, row_number() OVER (PARTITION BY location_id ORDER BY event_time) AS rn
+  FROM (SELECT location_id, event_time, max({{'v': aqi_instant, 'p': parameter}}) AS top FROM indexed WHERE aqi_instant IS NOT NULL GROUP BY ALL)
+), {fold('obs', False)}, trail AS (
+  SELECT CAST(o.k AS BIGINT) AS location_id, o.event_time, o.aqi, o.dominant_pollutant, f.lv, f.cand, f.seen, f.kind, f.alert_level, f.previous, o.rn FROM obs o JOIN fold f ON f.k = o.k AND f.rn = o.rn)"""

@@ -18,6 +18,7 @@ from aeromill.plans import oracle as o
 from aeromill.plans import reports
 from aeromill.plans.registry import ORACLES, QUERIES
 from aeromill.sources import events as e
+from aeromill.sources import tables
 from aeromill.streaming import runs
 
 #: "Now" of the serving queries.
@@ -660,24 +661,47 @@ def readings_insert_ignore(spark, d):
     return serving.insert_ignore(old, new, ["sensor_id", "event_time"])
 
 
-# ---- alerts, clusters, streams (no SQL equivalent for the folds and fits)
+# ---- alerts and clusters: the folds as recursions
 
 
 def _trail(spark: SparkSession, d: str) -> DataFrame:
     return alerts.station_trail(gold.station_index(e.dense(spark, d).withColumn("aqi_instant", index_of())))
 
 
-@query()
+_TRAIL = f"WITH RECURSIVE {o.DENSE}, {o.TRAIL}"
+
+
+@query(
+    f"{_TRAIL} SELECT location_id, {o.text('event_time')} AS event_time, aqi AS station_aqi, dominant_pollutant, lv AS level, cand AS candidate, seen, kind AS alert_type, alert_level, previous AS previous_level"
+    " FROM trail WHERE kind IS NOT NULL"
+)
 def alert_replay(spark, d):
     return _trail(spark, d).where("alert_type IS NOT NULL")
 
 
-@query()
+@query(f"{_TRAIL} SELECT location_id, {o.text('event_time')} AS event_time, lv AS level, cand AS candidate, seen FROM trail")
+def alert_states(spark, d):
+    return _trail(spark, d).select("location_id", "event_time", "level", "candidate", "seen")
+
+
+_ENDS = "TIMESTAMP '2024-02-01 00:00:00'"
+
+
+@query(
+    f"{_TRAIL}, homes AS (SELECT DISTINCT location_id AS home, borough FROM dense WHERE borough IS NOT NULL), region_obs AS (SELECT borough AS k, event_time, aqi, lv AS s, location_id, dominant_pollutant,"
+    f" row_number() OVER (PARTITION BY borough ORDER BY event_time) AS rn FROM trail JOIN homes ON home = location_id), {o.fold('region_obs', True, 'region_fold')}, steps AS ("
+    " SELECT f.*, o.event_time, o.aqi, o.location_id, o.dominant_pollutant, max(o.rn) OVER (PARTITION BY o.k) AS n FROM region_fold f JOIN region_obs o ON o.k = f.k AND o.rn = f.rn)"
+    f" SELECT k AS borough, location_id AS trigger_location_id, aqi, alert_level AS level, previous AS previous_level, kind AS alert_type, dominant_pollutant, {o.text('event_time')} AS event_time FROM steps WHERE kind IS NOT NULL"
+    f" UNION ALL SELECT k, NULL, NULL, -1, lv, 'UNKNOWN', NULL, {o.text('event_time')} FROM steps WHERE rn = n AND lv >= 2 AND epoch({_ENDS}) - epoch(event_time) > 10800"
+)
 def alert_regions(spark, d):
     return alerts.region_alerts(_trail(spark, d), dense_dim(spark, d), now=datetime(2024, 2, 1))
 
 
-@query()
+@query(
+    f"{_TRAIL} SELECT location_id, 'UNKNOWN' AS alert_type, -1 AS alert_level, lv AS previous_level, {o.text('event_time')} AS event_time"
+    f" FROM (SELECT *, max(rn) OVER (PARTITION BY location_id) AS n FROM trail) WHERE rn = n AND lv >= 2 AND epoch({_ENDS}) - epoch(event_time) > 10800"
+)
 def alert_timeouts(spark, d):
     return alerts.timeouts(_trail(spark, d), datetime(2024, 2, 1))
 
@@ -689,6 +713,93 @@ def cluster_profiles(spark, d):
     return serving.cluster_profiles(clusters.profiles(clusters.predictions(features, result), result))
 
 
+#: Centres (of clusters.FEATURES) for the assignment that SQL can check.
+_CENTRES = [[60.0, 100.0, 2.0, 8.0, 0.3], [90.0, 150.0, 6.0, 14.0, 0.5], [130.0, 200.0, 12.0, 18.0, 0.6]]
+_DISTANCES = ", ".join("(" + " + ".join(f"power({c} - {x}::DOUBLE, 2)" for c, x in zip(clusters.FEATURES, centre, strict=True)) + ")" for centre in _CENTRES)
+
+
+@query(
+    f"WITH {o.DENSE}, {o.hourly('dense')}, {o.STATION_HOURLY}, f AS (SELECT location_id, date_local, count(aqi) AS n_hours, avg(aqi) AS aqi_mean, max(aqi) AS aqi_max, count(*) FILTER (WHERE aqi > 100) AS hours_over_100,"
+    " min({'low': -aqi, 'h': hour_local}).h AS peak_hour, coalesce(avg(aqi_pm25), 0) AS dust, coalesce(avg(aqi_o3), 0) AS ozone FROM station_hourly GROUP BY ALL),"
+    f" g AS (SELECT location_id, date_local, [{_DISTANCES}] AS far FROM (SELECT *, dust / (dust + ozone) AS pm25_o3_ratio FROM f WHERE n_hours >= 18 AND dust + ozone > 0))"
+    f" SELECT location_id, {o.day('date_local')} AS date_local, CAST(list_position(far, list_min(far)) - 1 AS INTEGER) AS cluster FROM g"
+)
+def cluster_assigned(spark, d):
+    return clusters.assigned(gold.cluster_features(hourly(spark, d)), _CENTRES).drop("cluster_name")
+
+
+# ---- files: written to the shared folder and read back
+
+
+@query(ORACLES["archive_backfill"])
+def archive_files(spark, d):
+    """The archive as compressed CSV files, through the reader of the archive."""
+    path = f"{runs.workspace(spark)}/archive"
+    rows = e.wide(spark, d).join(e.dim(spark, d), "location_id").select(
+        F.col("location_id"), F.col("sensor_id").alias("sensors_id"), F.col("name").alias("location"), F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("datetime"),
+        "lat", "lon", "parameter", F.col("event_id").alias("units"), "value", F.lit("US").alias("country"),
+    )
+    rows.write.option("header", True).option("compression", "gzip").csv(path)
+    raw = ingest.archive_to_raw(tables.read_archive(spark, path), "2024-02-01T00:00:00Z", first=date(2024, 1, 5), last=date(2024, 1, 20))
+    m = F.from_json("value", silver.MEASUREMENT)
+    return rounded(raw.select(m.alias("m"), "ingest_date").select(F.col("m.units").cast("long").alias("event_id"), "m.sensor_id", "m.value", "m.datetime_utc", "m.location_name", "ingest_date"), "value")
+
+
+@query(f"SELECT {o.day('ts')} AS ingest_date, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS offsets FROM events WHERE ts >= DATE '2024-01-09' AND ts < DATE '2024-01-13' GROUP BY 1")
+def bronze_days(spark, d):
+    """Raw files by ingestion date; of three local days the reader takes four partitions."""
+    path = f"{runs.workspace(spark)}/bronze"
+    tables.append_raw(silver.raw_rows(e.messages(spark, d)), path)
+    rows = tables.read_raw(spark, path, date(2024, 1, 9), date(2024, 1, 11))
+    return rows.groupBy("ingest_date").agg(F.count("*").alias("n"), F.sum("offset").alias("offsets"))
+
+
+@query(
+    f"WITH {_SILVER}, days AS (SELECT date_local, count(*) AS n, round(sum(value), 6) AS total FROM kept WHERE rn = 1 AND NOT (date_local = DATE '2024-01-12') GROUP BY date_local)"
+    f" SELECT {o.day('date_local')} AS date_local, n, total FROM days WHERE date_local BETWEEN DATE '2024-01-10' AND DATE '2024-01-13'"
+)
+def silver_days(spark, d):
+    """Clean partitions: all days, then one of them again without rows; read with a day of warm-up."""
+    path = f"{runs.workspace(spark)}/silver"
+    rows = silver.clean(silver.parse(e.messages(spark, d)), e.sensors(spark, d), day_from=_FIRST, day_to=_LAST)
+    keys = ("year", "month", "date_local")
+    tables.overwrite_days(rows, path, _FIRST, _LAST, *keys)
+    tables.overwrite_days(rows.where("value < -1"), path, date(2024, 1, 12), date(2024, 1, 12), *keys)
+    back = tables.read_silver(spark, path, date(2024, 1, 11), date(2024, 1, 13))
+    return back.groupBy("date_local").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"))
+
+
+@query(ORACLES["sensor_lookup"])
+def lookup_lines(spark, d):
+    path = f"{runs.workspace(spark)}/lookup"
+    tables.write_lines(silver.sensor_lookup(e.sensors(spark, d), e.wide(spark, d)), path)
+    return spark.read.schema("sensor_id int, parameter string, units string").json(path)
+
+
+@query(
+    "SELECT CAST(s AS INTEGER) AS sensor_id, strftime(make_timestamp(CAST((1700000000 + m * 60) * 1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS event_time, CASE WHEN m = 100 THEN 200.0::DOUBLE ELSE"
+    " round(greatest(30.0::DOUBLE + 25.0::DOUBLE * cos(2.0::DOUBLE * 3.141592653589793::DOUBLE * m / 1440 + s), 0), 2) END AS value FROM range(4) a(s), range(1440) b(m)"
+)
+def wave_series(spark, d):
+    return tables.wave(spark, 4, 1440, spike_at=100)
+
+
+@query(f"{_STATUS} SELECT borough, max(CAST(alerted_level AS INTEGER)) AS level, {o.text('max(last_event_time)')} AS last_event_time FROM status JOIN dim_station USING (location_id) WHERE borough IS NOT NULL GROUP BY borough")
+def region_levels(spark, d):
+    known = e.station_status(spark, d).join(e.dim(spark, d).where("borough IS NOT NULL").select("location_id", "borough"), "location_id")
+    return serving.region_levels(known.groupBy("borough").agg(F.max("alerted_level").alias("level"), F.max("last_event_time").alias("last")))
+
+
+@query(f"WITH {_ALERT_CTE} SELECT alert_id AS key, count(*) AS n, min(strftime(created_at, '%Y-%m-%dT%H:%M:%SZ')) AS created_at FROM raw_alerts WHERE scope = 'region' AND published_at IS NULL GROUP BY alert_id")
+def outbox_messages(spark, d):
+    """What a publisher sends for the pending alerts, from its wire format."""
+    sent = tables.as_messages(serving.pending(_alerts(spark, d)), "alert_id")
+    return sent.groupBy("key").agg(F.count("*").alias("n"), F.min(F.get_json_object("value", "$.created_at")).alias("created_at"))
+
+
+# ---- streams
+
+
 @query("SELECT count(*) AS n, count(DISTINCT strftime(ts, '%Y-%m-%d')) AS days, CAST(sum(event_id) AS BIGINT) AS offsets FROM events")
 def stream_raw(spark, d):
     rows = runs.run_raw(spark, e.messages(spark, d))
@@ -700,6 +811,6 @@ def stream_dedupe(spark, d):
     return runs.run_dedupe(spark, e.messages(spark, d)).select("sensor_id", "event_time")
 
 
-@query()
+@query(f"{_TRAIL} SELECT location_id, kind AS alert_type, alert_level AS level, previous AS previous_level, aqi, {o.text('event_time')} AS event_time FROM trail WHERE kind IS NOT NULL")
 def stream_alerts(spark, d):
     return runs.run_alerts(spark, gold.station_index(e.dense(spark, d).withColumn("aqi_instant", index_of())))
