@@ -88,3 +88,13 @@ def test_reruns_and_prefixes_agree(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     out = [sorted(map(str, mixing.mix(docs.repartition(n), prefix=p).select("doc_id", "size", "taken", "positions").collect())) for n, p in ((1, None), (5, 1), (3, 6))]
     assert out[0] == out[1] == out[2]
+
+
+def test_no_python_in_the_plan(spark):
+    import re
+
+    from aeromill.plans.reports import explain
+
+    docs = spark.createDataFrame(ROWS, SCHEMA)
+    for df in (mixing.op8(docs), mixing.curriculum(docs, docs.columns)):
+        assert not re.search("EvalPython|InArrow|InPandas", explain(df))
