@@ -324,6 +324,14 @@ def test_lexer(text, found):
     assert [text[a:b] for a, b, kind in secrets.scan(text) if kind == "literal"] == found
 
 
+def test_secret_scan_of_repeated_rows_and_no_rows(spark):
+    rows = [(1, 'token = "abc123def456"'), (1, 'token = "abc123def456"'), (None, None), (None, "")]
+    out = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string").withColumn("kind", F.lit(1))).collect()
+    assert sorted((r.doc_id or 0, r.n_assign, r.n_literal, r.spans) for r in out) == [(0, 0, 0, "")] * 2 + [(1, 1, 1, "assign:0:21,literal:9:21")] * 2
+    assert secrets.scan_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert secrets.redact_texts(spark.createDataFrame([], "doc_id long, text string, n_chars long")).count() == 0
+
+
 def test_whole_bare_values_go():
     assert secrets.redact("password=s3cr3t$t!x9z end") == "[secret] end"
 
