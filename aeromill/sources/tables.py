@@ -174,8 +174,10 @@ def stream_log(spark: SparkSession, servers: str, topic: str, per_trigger: int =
     return rows.option("startingOffsets", "latest").option("maxOffsetsPerTrigger", per_trigger).load()
 
 
-def stream_files(spark: SparkSession, path: str, schema: str, kind: str = "json", per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).format(kind).load(path)
+def stream_files(spark: SparkSession, path: str, schema: str, kind: str = "json", per_trigger: int | None = 1) -> DataFrame:
+    """Files as they come, so many a batch, or, without a number, all that there are."""
+    reader = spark.readStream.schema(schema).format(kind)
+    return (reader if per_trigger is None else reader.option("maxFilesPerTrigger", per_trigger)).load(path)
 
 
 def write_lines(rows: DataFrame, path: str) -> None:

@@ -59,7 +59,7 @@ ALERTS = "location_id long, alert_type string, level int, previous_level int, aq
 
 
 def _micros(at: datetime | None) -> int | None:
-    return None if at is None else round(at.replace(tzinfo=timezone.utc).timestamp() * 1_000_000)
+    return None if at is None else (at - datetime(1970, 1, 1)) // timedelta(microseconds=1)
 
 
 def _instant(micros: int | None) -> datetime | None:

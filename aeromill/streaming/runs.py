@@ -13,6 +13,8 @@ from aeromill.operators.silver import BRONZE
 from aeromill.sources import tables
 from aeromill.streaming import queries
 
+#: Times as whole microseconds; by default JSON is written with milliseconds only.
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 #: The temporary folder of local sessions without one, once it is made.
 _OWN: list[str] = []
 
@@ -31,8 +33,8 @@ def workspace(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
-def _landed(spark: SparkSession, rows: DataFrame, schema: str, at: str, files: int = 1000) -> DataFrame:
-    rows.write.json(f"{at}/in")
+def _landed(spark: SparkSession, rows: DataFrame, schema: str, at: str, files: int | None = 1000) -> DataFrame:
+    rows.write.option("timestampFormat", MICROS).json(f"{at}/in")
     return tables.stream_files(spark, f"{at}/in", schema, per_trigger=files)
 
 
@@ -52,10 +54,13 @@ def run_dedupe(spark: SparkSession, messages: DataFrame) -> DataFrame:
 
 
 def run_alerts(spark: SparkSession, index: DataFrame) -> DataFrame:
-    """Alerts of a stream of index rows (location_id, event_time, station_aqi)."""
+    """Alerts of a stream of index rows (location_id, event_time, station_aqi).
+
+    All files are one batch: they are not in time order, and a station ignores what is older than its state.
+    """
     at = workspace(spark)
     rows = index.select("location_id", "event_time", "station_aqi")
-    stream = _landed(spark, rows, "location_id long, event_time timestamp, station_aqi int", at)
+    stream = _landed(spark, rows, "location_id long, event_time timestamp, station_aqi int", at, files=None)
     found = queries.station_alerts(stream).writeStream.format("parquet").option("path", f"{at}/alerts")
     queries.start(found, f"{at}/check", None).awaitTermination()
     return spark.read.schema(queries.ALERTS).parquet(f"{at}/alerts")
@@ -68,7 +73,7 @@ def run_regions(spark: SparkSession, index: DataFrame, stations: DataFrame, per_
     schema = "location_id long, event_time timestamp, station_aqi int, dominant_pollutant string"
     times = [r[0] for r in rows.select("event_time").distinct().orderBy("event_time").collect()] if per_time else [None]
     for moment in times:  # a bounded list: for tests and demonstrations
-        (rows if moment is None else rows.where(rows["event_time"] == moment)).coalesce(1).write.mode("append").json(f"{at}/in")
+        (rows if moment is None else rows.where(rows["event_time"] == moment)).coalesce(1).write.mode("append").option("timestampFormat", MICROS).json(f"{at}/in")
         stream = tables.stream_files(spark, f"{at}/in", schema, per_trigger=1000)
         sink = queries.region_alerts(f"{at}/tables", stations)
         queries.start(queries.station_trail(stream).writeStream.foreachBatch(sink), f"{at}/check", None).awaitTermination()
