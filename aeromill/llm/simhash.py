@@ -11,13 +11,16 @@ group pairs whose pivot distances differ by more than ``radius`` anywhere are di
 triangle inequality, and only survivors are compared bit by bit.
 
 ``similar_groups`` links texts whose shingle sets have a Jaccard similarity of ``similarity`` or
-more, which is verified. Different sets are classes. Classes are dealt by their ``keys`` least
-shingle hashes: the least hash of both sets together is in both with a probability of their
-similarity, so a link of 0.8 has no such hash in common in about 0.2 ** keys of cases, 3 in a million
-for 8. There pairs within ``radius`` bits (a link of 0.8 is about 9.7 bits apart, with a deviation
-of 2.9, so 16 bits hold 99 % of the links of just 0.8 and all but a few in a thousand of the others)
-and of nearly the same size are loose links. The members of their components, few of all
-texts, are dealt again with their whole sets, and each pair not yet connected is verified.
+more, which is verified. Different sets are classes, written with their pivot table. Classes are dealt
+by bit blocks, as above, so that all pairs within RADIUS bits meet, and, as such links are further
+apart, by their ``keys`` least shingle hashes: the least hash of both sets together is in both with a
+probability of their similarity, so a link of 0.8 has no such hash in common in about 0.2 ** keys of
+cases, 3 in a million for 8. In a group pairs are discarded by size and by the pivot table, and
+survivors are compared bit by bit: within RADIUS or, for shingle hashes, ``radius`` bits (a link of
+0.8 is about 9.7 bits apart, with a deviation of 2.9, so 16 bits hold 99 % of the links of just 0.8 and
+all but a few in a thousand of the others) they are loose links. The members of their components, few
+of all texts, are dealt again with their pivot table and whole sets; pairs that the table leaves and
+that are not yet connected are verified.
 
 Groups are cut into blocks, and every pair of blocks is a task of its own, so no task holds an
 unbounded group and no pair is skipped. A task returns a spanning forest of its links (at most one
@@ -114,13 +117,13 @@ def distance_table(fps: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fps[None, :] ^ reference[:, None]).astype(np.int8)
 
 
-def links(left: np.ndarray, right: np.ndarray, table_l: np.ndarray, table_r: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i, j) with Hamming distance of left[i], right[j] at most ``radius``.
+def links(left: np.ndarray, right: np.ndarray, table_l: np.ndarray, table_r: np.ndarray, radius: int = RADIUS, alive: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (i, j) with Hamming distance of left[i], right[j] at most ``radius``, of those ``alive`` if given.
 
     The first rows of the pivot tables discard pairs over a whole block at once (one byte a pair),
     the other rows only what is left; survivors are verified on the fingerprints.
     """
-    alive = np.ones((len(left), len(right)), bool)
+    alive = np.ones((len(left), len(right)), bool) if alive is None else alive.copy()
     for row in range(min(4, len(table_l))):
         alive &= np.abs(table_l[row][:, None] - table_r[row][None, :]) <= radius
     i, j = np.nonzero(alive)
@@ -251,9 +254,8 @@ def choices(n: int, radius: int) -> list[list[tuple[int, int]]]:
     raise ValueError("so wide a radius has no blocks")
 
 
-def fingerprint_links(classes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) that connect all linked fingerprints of ``classes`` (fp, distances; distinct, materialised)."""
-    keys = choices(classes.count(), radius)
+def block_keys(n: int, radius: int) -> list[Column]:
+    """The bits of ``fp`` under each key, for so many classes."""
 
     def bits(blocks: list[tuple[int, int]]) -> Column:
         out = F.lit(0).cast("long")
@@ -261,7 +263,17 @@ def fingerprint_links(classes: DataFrame, radius: int = RADIUS, block: int = BLO
             out = F.shiftleft(out, width).bitwiseOR(F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1)))
         return out
 
-    keyed = classes.select(F.col("fp").alias("node"), "distances", F.posexplode(F.array(*[bits(k) for k in keys])).alias("key_no", "bits"))
+    return [bits(k) for k in choices(n, radius)]
+
+
+def _tables(distances: np.ndarray) -> np.ndarray:
+    """The pivot table of a task's rows, one row per reference."""
+    return np.frombuffer(b"".join(distances), np.int8).reshape(len(distances), -1).T
+
+
+def fingerprint_links(classes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that connect all linked fingerprints of ``classes`` (fp, distances; distinct, materialised)."""
+    keyed = classes.select(F.col("fp").alias("node"), "distances", F.posexplode(F.array(*block_keys(classes.count(), radius))).alias("key_no", "bits"))
     sizes = keyed.groupBy("key_no", "bits").agg(F.count("*").alias("n")).where("n > 1")
     blocks = materialise(sizes.select("key_no", "bits", _power(F.col("n"), block)), "groups")
     dealt = in_blocks(keyed, blocks, ["node", "distances"], _GROUP[:2], "node")
@@ -275,7 +287,7 @@ def fingerprint_links(classes: DataFrame, radius: int = RADIUS, block: int = BLO
                 continue
             nodes = rows["node"]
             fps = nodes.view(np.uint64)
-            table = np.frombuffer(b"".join(rows["distances"]), np.int8).reshape(len(fps), -1).T
+            table = _tables(rows["distances"])
             a, b = forest(nodes, n_row, lambda r, c: links(fps[r], fps[c], table[:, r], table[:, c], radius))  # noqa: B023
             if len(a):
                 yield _edge_batch(a, b)
@@ -284,13 +296,13 @@ def fingerprint_links(classes: DataFrame, radius: int = RADIUS, block: int = BLO
 
 
 def pivot_table(classes: DataFrame, n_pivots: int = PIVOTS) -> DataFrame:
-    """``classes`` (fp first) with ``distances``: one byte for the distance to each reference."""
+    """``classes`` (with fp) with ``distances``: one byte for the distance to each reference."""
     schema = T.StructType([*classes.schema.fields, T.StructField("distances", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reference = pivots(n_pivots)
         for batch in batches:
-            table = distance_table(batch.column(0).to_numpy().view(np.uint64), reference).T
+            table = distance_table(batch.column("fp").to_numpy().view(np.uint64), reference).T
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x.tobytes() for x in table], pa.binary())], names=schema.names)
 
     return classes.mapInArrow(run, schema)
@@ -329,7 +341,7 @@ def op6(docs: DataFrame) -> DataFrame:
 _SETS = T.StructType(
     [*[T.StructField(c, T.LongType()) for c in ("id", "text_hash", "node", "fp", "n")], T.StructField("keys", T.ArrayType(T.LongType()))]
 )
-_MEMBER = T.StructType([*[T.StructField(c, T.LongType()) for c in ("node", "fp", "n", "component")], T.StructField("hashes", T.BinaryType())])
+_MEMBER = T.StructType([*[T.StructField(c, T.LongType()) for c in ("node", "fp", "n", "component")], *[T.StructField(c, T.BinaryType()) for c in ("distances", "hashes")]])
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
@@ -359,11 +371,14 @@ def near_in_size(left: np.ndarray, right: np.ndarray, similarity: float) -> np.n
 
 
 def loose_links(classes: DataFrame, similarity: float, radius: int, block: int) -> DataFrame:
-    """Edges between classes (node, fp, n, keys) with a key in common, within ``radius`` and of nearly one size."""
-    keyed = classes.select("node", "fp", "n", F.explode("keys").alias("bits")).withColumn("key_no", F.lit(0))
+    """Edges between classes (node, fp, n, keys, distances; materialised) of nearly one size: those within
+    ``radius`` that have a key in common, and all within RADIUS."""
+    by_bits = [F.struct(F.lit(k).alias("key_no"), bits.alias("bits")) for k, bits in enumerate(block_keys(classes.count(), RADIUS), 1)]
+    by_shingle = F.transform("keys", lambda h: F.struct(F.lit(0).alias("key_no"), h.alias("bits")))
+    keyed = classes.select("node", "fp", "n", "distances", F.explode(F.concat(by_shingle, F.array(*by_bits))).alias("key")).select("node", "fp", "n", "distances", "key.*")
     sizes = keyed.groupBy("key_no", "bits").agg(F.count("*").alias("size")).where("size > 1")
     blocks = materialise(sizes.select("key_no", "bits", _power(F.col("size"), block)), "groups")
-    dealt = in_blocks(keyed, blocks, ["node", "fp", "n"], _GROUP[:2], "node")
+    dealt = in_blocks(keyed, blocks, ["node", "fp", "n", "distances"], _GROUP[:2], "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, rows in grouped(batches, len(_GROUP)):
@@ -372,12 +387,10 @@ def loose_links(classes: DataFrame, similarity: float, radius: int, block: int)
             rows, n_row = _task(rows, key)
             if not n_row:
                 continue
-            fps, n = rows["fp"].view(np.uint64), rows["n"]
+            fps, n, table, reach = rows["fp"].view(np.uint64), rows["n"], _tables(rows["distances"]), RADIUS if key[0] else radius
 
             def find(r, c):
-                i, j = np.nonzero(near_in_size(n[r], n[c], similarity))  # noqa: B023
-                near = np.bitwise_count(fps[r][i] ^ fps[c][j]) <= radius  # noqa: B023
-                return i[near], j[near]
+                return links(fps[r], fps[c], table[:, r], table[:, c], reach, near_in_size(n[r], n[c], similarity))  # noqa: B023
 
             a, b = forest(rows["node"], n_row, find)
             if len(a):
@@ -389,12 +402,12 @@ def loose_links(classes: DataFrame, similarity: float, radius: int, block: int)
 def verified_links(members: DataFrame, similarity: float, radius: int, shingles: int) -> DataFrame:
     """Edges that connect the ``members`` (_MEMBER, materialised) whose sets are ``similarity`` alike.
 
-    Pairs of a loose component within ``radius`` are verified on the whole sets unless they are
-    connected already.
+    Pairs of a loose component that the pivot table leaves and that are within ``radius`` are verified
+    on the whole sets unless they are connected already.
     """
     sizes = members.groupBy("component").agg(F.sum("n").alias("size"))
     blocks = materialise(sizes.select("component", _power(F.col("size"), shingles)), "groups")
-    dealt = in_blocks(members, blocks, ["node", "fp", "n", "hashes"], ["component"], "node")
+    dealt = in_blocks(members, blocks, ["node", "fp", "n", "distances", "hashes"], ["component"], "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, rows in grouped(batches, 3):
@@ -403,7 +416,7 @@ def verified_links(members: DataFrame, similarity: float, radius: int, shingles:
             rows, n_row = _task(rows, key)
             if not n_row:
                 continue
-            nodes, fps, n = rows["node"], rows["fp"].view(np.uint64), rows["n"]
+            nodes, fps, n, table = rows["node"], rows["fp"].view(np.uint64), rows["n"], _tables(rows["distances"])
             sets = [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
             label = np.arange(len(nodes))
 
@@ -415,7 +428,7 @@ def verified_links(members: DataFrame, similarity: float, radius: int, shingles:
 
             def find(r, c):
                 first, second = np.arange(len(fps))[r], np.arange(len(fps))[c]  # noqa: B023
-                i, j = np.nonzero(near_in_size(n[r], n[c], similarity) & (np.bitwise_count(fps[r][:, None] ^ fps[c][None, :]) <= radius))  # noqa: B023
+                i, j = links(fps[r], fps[c], table[:, r], table[:, c], radius, near_in_size(n[r], n[c], similarity))  # noqa: B023
                 keep = []
                 for k, (p, q) in enumerate(zip(first[i].tolist(), second[j].tolist(), strict=True)):
                     a, b = root(p), root(q)
@@ -434,7 +447,7 @@ def verified_links(members: DataFrame, similarity: float, radius: int, shingles:
     return dealt.mapInArrow(run, EDGES)
 
 
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = LOOSE, keys: int = 8, block: int = BLOCK, shingles: int = SHINGLES) -> tuple[DataFrame, DataFrame]:
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = LOOSE, keys: int = 8, n_pivots: int = PIVOTS, block: int = BLOCK, shingles: int = SHINGLES) -> tuple[DataFrame, DataFrame]:
     """Groups of rows of ``docs`` (doc_id, text) that chains of similar texts connect.
 
     Returns (id, text_hash, node) of every row, and (c_node, component, first: id and text_hash of
@@ -443,20 +456,20 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
     texts = docs.select(id_key("doc_id").alias("id"), text_hash(), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = materialise(shingle_sets(texts, words, keys), "sets")
     first = F.min(F.struct((F.col("id") == F.lit(NULL_ID)).alias("unnamed"), "id", "text_hash")).alias("least")
-    classes = materialise(rows.groupBy("node", "fp", "n", "keys").agg(first), "classes")
+    classes = materialise(pivot_table(rows.groupBy("node", "fp", "n", "keys").agg(first), n_pivots), "classes")
     loose = components(loose_links(classes, similarity, radius, block))
     # One text of each class that has a loose link.
-    some = classes.join(loose, "node").select("node", "component", F.col("least.id").alias("m_id"), F.col("least.text_hash").alias("m_hash"))
+    some = classes.join(loose, "node").select("node", "component", "distances", F.col("least.id").alias("m_id"), F.col("least.text_hash").alias("m_hash"))
 
     def make():
-        def one(node, component, text):
+        def one(node, component, distances, text):
             hashes = shingle_hashes(text, words)
             different = np.unique(np.array(hashes, np.uint64))
-            return [(node, signed(vote(hashes)), len(different), component, different.tobytes())]
+            return [(node, signed(vote(hashes)), len(different), component, distances, different.tobytes())]
 
         return one
 
-    held = texts.join(some, F.expr("id = m_id AND text_hash = m_hash")).select("node", "component", "text")
+    held = texts.join(some, F.expr("id = m_id AND text_hash = m_hash")).select("node", "component", "distances", "text")
     members = materialise(map_rows(held, make, _MEMBER).dropDuplicates(["node"]), "members")
     joined = components(verified_links(members, similarity, radius, shingles))
     labelled = classes.join(joined, "node", "left").select(F.col("node").alias("c_node"), "least", F.coalesce("component", "node").alias("component"))

@@ -97,6 +97,17 @@ def test_verified_similarity_against_all_pairs(spark, block, shingles):
     assert sorted(x.doc_id for x in simhash.keep_first(docs, block=block, shingles=shingles).collect()) == sorted(set(want.values()))
 
 
+def test_similar_groups_go_through_the_pivot_table(spark):
+    """Pairs within three bits meet without a shingle key; pairs that their stored distances tell apart are discarded."""
+    fp, far = 0x0123456789ABCDEF, (1 << 40) - 1
+    rows = [(1, fp, 90, [11]), (2, fp ^ 0b101, 95, [12]), (3, fp ^ (far & 0x1FFF), 92, [11]), (4, fp ^ far, 91, [11]), (5, fp ^ 1, 20, [11])]
+    classes = simhash.pivot_table(spark.createDataFrame(rows, "node long, fp long, n long, keys array<long>"))
+    edges = simhash.loose_links(classes, 0.8, 16, 2048).collect()
+    assert _roots(edges) == {1: 1, 2: 1, 3: 1}
+    moved = F.when(F.col("node") == 3, F.expr("unhex(repeat('00', 16))")).otherwise(F.col("distances"))
+    assert _roots(simhash.loose_links(classes.withColumn("distances", moved), 0.8, 16, 2048).collect()) == {1: 1, 2: 1}
+
+
 def test_more_classes_get_longer_keys(spark):
     for n, keys, bits in ((1000, 4, 16), (1 << 24, 10, 25), (1 << 40, 35, 35)):
         found = simhash.choices(n, 3)
